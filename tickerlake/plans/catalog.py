@@ -11,9 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.operators import marts, staging
+import datetime as dt
+
+from tickerlake import schema as S
+from tickerlake.operators import ingest, marts, quality, reports, staging
 from tickerlake.plans.boundary import to_plain_types
-from tickerlake.sources.testbeds import raw_bars, raw_bars_order
+from tickerlake.sources.testbeds import event_bars, flag_bars, raw_bars, raw_bars_order, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -194,3 +197,165 @@ def q_vol_trend(spark, sf_dir):
 @query("volume_analysis")
 def q_volume_analysis(spark, sf_dir):
     return marts.volume_analysis(staged_bars(spark, sf_dir))
+
+
+# --- data quality (Q1-Q9) --------------------------------------------------
+
+@query("dq_required_columns")
+def q_dq_required_columns(spark, sf_dir):
+    return quality.require_columns(raw_bars(spark, sf_dir))
+
+
+@query("dq_null_counts")
+def q_dq_null_counts(spark, sf_dir):
+    return quality.null_counts(raw_bars(spark, sf_dir))
+
+
+@query("dq_ohlc")
+def q_dq_ohlc(spark, sf_dir):
+    return quality.ohlc_violations(raw_bars(spark, sf_dir))
+
+
+@query("dq_batch_gate")
+def q_dq_batch_gate(spark, sf_dir):
+    return quality.batch_gate(raw_bars(spark, sf_dir))
+
+
+@query("dq_not_null")
+def q_dq_not_null(spark, sf_dir):
+    return quality.not_null(raw_bars(spark, sf_dir), ["symbol", "date", "close"])
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(spark, sf_dir):
+    return quality.accepted_values(staged_bars(spark, sf_dir), "symbol", S.DEFAULT_SYMBOLS)
+
+
+@query("dq_expression")
+def q_dq_expression(spark, sf_dir):
+    return quality.expression_is_true(cast_raw(spark, sf_dir),
+                                      {"close_price > 0": "close_price > 0", "volume > 0": "volume > 0"})
+
+
+def layer_tables(spark, sf_dir) -> dict:
+    raw = raw_bars(spark, sf_dir)
+    staged = staging.stage(raw, raw_bars_order())
+    return {
+        "stock_prices_raw": raw,
+        "stg_stock_prices": staged,
+        "daily_returns": marts.daily_returns(staged),
+        "moving_averages": marts.moving_averages(staged),
+        "volume_analysis": marts.volume_analysis(staged),
+    }
+
+
+@query("dq_suite")
+def q_dq_suite(spark, sf_dir):
+    return quality.run_suite(layer_tables(spark, sf_dir))
+
+
+@query("reconcile_runs")
+def q_reconcile_runs(spark, sf_dir):
+    raw = raw_bars(spark, sf_dir)
+    return quality.reconcile(raw, staging.stage(raw, raw_bars_order()))
+
+
+# --- ingestion (I1-I11) ----------------------------------------------------
+
+@query("clean_columns")
+def q_clean_columns(spark, sf_dir):
+    vendor = raw_bars(spark, sf_dir).select(
+        F.col("symbol").alias("Symbol"), F.col("date").alias("Date"),
+        F.col("open").alias("Open"), F.col("high").alias("High"), F.col("low").alias("Low"),
+        F.col("close").alias("Adj Close"), F.col("volume").alias("Volume%"),
+        F.col("pipeline_run_id").alias("Pipeline Run-ID"))
+    return ingest.clean_columns(vendor)
+
+
+RUN_TS = dt.datetime(2026, 3, 22, 11, 1, 33)
+
+
+@query("add_metadata")
+def q_add_metadata(spark, sf_dir):
+    bars = event_bars(spark, sf_dir).drop(*S.METADATA)
+    return ingest.add_metadata(bars, RUN_TS)
+
+
+@query("flatten_panel")
+def q_flatten_panel(spark, sf_dir):
+    panel = ingest.to_panel(flag_bars(spark, sf_dir))
+    symbols = [c for c in panel.columns if c != "date"]
+    return ingest.clean_columns(ingest.flatten_panel(panel, symbols))
+
+
+@query("conform_columns")
+def q_conform_columns(spark, sf_dir):
+    return ingest.conform(raw_bars(spark, sf_dir))
+
+
+@query("filter_symbols")
+def q_filter_symbols(spark, sf_dir):
+    universe = (table(spark, sf_dir, "supplier")
+                .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+                .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+                .filter(F.col("r_name") == "ASIA")
+                .select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("symbol")))
+    return ingest.filter_symbols(raw_bars(spark, sf_dir), universe)
+
+
+@query("date_range")
+def q_date_range(spark, sf_dir):
+    return ingest.date_range(raw_bars(spark, sf_dir), "1996-01-01", "1996-12-31")
+
+
+@query("historical_days")
+def q_historical_days(spark, sf_dir):
+    return ingest.historical(staged_bars(spark, sf_dir), 30, "2000-06-30")
+
+
+@query("latest_bar")
+def q_latest_bar(spark, sf_dir):
+    return ingest.latest(staged_bars(spark, sf_dir))
+
+
+@query("business_days")
+def q_business_days(spark, sf_dir):
+    return ingest.calendar_of(raw_bars(spark, sf_dir))
+
+
+@query("expected_grid")
+def q_expected_grid(spark, sf_dir):
+    return ingest.expected_grid(staged_bars(spark, sf_dir))
+
+
+@query("missing_bars")
+def q_missing_bars(spark, sf_dir):
+    return ingest.missing_bars(staged_bars(spark, sf_dir))
+
+
+# --- reports (P1-P4) -------------------------------------------------------
+
+AS_OF = dt.date(2001, 11, 4)
+
+
+@query("summary_by_symbol")
+def q_summary_by_symbol(spark, sf_dir):
+    return reports.summary_by_symbol(staged_bars(spark, sf_dir))
+
+
+@query("top_gainers")
+def q_top_gainers(spark, sf_dir):
+    return reports.top_gainers(marts.daily_returns(staged_bars(spark, sf_dir)), AS_OF, days=7, n=10)
+
+
+@query("recent_signals")
+def q_recent_signals(spark, sf_dir):
+    return reports.recent_signals(marts.moving_averages(staged_bars(spark, sf_dir)), AS_OF,
+                                  S.GOLDEN_CROSS, days=30)
+
+
+@query("layer_summary")
+def q_layer_summary(spark, sf_dir):
+    t = layer_tables(spark, sf_dir)
+    layers = {"stock_prices_raw": S.BRONZE_LAYER, "stg_stock_prices": S.SILVER_LAYER}
+    return reports.layer_summary({(layers.get(k, S.GOLD_LAYER), k): v for k, v in t.items()})

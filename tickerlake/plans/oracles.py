@@ -222,3 +222,151 @@ ORACLES["volume_analysis"] = SERIES_BASE + f"""SELECT symbol, date, {dbl('close_
   volume, CAST(avgvol AS BIGINT) AS avg_volume_7d, CAST(volpct AS BIGINT) AS volume_vs_avg_pct,
   {dbl('ret_bp')} AS price_change_pct, volume_category, trend_strength, ingestion_timestamp
 FROM series WHERE avgvol IS NOT NULL"""
+
+# --- data quality ----------------------------------------------------------
+
+
+def report_sql(table: str, checks: list[tuple[str, str, str]], prefix: str = "") -> str:
+    """One row per (test, column, failing condition)."""
+    parts = []
+    for test, column, cond in checks:
+        n = f"CAST(count_if(coalesce({cond}, false)) AS BIGINT)"
+        parts.append(f"SELECT {prefix}'{test}' AS test, '{column}' AS column_name, {n} AS failing_rows, "
+                     f"{n} = 0 AS passed FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+REQUIRED = ("symbol", "date", "open", "high", "low", "close", "volume")
+ORACLES["dq_required_columns"] = BASE + "SELECT c.column_name, true AS present, " \
+    "(SELECT count(*) FROM raw_bars) AS rows_checked FROM (VALUES " + \
+    ", ".join(f"('{c}')" for c in REQUIRED) + ") c(column_name)"
+ORACLES["dq_null_counts"] = BASE + report_sql(
+    "raw_bars", [("null_count", c, f"{c} IS NULL") for c in ("symbol", "date", "close")])
+ORACLES["dq_ohlc"] = BASE + report_sql("raw_bars", [("low_above_high", "low,high", "low > high")])
+ORACLES["dq_batch_gate"] = BASE + """SELECT check_name, observed, passed FROM (
+  SELECT 1 AS k, 'has_data' AS check_name, count(*) AS observed, count(*) > 0 AS passed FROM raw_bars
+  UNION ALL SELECT 2, 'has_symbols', count(symbol), count(symbol) > 0 FROM raw_bars
+  UNION ALL SELECT 3, 'no_null_close', count_if(close IS NULL), count_if(close IS NULL) = 0 FROM raw_bars
+  UNION ALL SELECT 4, 'valid_ohlc', count_if(NOT coalesce(low <= high, false)),
+                   count_if(NOT coalesce(low <= high, false)) = 0 FROM raw_bars) g"""
+ORACLES["dq_not_null"] = BASE + report_sql(
+    "raw_bars", [("not_null", c, f"{c} IS NULL") for c in ("symbol", "date", "close")])
+NSE = ", ".join(f"'{s}'" for s in (
+    "RELIANCE.NS", "TCS.NS", "HDFCBANK.NS", "INFY.NS", "ICICIBANK.NS",
+    "HINDUNILVR.NS", "ITC.NS", "SBIN.NS", "BHARTIARTL.NS", "KOTAKBANK.NS"))
+ORACLES["dq_accepted_values"] = STAGED_BASE + (
+    "SELECT symbol AS value, count(*) AS failing_rows FROM staged "
+    f"WHERE symbol IS NOT NULL AND symbol NOT IN ({NSE}) GROUP BY symbol")
+ORACLES["dq_expression"] = BASE + report_sql("cast_bars", [
+    ("expression_is_true", "close_price > 0", "close_price <= 0"),
+    ("expression_is_true", "volume > 0", "volume <= 0")])
+
+MART_CTES = """daily_returns AS (SELECT * FROM series WHERE prev_c IS NOT NULL),
+moving_averages AS (SELECT * FROM signals),
+volume_analysis AS (SELECT * FROM series WHERE avgvol IS NOT NULL)"""
+MARTS_BASE = with_ctes(RAW_BARS, CAST_BARS, STAGED, SERIES, MART_CTES)
+
+
+def nn(cols):
+    return [("not_null", c, f"{c} IS NULL") for c in cols]
+
+
+ORACLES["dq_suite"] = MARTS_BASE + "\nUNION ALL\n".join([
+    report_sql("raw_bars", nn(["symbol", "date", "close"]), "'stock_prices_raw' AS table_name, "),
+    report_sql("staged", nn(["symbol"]) + [
+        ("accepted_values", "symbol", f"symbol IS NOT NULL AND symbol NOT IN ({NSE})")]
+        + nn(["date", "close_price"]) + [("expression_is_true", "close_price > 0", "close_price <= 0")]
+        + nn(["volume"]) + [("expression_is_true", "volume > 0", "volume <= 0")],
+        "'stg_stock_prices' AS table_name, "),
+    report_sql("daily_returns", nn(["symbol", "date"]), "'daily_returns' AS table_name, "),
+    report_sql("moving_averages", nn(["symbol"]), "'moving_averages' AS table_name, "),
+    report_sql("volume_analysis", nn(["symbol", "volume"]), "'volume_analysis' AS table_name, "),
+])
+ORACLES["reconcile_runs"] = STAGED_BASE + """SELECT coalesce(e.pipeline_run_id, l.pipeline_run_id) AS pipeline_run_id,
+  coalesce(e.n, 0) AS extracted_rows, coalesce(l.n, 0) AS loaded_rows,
+  CASE WHEN coalesce(l.n, 0) = coalesce(e.n, 0) THEN 'match'
+       WHEN coalesce(l.n, 0) > 0 THEN 'partial' ELSE 'failed' END AS status
+FROM (SELECT pipeline_run_id, count(*) AS n FROM raw_bars GROUP BY 1) e
+FULL OUTER JOIN (SELECT pipeline_run_id, count(*) AS n FROM staged GROUP BY 1) l
+  ON e.pipeline_run_id = l.pipeline_run_id"""
+
+# --- ingestion -------------------------------------------------------------
+
+EVENT_BARS = """event_bars AS (
+SELECT 'U' || CAST(user_id AS VARCHAR) AS symbol, CAST(ts AS DATE) AS date,
+  CAST(arg_min(value, (ts, event_id)) AS DECIMAL(18,2)) AS open,
+  CAST(max(value) AS DECIMAL(18,2)) AS high, CAST(min(value) AS DECIMAL(18,2)) AS low,
+  CAST(arg_max(value, (ts, event_id)) AS DECIMAL(18,2)) AS close,
+  count(*) AS volume, max(ts) AS ingestion_timestamp, 'events' AS source_system,
+  strftime(max(ts), '%Y%m%d') AS pipeline_run_id
+FROM events GROUP BY 1, 2)"""
+
+FLAG_BARS = """flag_bars AS (
+SELECT l_returnflag || l_linestatus AS symbol, CAST(l_shipdate AS DATE) AS date,
+  CAST(arg_min(l_extendedprice, l_orderkey * 8 + l_linenumber) AS DECIMAL(18,2)) AS open,
+  CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS high, CAST(min(l_extendedprice) AS DECIMAL(18,2)) AS low,
+  CAST(arg_max(l_extendedprice, l_orderkey * 8 + l_linenumber) AS DECIMAL(18,2)) AS close,
+  CAST(sum(l_quantity) AS BIGINT) AS volume
+FROM lineitem GROUP BY 1, 2)"""
+
+
+def d2(c: str) -> str:
+    return f"CAST({c} AS DOUBLE)"
+
+
+RAW_COLS = (f"symbol, date, {d2('open')} AS open, {d2('high')} AS high, {d2('low')} AS low, "
+            f"{d2('close')} AS close, volume, ingestion_timestamp, source_system, pipeline_run_id")
+
+ORACLES["clean_columns"] = BASE + (
+    f"SELECT symbol, date, {d2('open')} AS open, {d2('high')} AS high, {d2('low')} AS low, "
+    f"{d2('close')} AS adj_close, volume, pipeline_run_id AS pipeline_runid FROM raw_bars")
+ORACLES["add_metadata"] = with_ctes(EVENT_BARS) + (
+    f"SELECT symbol, date, {d2('open')} AS open, {d2('high')} AS high, {d2('low')} AS low, "
+    f"{d2('close')} AS close, volume, TIMESTAMP '2026-03-22 11:01:33' AS ingestion_timestamp, "
+    "'yfinance' AS source_system, '20260322_110133' AS pipeline_run_id FROM event_bars")
+ORACLES["flatten_panel"] = with_ctes(FLAG_BARS) + (
+    f"SELECT s.symbol, d.date, {d2('b.open')} AS open, {d2('b.high')} AS high, {d2('b.low')} AS low, "
+    f"{d2('b.close')} AS close, b.volume "
+    "FROM (SELECT DISTINCT symbol FROM flag_bars) s CROSS JOIN (SELECT DISTINCT date FROM flag_bars) d "
+    "LEFT JOIN flag_bars b ON b.symbol = s.symbol AND b.date = d.date")
+ORACLES["conform_columns"] = BASE + f"SELECT {RAW_COLS} FROM raw_bars"
+ORACLES["filter_symbols"] = BASE + f"""SELECT {RAW_COLS}, tie1, tie2 FROM raw_bars
+WHERE symbol IN (SELECT 'S' || CAST(s_suppkey AS VARCHAR) FROM supplier
+                 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+                 WHERE r_name = 'ASIA')"""
+ORACLES["date_range"] = BASE + (
+    f"SELECT {RAW_COLS}, tie1, tie2 FROM raw_bars WHERE date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'")
+ORACLES["historical_days"] = STAGED_BASE + (
+    f"SELECT {STAGED_COLS} FROM staged WHERE date BETWEEN DATE '2000-06-30' - 30 AND DATE '2000-06-30'")
+ORACLES["latest_bar"] = STAGED_BASE + f"""SELECT {STAGED_COLS} FROM staged
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1"""
+ORACLES["business_days"] = BASE + """SELECT CAST(d AS DATE) AS date FROM (
+  SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS d FROM raw_bars) g
+WHERE dayofweek(d) NOT IN (0, 6)"""
+GRID = """grid AS (
+SELECT symbol, CAST(d AS DATE) AS date FROM (
+  SELECT symbol, unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS d
+  FROM staged GROUP BY symbol) g
+WHERE dayofweek(d) NOT IN (0, 6))"""
+ORACLES["expected_grid"] = with_ctes(RAW_BARS, CAST_BARS, STAGED, GRID) + "SELECT symbol, date FROM grid"
+ORACLES["missing_bars"] = with_ctes(RAW_BARS, CAST_BARS, STAGED, GRID) + (
+    "SELECT g.symbol, g.date FROM grid g ANTI JOIN staged s ON g.symbol = s.symbol AND g.date = s.date")
+
+# --- reports ---------------------------------------------------------------
+
+ORACLES["summary_by_symbol"] = STAGED_BASE + f"""SELECT symbol,
+  {dbl(cents('min(close_price)'))} AS min_close, {dbl(cents('max(close_price)'))} AS max_close,
+  {dbl(half_up_div('sum(' + cents('close_price') + ')', 'count(*)'))} AS mean_close,
+  CAST(sum(volume) AS BIGINT) AS total_volume
+FROM staged GROUP BY symbol"""
+ORACLES["top_gainers"] = SERIES_BASE + f"""SELECT symbol, date, {dbl('ret_bp')} AS daily_return_pct
+FROM series WHERE prev_c IS NOT NULL AND date BETWEEN DATE '2001-11-04' - 7 AND DATE '2001-11-04'
+ORDER BY ret_bp DESC NULLS LAST, symbol, date LIMIT 10"""
+ORACLES["recent_signals"] = SERIES_BASE + f"""SELECT symbol, date, {dbl('close_c')} AS close_price,
+  crossover_signal FROM signals
+WHERE crossover_signal = 'Golden Cross' AND date BETWEEN DATE '2001-11-04' - 30 AND DATE '2001-11-04'"""
+ORACLES["layer_summary"] = MARTS_BASE + """SELECT 'RAW' AS layer, 'stock_prices_raw' AS table_name, count(*) AS row_count FROM raw_bars
+UNION ALL SELECT 'STAGING', 'stg_stock_prices', count(*) FROM staged
+UNION ALL SELECT 'MARTS', 'daily_returns', count(*) FROM daily_returns
+UNION ALL SELECT 'MARTS', 'moving_averages', count(*) FROM moving_averages
+UNION ALL SELECT 'MARTS', 'volume_analysis', count(*) FROM volume_analysis"""

@@ -86,3 +86,21 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.max("ts").alias("ingestion_timestamp"))
             .withColumn("source_system", F.lit("events"))
             .withColumn("pipeline_run_id", F.date_format("ingestion_timestamp", "yyyyMMdd")))
+
+
+def flag_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars per ``lineitem`` flag pair (return flag + line status).
+
+    A short, data-derived symbol list (a handful of pairs) whose series grow
+    with ``lineitem``: the shape of a vendor's multi-ticker panel.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    seq = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    price = F.col("l_extendedprice")
+    return (li.groupBy(F.concat("l_returnflag", "l_linestatus").alias("symbol"),
+                       F.col("l_shipdate").cast("date").alias("date"))
+              .agg(F.min_by(price, seq).cast(PRICE).alias("open"),
+                   F.max(price).cast(PRICE).alias("high"),
+                   F.min(price).cast(PRICE).alias("low"),
+                   F.max_by(price, seq).cast(PRICE).alias("close"),
+                   F.sum("l_quantity").cast("bigint").alias("volume")))
