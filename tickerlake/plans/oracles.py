@@ -303,9 +303,9 @@ FROM events GROUP BY 1, 2)"""
 
 FLAG_BARS = """flag_bars AS (
 SELECT l_returnflag || l_linestatus AS symbol, CAST(l_shipdate AS DATE) AS date,
-  CAST(arg_min(l_extendedprice, l_orderkey * 8 + l_linenumber) AS DECIMAL(18,2)) AS open,
+  CAST(arg_min(l_extendedprice, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS DECIMAL(18,2)) AS open,
   CAST(max(l_extendedprice) AS DECIMAL(18,2)) AS high, CAST(min(l_extendedprice) AS DECIMAL(18,2)) AS low,
-  CAST(arg_max(l_extendedprice, l_orderkey * 8 + l_linenumber) AS DECIMAL(18,2)) AS close,
+  CAST(arg_max(l_extendedprice, (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice)) AS DECIMAL(18,2)) AS close,
   CAST(sum(l_quantity) AS BIGINT) AS volume
 FROM lineitem GROUP BY 1, 2)"""
 

@@ -95,8 +95,9 @@ def flag_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     with ``lineitem``: the shape of a vendor's multi-ticker panel.
     """
     li = table(spark, sf_dir, "lineitem")
-    seq = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     price = F.col("l_extendedprice")
+    # (order, line) repeats in this table; the price itself ends the tie-break.
+    seq = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     return (li.groupBy(F.concat("l_returnflag", "l_linestatus").alias("symbol"),
                        F.col("l_shipdate").cast("date").alias("date"))
               .agg(F.min_by(price, seq).cast(PRICE).alias("open"),
