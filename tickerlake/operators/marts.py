@@ -147,3 +147,36 @@ def volume_analysis(staged: DataFrame) -> DataFrame:
     """V5: the volume_analysis mart (first bars kept)."""
     df = with_volume_labels(with_price_change_pct(with_volume_vs_avg(staged)))
     return df.filter(F.col("avg_volume_7d").isNotNull()).select(*S.VOLUME_ANALYSIS_COLUMNS)
+
+
+# --- all marts from one window pass ----------------------------------------
+
+def series_features(staged: DataFrame) -> DataFrame:
+    """Every series column of the three marts, from one Exchange + Sort.
+
+    The moving-average columns, LAGs, distances and volume ratios all share
+    ``PARTITION BY symbol ORDER BY date``; computing them together lets a
+    caller checkpoint one table and project the marts from it without
+    another shuffle.
+    """
+    df = with_volume_vs_avg(with_moving_averages(with_prev_close(staged)))
+    df = with_crossover(with_prev_averages(df))
+    df = df.withColumns({
+        "daily_change_inr": F.col("close_price") - F.col("prev_close_price"),
+        "daily_return_pct": daily_return_pct(),
+        "price_change_pct": daily_return_pct(),
+        "distance_from_ma7_pct": distance_pct("close_price", "ma_7_day"),
+        "distance_from_ma30_pct": distance_pct("close_price", "ma_30_day"),
+    })
+    return with_volume_labels(with_return_category(df))
+
+
+def marts_from_features(features: DataFrame) -> dict[str, DataFrame]:
+    """The three marts as projections of ``series_features``."""
+    return {
+        "daily_returns": features.filter(F.col("prev_close_price").isNotNull())
+                                 .select(*S.DAILY_RETURNS_COLUMNS),
+        "moving_averages": features.select(*S.MOVING_AVERAGES_COLUMNS),
+        "volume_analysis": features.filter(F.col("avg_volume_7d").isNotNull())
+                                   .select(*S.VOLUME_ANALYSIS_COLUMNS),
+    }

@@ -14,8 +14,12 @@ from pyspark.sql import functions as F
 import datetime as dt
 
 from tickerlake import schema as S
-from tickerlake.operators import ingest, marts, quality, reports, staging
+from tickerlake.operators import ingest, marts, privacy, quality, reports, staging
 from tickerlake.plans.boundary import to_plain_types
+from tickerlake.plans.daily_run import run_daily
+from tickerlake.session import ensure_checkpoint_dir, scratch_path
+from tickerlake.sources import csv, tables
+from tickerlake.streaming import refresh
 from tickerlake.sources.testbeds import event_bars, flag_bars, raw_bars, raw_bars_order, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -359,3 +363,129 @@ def q_layer_summary(spark, sf_dir):
     t = layer_tables(spark, sf_dir)
     layers = {"stock_prices_raw": S.BRONZE_LAYER, "stg_stock_prices": S.SILVER_LAYER}
     return reports.layer_summary({(layers.get(k, S.GOLD_LAYER), k): v for k, v in t.items()})
+
+
+# --- sources and sinks (S1-S10) --------------------------------------------
+# Queries that exercise a sink write into a fresh folder under the shared
+# ``spark.checkpoint.dir`` and return what they read back.
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    ensure_checkpoint_dir(spark)
+    return scratch_path(spark, name)
+
+
+@query("read_csv_roundtrip")
+def q_read_csv_roundtrip(spark, sf_dir):
+    path = scratch(spark, "csv-read")
+    ingest.conform(raw_bars(spark, sf_dir)).write.option("header", True).csv(path)
+    return csv.read_bars_csv(spark, path)
+
+
+@query("quarantine_malformed")
+def q_quarantine_malformed(spark, sf_dir):
+    path = scratch(spark, "landing")
+    raw = raw_bars(spark, sf_dir)
+    ingest.conform(raw.filter(F.col("close").isNotNull())).write.option("header", True).csv(path)
+    # Bars without a close land torn: only their first two fields were written.
+    (raw.filter(F.col("close").isNull()).select("symbol", "date")
+        .write.mode("append").option("header", True).csv(path))
+    _good, bad = csv.quarantine_malformed(spark, path)
+    return bad
+
+
+@query("csv_export_roundtrip")
+def q_csv_export_roundtrip(spark, sf_dir):
+    path = scratch(spark, "csv-export")
+    staged = staged_bars(spark, sf_dir)
+    csv.write_bars_csv(staged, path)
+    return csv.read_bars_csv(spark, path, staged.schema)
+
+
+@query("bronze_append")
+def q_bronze_append(spark, sf_dir):
+    target = scratch(spark, "bronze-append")
+    bars = event_bars(spark, sf_dir)
+    tables.append_bronze(bars, target)
+    tables.append_bronze(bars, target)
+    return tables.read_table(spark, target)
+
+
+@query("bronze_replace")
+def q_bronze_replace(spark, sf_dir):
+    target = scratch(spark, "bronze-replace")
+    tables.append_bronze(ingest.conform(raw_bars(spark, sf_dir)), target, validate=False)
+    tables.replace_bronze(event_bars(spark, sf_dir), target)
+    return tables.read_table(spark, target)
+
+
+@query("publish_mart")
+def q_publish_mart(spark, sf_dir):
+    target = scratch(spark, "mart")
+    tables.publish_table(marts.daily_returns(staged_bars(spark, sf_dir)), target)
+    return tables.read_table(spark, target)
+
+
+@query("table_profile")
+def q_table_profile(spark, sf_dir):
+    return tables.profile(staged_bars(spark, sf_dir))
+
+
+@query("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    return tables.sample_rows(staged_bars(spark, sf_dir), 5, ("symbol", "date"))
+
+
+# --- redaction, retention, refresh (X1-X6) ---------------------------------
+
+@query("redact_documents")
+def q_redact_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return privacy.redact_secrets(docs, "text", loose_token=True)
+
+
+@query("redact_urls")
+def q_redact_urls(spark, sf_dir):
+    return privacy.redact_secrets(table(spark, sf_dir, "pages").select("page_id", "url"), "url")
+
+
+@query("redact_map")
+def q_redact_map(spark, sf_dir):
+    ev = privacy.redact_map(table(spark, sf_dir, "events").select("event_id", "props"), "props", ["k"])
+    return ev.select("event_id", F.explode("props").alias("key", "value"))
+
+
+RETENTION_AS_OF = dt.datetime(2024, 1, 31)
+
+
+@query("retention_split")
+def q_retention_split(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    return privacy.with_archived_flag(ev, "ts", RETENTION_AS_OF, S.RETENTION_DAYS)
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    landing, bronze = scratch(spark, "stream-landing"), scratch(spark, "stream-bronze")
+    ingest.conform(raw_bars(spark, sf_dir)).write.option("header", True).csv(landing)
+    refresh.ingest_new_files(spark, landing, bronze, checkpoint=scratch(spark, "stream-ckpt"))
+    return tables.read_table(spark, bronze)
+
+
+UPSERT_CUTOFF = dt.datetime(2024, 1, 1, 8, 0, 0)
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf_dir):
+    raw = raw_bars(spark, sf_dir)
+    early = F.coalesce(F.col("ingestion_timestamp") < F.lit(UPSERT_CUTOFF).cast("timestamp_ntz"),
+                       F.lit(False))
+    keep = ("tie1", "tie2")
+    current = staging.stage(raw.filter(early), raw_bars_order(), keep)
+    merged = refresh.upsert_latest(current, raw.filter(~early), raw_bars_order(), keep)
+    return merged.select(*S.STAGED_COLUMNS)
+
+
+@query("daily_refresh")
+def q_daily_refresh(spark, sf_dir):
+    return run_daily(spark, event_bars(spark, sf_dir), scratch(spark, "daily")).summary

@@ -370,3 +370,58 @@ UNION ALL SELECT 'STAGING', 'stg_stock_prices', count(*) FROM staged
 UNION ALL SELECT 'MARTS', 'daily_returns', count(*) FROM daily_returns
 UNION ALL SELECT 'MARTS', 'moving_averages', count(*) FROM moving_averages
 UNION ALL SELECT 'MARTS', 'volume_analysis', count(*) FROM volume_analysis"""
+
+# --- sources and sinks -----------------------------------------------------
+
+ORACLES["read_csv_roundtrip"] = BASE + f"SELECT {RAW_COLS} FROM raw_bars"
+ORACLES["quarantine_malformed"] = BASE + (
+    "SELECT symbol || ',' || strftime(date, '%Y-%m-%d') AS raw_line, 'malformed' AS reasons "
+    "FROM raw_bars WHERE close IS NULL")
+ORACLES["csv_export_roundtrip"] = ORACLES["stg_stock_prices"]
+EVENT_COLS = (f"symbol, date, {d2('open')} AS open, {d2('high')} AS high, {d2('low')} AS low, "
+              f"{d2('close')} AS close, volume, ingestion_timestamp, source_system, pipeline_run_id")
+ORACLES["bronze_append"] = with_ctes(EVENT_BARS) + (
+    f"SELECT {EVENT_COLS} FROM event_bars UNION ALL SELECT {EVENT_COLS} FROM event_bars")
+ORACLES["bronze_replace"] = with_ctes(EVENT_BARS) + f"SELECT {EVENT_COLS} FROM event_bars"
+ORACLES["publish_mart"] = ORACLES["daily_returns"]
+ORACLES["table_profile"] = STAGED_BASE + (
+    "SELECT true AS table_exists, count(*) AS row_count, count(DISTINCT symbol) AS symbols, "
+    "min(date) AS first_date, max(date) AS last_date FROM staged")
+ORACLES["sample_rows"] = STAGED_BASE + f"SELECT {STAGED_COLS} FROM staged ORDER BY symbol, date LIMIT 5"
+
+# --- redaction, retention, refresh -----------------------------------------
+
+
+def sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# Same rules as tickerlake.functions.redact, in RE2 replacement syntax (\1).
+def redact_sql(col: str, loose: bool) -> str:
+    from tickerlake.functions.redact import LOOSE_TOKEN_RULE, SECRET_RULES
+    expr = col
+    for pattern, repl in SECRET_RULES + ((LOOSE_TOKEN_RULE,) if loose else ()):
+        expr = f"regexp_replace({expr}, {sql_str(pattern)}, {sql_str(repl.replace('$1', chr(92) + '1'))}, 'g')"
+    return expr
+
+
+ORACLES["redact_documents"] = f"SELECT doc_id, {redact_sql('text', True)} AS text FROM documents"
+ORACLES["redact_urls"] = f"SELECT page_id, {redact_sql('url', False)} AS url FROM pages"
+ORACLES["redact_map"] = """SELECT event_id, k AS key,
+  CASE WHEN lower(k) IN ('k') THEN '***REDACTED***'
+       ELSE json_extract_string(props, '$."' || k || '"') END AS value
+FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) e"""
+ORACLES["retention_split"] = """SELECT event_id, ts,
+  coalesce(ts < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY, false) AS archived FROM events"""
+ORACLES["stream_ingest"] = BASE + f"SELECT {RAW_COLS} FROM raw_bars"
+ORACLES["upsert_latest"] = ORACLES["stg_stock_prices"]
+ORACLES["daily_refresh"] = "WITH " + EVENT_BARS + """, st AS (
+  SELECT * FROM event_bars
+  WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL
+    AND volume IS NOT NULL AND low <= high AND open BETWEEN low AND high
+    AND close BETWEEN low AND high AND close > 0 AND volume > 0)
+SELECT 'RAW' AS layer, 'stock_prices_raw' AS table_name, count(*) AS row_count FROM event_bars
+UNION ALL SELECT 'STAGING', 'stg_stock_prices', count(*) FROM st
+UNION ALL SELECT 'MARTS', 'daily_returns', count(*) - count(DISTINCT symbol) FROM st
+UNION ALL SELECT 'MARTS', 'moving_averages', count(*) FROM st
+UNION ALL SELECT 'MARTS', 'volume_analysis', count(*) FROM st"""
