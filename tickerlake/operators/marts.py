@@ -125,7 +125,8 @@ def with_volume_vs_avg(df: DataFrame, rows: int = S.VOLUME_MA_ROWS) -> DataFrame
     return df.withColumns({
         "avg_volume_7d": F.round(F.avg(vol).over(w), 0),
         "volume_vs_avg_pct": ratio_half_up(
-            vol * F.count(F.lit(1)).over(w).cast("int"), F.sum(vol).over(w), 0, factor=100),
+            vol * F.count(F.lit(1)).over(w).cast("int"), F.sum(vol).over(w), 0, factor=100,
+            operand_scale=0),
     })
 
 

@@ -101,17 +101,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] = ("symbol", "date"),
               .drop("_rn"))
 
 
+def valid(raw: DataFrame) -> DataFrame:
+    """Cast and validate, before deduplication."""
+    return positive_bars(valid_ohlc(drop_null_bars(cast_prices(raw))))
+
+
+def derive(df: DataFrame) -> DataFrame:
+    """The derived columns."""
+    return with_daily_change_pct(with_daily_range(df))
+
+
 def clean(raw: DataFrame) -> DataFrame:
-    """Cast, validate (T2-T4) and derive, before deduplication."""
-    return with_daily_change_pct(with_daily_range(
-        positive_bars(valid_ohlc(drop_null_bars(cast_prices(raw))))))
+    """T1-T6 on every valid row."""
+    return derive(valid(raw))
 
 
 def stage(raw: DataFrame, order: Sequence[Column] | None = None,
           keep: Sequence[str] = ()) -> DataFrame:
-    """The staging view: T1-T7 composed, 12 published columns (+ ``keep``)."""
-    deduped = latest_per_key(clean(raw), ("symbol", "date"), order)
-    return deduped.select(*STAGED_COLUMNS, *keep)
+    """The staging view: T1-T7 composed, 12 published columns (+ ``keep``).
+
+    Validity is checked before deduplication; the derived columns are pure
+    functions of the surviving row, so they are computed after it and the
+    duplicates never pay for them.
+    """
+    deduped = latest_per_key(valid(raw), ("symbol", "date"), order)
+    return derive(deduped).select(*STAGED_COLUMNS, *keep)
 
 
 def reject_reasons() -> Column:

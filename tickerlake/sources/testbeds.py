@@ -27,30 +27,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _cents(c: str) -> F.Column:
-    return F.round(F.col(c) * 100).cast("bigint")
+    """A 2-decimal DOUBLE in cents. The tables' amounts have at most two
+    decimals, so ``x * 100`` lies within float error of an integer and ``rint``
+    equals ``round`` here, without round's per-value BigDecimal conversion."""
+    return F.rint(F.col(c) * 100).cast("bigint")
+
+
+def _price(units: F.Column) -> F.Column:
+    """Integer cents -> DECIMAL(18,2), exactly (one decimal multiply)."""
+    return (units.cast(T.DecimalType(18, 0)) * F.lit(CENT)).cast(PRICE)
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw bars with tie-break columns ``tie1`` (line number), ``tie2`` (part key)."""
+    """Raw bars with tie-break columns ``tie1`` (line number), ``tie2`` (part key).
+
+    Prices are built in integer cents and converted to DECIMAL once: the
+    staging filters are pushed below this projection and inline it, so its
+    arithmetic must stay cheap.
+    """
     li = table(spark, sf_dir, "lineitem")
-    dec12 = T.DecimalType(12, 0)
     qty = F.col("l_quantity").cast("bigint")
-    base = (F.lit(100000) + _cents("l_extendedprice") % 10000).cast(dec12)
-    up = (_cents("l_tax") * qty).cast(dec12)
-    dn = (_cents("l_discount") * qty).cast(dec12)
+    base = F.lit(100000) + _cents("l_extendedprice") % 10000
+    up = _cents("l_tax") * qty
+    dn = _cents("l_discount") * qty
     line = F.col("l_linenumber")
-
-    def price(units: F.Column) -> F.Column:
-        return (units * F.lit(CENT)).cast(PRICE)
-
     close_units = base + up - dn + F.when(line == 6, dn * 2).otherwise(F.lit(0))
     return li.select(
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
         F.col("l_shipdate").cast("date").alias("date"),
-        price(base).alias("open"),
-        price(base + up).alias("high"),
-        price(base - dn).alias("low"),
-        F.when(line == 7, F.lit(None).cast(PRICE)).otherwise(price(close_units)).alias("close"),
+        _price(base).alias("open"),
+        _price(base + up).alias("high"),
+        _price(base - dn).alias("low"),
+        F.when(line == 7, F.lit(None).cast(PRICE)).otherwise(_price(close_units)).alias("close"),
         ((qty - 1) * 1000).alias("volume"),
         (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
          + F.make_dt_interval(secs=F.col("l_orderkey"))).alias("ingestion_timestamp"),

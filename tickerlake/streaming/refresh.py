@@ -84,7 +84,7 @@ def upsert_into(spark: SparkSession, target: str, batch: DataFrame,
     the write, so the table is never read and overwritten by the same lineage.
     Returns the rows written.
     """
-    keys = staging.clean(batch).select("date").distinct()
+    keys = staging.valid(batch).select("date").distinct()
     if table_exists(spark, target):
         current = read_table(spark, target).join(keys, "date", "left_semi")
         merged = upsert_latest(current, batch, order, keep)
