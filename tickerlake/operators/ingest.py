@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake import schema as S
+from tickerlake.functions.timeutil import date_lit, ntz
 
 # --- I1 / I2 / I4: names, batch metadata, canonical columns -----------------
 
@@ -36,7 +37,7 @@ def clean_columns(df: DataFrame) -> DataFrame:
 def add_metadata(df: DataFrame, run_ts: dt.datetime,
                  source: str = S.DEFAULT_SOURCE_SYSTEM) -> DataFrame:
     """The three batch constants; ``run_ts`` is passed in so reruns repeat."""
-    ts = F.lit(run_ts).cast("timestamp_ntz")
+    ts = ntz(run_ts)
     return df.withColumns({
         "ingestion_timestamp": ts,
         "source_system": F.lit(source),
@@ -104,10 +105,7 @@ def filter_symbols(df: DataFrame, symbols: Sequence[str] | DataFrame = S.DEFAULT
     return df.filter(F.col("symbol").isin(list(symbols)))
 
 
-def _date(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    return F.lit(v if isinstance(v, dt.date) else dt.date.fromisoformat(str(v)))
+_date = date_lit
 
 
 def date_range(df: DataFrame, start, end, col: str = "date") -> DataFrame:
@@ -127,8 +125,9 @@ def latest(df: DataFrame, key: str = "symbol", order: Sequence[str] = ("date",))
     """I8: the most recent row per symbol.
 
     ``max_by`` over a struct of every column, ordered by ``order`` (add tie
-    columns for a total order): a hash aggregate with map-side partial
-    aggregation, so a symbol with many rows costs one row per task to shuffle.
+    columns for a total order). Struct buffers plan as a sort-based aggregate
+    with a partial (map-side) step, so a symbol with many rows costs one row
+    per task to shuffle.
     """
     others = [c for c in df.columns if c != key]
     best = F.max_by(F.struct(*others), F.struct(*order))

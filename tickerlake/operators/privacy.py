@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlake import schema as S
+from tickerlake.functions.timeutil import ntz
 from tickerlake.functions.redact import STRING_MAP, redact_map_values, redact_text, rules
 
 
@@ -32,11 +32,7 @@ def redact_map(df: DataFrame, col: str, keys: Sequence[str] = S.SENSITIVE_KEYS,
 
 
 def _ts(v) -> Column:
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, str):
-        v = dt.datetime.fromisoformat(v)
-    return F.lit(v).cast("timestamp_ntz")
+    return ntz(v)
 
 
 def with_archived_flag(df: DataFrame, ts: str, as_of, days: int = S.RETENTION_DAYS) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import datetime as dt
 
 from tickerlake import schema as S
+from tickerlake.functions.timeutil import ntz
 from tickerlake.operators import ingest, marts, privacy, quality, reports, staging
 from tickerlake.plans.boundary import to_plain_types
 from tickerlake.plans.daily_run import run_daily
@@ -478,8 +479,7 @@ UPSERT_CUTOFF = dt.datetime(2024, 1, 1, 8, 0, 0)
 @query("upsert_latest")
 def q_upsert_latest(spark, sf_dir):
     raw = raw_bars(spark, sf_dir)
-    early = F.coalesce(F.col("ingestion_timestamp") < F.lit(UPSERT_CUTOFF).cast("timestamp_ntz"),
-                       F.lit(False))
+    early = F.coalesce(F.col("ingestion_timestamp") < ntz(UPSERT_CUTOFF), F.lit(False))
     keep = ("tie1", "tie2")
     current = staging.stage(raw.filter(early), raw_bars_order(), keep)
     merged = refresh.upsert_latest(current, raw.filter(~early), raw_bars_order(), keep)
