@@ -103,3 +103,39 @@ def test_retention_split(spark):
     recent, old = split_by_age(df, "ts", dt.datetime(2024, 1, 31), 7)
     assert sorted(r.id for r in recent.collect()) == [2, 3]
     assert [r.id for r in old.collect()] == [1]
+
+
+def test_stream_upsert_equals_rebuild(spark, tmp_dir):
+    raw = raw_bars(spark, SF_SMALL).select(*S.RAW_COLUMNS)
+    landing, target = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "staged")
+    ckpt = os.path.join(tmp_dir, "ckpt")
+    raw.filter(F.col("pipeline_run_id") < "run_2").write.option("header", True).csv(
+        os.path.join(landing, "a"))
+    refresh.stream_upsert(spark, os.path.join(landing, "*"), target, ckpt)
+    raw.filter(F.col("pipeline_run_id") >= "run_2").write.option("header", True).csv(
+        os.path.join(landing, "b"))
+    refresh.stream_upsert(spark, os.path.join(landing, "*"), target, ckpt)
+    stored = tables.read_table(spark, target).select(*S.STAGED_COLUMNS)
+    full = staging.stage(raw).select(*S.STAGED_COLUMNS)
+    assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0
+
+
+def test_ingest_archives_processed_files(spark, tmp_dir):
+    landing, bronze, archive = (os.path.join(tmp_dir, d) for d in ("landing", "bronze", "archive"))
+    write(landing, "f1.csv", [HEADER, "A,2026-02-02,1.00,2.00,0.50,1.50,10,2026-03-22 11:01:33,y,r1"])
+    assert refresh.ingest_new_files(spark, landing, bronze, os.path.join(tmp_dir, "ck"),
+                                    archive=archive) == 1
+    write(landing, "f2.csv", [HEADER, "B,2026-02-02,1.00,2.00,0.50,1.50,10,2026-03-22 11:01:33,y,r1"])
+    assert refresh.ingest_new_files(spark, landing, bronze, os.path.join(tmp_dir, "ck"),
+                                    archive=archive) == 1
+    archived = [f for _, _, fs in os.walk(archive) for f in fs if f.endswith(".csv")]
+    assert "f1.csv" in archived
+
+
+def test_required_columns_reports_missing(spark):
+    from tickerlake.operators.quality import load_checks, require_columns
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    rows = {r.column_name: r.present for r in require_columns(li).collect()}
+    assert set(rows) == set(S.REQUIRED_COLUMNS) and not any(rows.values())
+    with pytest.raises(ValueError):
+        load_checks(li)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +39,6 @@ def get_session(master: str | None = None, app: str = "tickerlake",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -60,13 +57,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Make ``spark.checkpoint.dir`` effective for ``DataFrame.checkpoint``.
 
-    Uses the session's setting; only where it is unset (tests, local runs) is
-    ``fallback`` or a fresh temporary folder used.
+    Uses the session's setting. Only a caller that knows it runs locally
+    (tests) passes ``fallback``; with neither, this raises rather than
+    invent a machine-local folder that a lost executor could not read.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or fallback
     if not root:
-        root = fallback or tempfile.mkdtemp(prefix="tickerlake-ckpt-")
+        raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root
@@ -88,17 +86,8 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def exists(spark: SparkSession, path: str) -> bool:
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
+    """Whether ``path`` exists, resolved like Spark resolves it (default FS)."""
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
