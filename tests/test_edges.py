@@ -257,3 +257,14 @@ def test_flatten_panel_skips_absent_symbols(spark):
     panel = to_panel(bars, ["X"])
     out = flatten_panel(panel, ["X", "MISSING"]).collect()
     assert [(r.symbol, r.Close) for r in out] == [("X", 1.5)]
+
+
+def test_gate_report_one_pass(spark):
+    rows = [("A", D0, 1.0, 1.0, 2.0, None, 5, dt.datetime(2026, 3, 1), "s", "r"),
+            (None, D0, 1.0, 3.0, 2.0, 2.5, 5, dt.datetime(2026, 3, 1), "s", "r")]
+    got = {r.check_name: (r.observed, r.passed) for r in quality.gate_report(raw_df(spark, rows)).collect()}
+    assert got["has_data"] == (2, True) and got["has_symbols"] == (1, True)
+    assert got["no_null_close"] == (1, False) and got["valid_ohlc"] == (1, False)
+    assert got["null_symbol"] == (1, False) and got["null_date"] == (0, True)
+    assert got["low_above_high"] == (1, False)
+    assert [quality.load_status(*c) for c in ((3, 3), (3, 1), (3, 0))] == ["match", "partial", "failed"]

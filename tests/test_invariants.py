@@ -85,3 +85,33 @@ def test_crossovers_alternate(spark):
         between = ma.filter((F.col("symbol") == r.symbol) & (F.col("date") < r.date)) \
                     .orderBy(F.col("date").desc()).limit(40).collect()
         assert any(b.ma_7_day == b.ma_30_day for b in between)
+
+
+def test_hot_copy_group_holding_a_third_of_rows(spark):
+    """One (symbol, date) with half as many copies as all other rows together."""
+    raw = raw_bars(spark, SF_SMALL)
+    n = raw.count()
+    hot = (raw.filter(F.col("close").isNotNull()).limit(1)
+              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(n // 2))))
+              .withColumn("tie2", F.col("tie2") + F.col("copy")).drop("copy"))
+    skewed = raw.unionByName(hot)
+    st = staging.stage(skewed, raw_bars_order(), keep=("tie1", "tie2"))
+    base = _staged(spark)
+    assert st.count() == base.count()
+    h = hot.select("symbol", "date").first()
+    key = (F.col("symbol") == h.symbol) & (F.col("date") == h.date)
+    want = (staging.valid(skewed).filter(key)
+            .orderBy(F.col("ingestion_timestamp").desc(), F.col("tie1").desc(), F.col("tie2").desc())
+            .first())
+    won = st.filter(key).collect()
+    assert len(won) == 1
+    assert (won[0].ingestion_timestamp, won[0].tie1, won[0].tie2) == \
+        (want.ingestion_timestamp, want.tie1, want.tie2)
+
+
+def test_daily_run_marts_need_no_shuffle_after_checkpoint(spark):
+    from tickerlake.session import cut_lineage
+    st = _staged(spark).select(*S.STAGED_COLUMNS)
+    feats = cut_lineage(marts.series_features(st))
+    for df in marts.marts_from_features(feats).values():
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()

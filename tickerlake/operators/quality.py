@@ -102,6 +102,34 @@ def batch_gate(df: DataFrame) -> DataFrame:
     return agg.select(F.inline(rows))
 
 
+def gate_report(df: DataFrame) -> DataFrame:
+    """Q4 and the loader's Q1-Q3 in one aggregation (one pass over a batch).
+
+    ``(check_name, observed, passed)``; the row count is the ``has_data`` row.
+    Q1 is a schema check and raises before any data is read.
+    """
+    missing = [c for c in S.REQUIRED_COLUMNS if c not in df.columns]
+    if missing:
+        raise ValueError(f"Missing required columns: {missing}")
+    checks = {
+        "has_data": (F.count(F.lit(1)), lambda c: c > 0),
+        "has_symbols": (F.count("symbol"), lambda c: c > 0),
+        "no_null_close": (count_if(F.col("close").isNull()), lambda c: c == 0),
+        "valid_ohlc": (count_if(~F.coalesce(F.col("low") <= F.col("high"), F.lit(False))),
+                       lambda c: c == 0),
+        **{f"null_{c}": (count_if(F.col(c).isNull()), lambda c: c == 0)
+           for c in S.NOT_NULL_AT_LOAD if c != "close"},
+        "low_above_high": (count_if(F.col("low") > F.col("high")), lambda c: c == 0),
+    }
+    agg = df.agg(*[e.alias(n) for n, (e, _) in checks.items()])
+    rows = F.array(*[
+        F.struct(F.lit(n).alias("check_name"), F.col(n).alias("observed"),
+                 ok(F.col(n)).alias("passed"))
+        for n, (_, ok) in checks.items()
+    ])
+    return agg.select(F.inline(rows))
+
+
 # --- Q5-Q7: declared table tests ------------------------------------------
 
 def not_null(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
@@ -193,6 +221,13 @@ def enforce(results: DataFrame, passed_col: str = "passed") -> None:
 
 # --- Q9: load reconciliation -----------------------------------------------
 
+def load_status(extracted_rows: int, loaded_rows: int) -> str:
+    """Q9 on totals: ``match``, ``partial`` (some rows, not the same count) or ``failed``."""
+    if loaded_rows == extracted_rows:
+        return "match"
+    return "partial" if loaded_rows > 0 else "failed"
+
+
 def reconcile(extracted: DataFrame, loaded: DataFrame, key: str = "pipeline_run_id") -> DataFrame:
     """Q9: per run, rows extracted vs rows loaded.
 
