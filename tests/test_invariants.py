@@ -115,3 +115,21 @@ def test_daily_run_marts_need_no_shuffle_after_checkpoint(spark):
     feats = cut_lineage(marts.series_features(st))
     for df in marts.marts_from_features(feats).values():
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_refresh_marts_touching_few_symbols_equals_rebuild(spark):
+    from tickerlake.streaming.refresh import affected_symbols, refresh_marts
+    raw = raw_bars(spark, SF_SMALL)
+    keep = ("tie1", "tie2")
+    touched = F.col("symbol").isin("S1", "S2") & (F.col("tie1") <= 2)
+    current = staging.stage(raw.filter(~touched), raw_bars_order(), keep)
+    cur_marts = marts.marts_from_features(marts.series_features(current.select(*S.STAGED_COLUMNS)))
+    batch = raw.filter(touched)
+    staged = upsert_latest(current, batch, raw_bars_order(), keep)
+    assert sorted(r.symbol for r in affected_symbols(batch).collect()) == ["S1", "S2"]
+    got = refresh_marts(staged, cur_marts, affected_symbols(batch))
+    full = staging.stage(raw, raw_bars_order())
+    for name, fn in (("daily_returns", marts.daily_returns), ("moving_averages", marts.moving_averages),
+                     ("volume_analysis", marts.volume_analysis)):
+        want = fn(full)
+        assert got[name].exceptAll(want).count() == 0 and want.exceptAll(got[name]).count() == 0, name

@@ -486,6 +486,20 @@ def q_upsert_latest(spark, sf_dir):
     return merged.select(*S.STAGED_COLUMNS)
 
 
+@query("refresh_marts")
+def q_refresh_marts(spark, sf_dir):
+    raw = raw_bars(spark, sf_dir)
+    early = F.coalesce(F.col("ingestion_timestamp") < ntz(UPSERT_CUTOFF), F.lit(False))
+    keep = ("tie1", "tie2")
+    current = staging.stage(raw.filter(early), raw_bars_order(), keep)
+    current_marts = {"daily_returns": marts.daily_returns(current),
+                     "moving_averages": marts.moving_averages(current),
+                     "volume_analysis": marts.volume_analysis(current)}
+    late = raw.filter(~early)
+    staged = refresh.upsert_latest(current, late, raw_bars_order(), keep)
+    return refresh.refresh_marts(staged, current_marts, refresh.affected_symbols(late))["moving_averages"]
+
+
 @query("daily_refresh")
 def q_daily_refresh(spark, sf_dir):
     return run_daily(spark, event_bars(spark, sf_dir), scratch(spark, "daily")).summary

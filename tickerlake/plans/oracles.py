@@ -425,3 +425,4 @@ UNION ALL SELECT 'STAGING', 'stg_stock_prices', count(*) FROM st
 UNION ALL SELECT 'MARTS', 'daily_returns', count(*) - count(DISTINCT symbol) FROM st
 UNION ALL SELECT 'MARTS', 'moving_averages', count(*) FROM st
 UNION ALL SELECT 'MARTS', 'volume_analysis', count(*) FROM st"""
+ORACLES["refresh_marts"] = ORACLES["moving_averages"]

@@ -121,3 +121,27 @@ def stream_upsert(spark: SparkSession, landing: str, target: str, checkpoint: st
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def affected_symbols(batch: DataFrame) -> DataFrame:
+    """Symbols with at least one valid row in ``batch`` (the only ones whose
+    staged rows, and so whose mart rows, can change)."""
+    return staging.valid(batch).select("symbol").distinct()
+
+
+def refresh_marts(staged: DataFrame, current: dict[str, DataFrame], symbols: DataFrame
+                  ) -> dict[str, DataFrame]:
+    """X5 for the marts: rebuild the affected symbols, keep every other row.
+
+    A corrected bar changes its symbol's next LAG and up to 29 later averages,
+    so affected symbols are recomputed whole (a symbol's series is bounded by
+    the calendar). Unaffected rows pass through a left-anti join; the affected
+    set is a distinct list that AQE broadcasts once it has measured it.
+    Equals a full rebuild of the marts from ``staged``.
+    """
+    from tickerlake.operators import marts
+
+    part = staged.select(*S.STAGED_COLUMNS).join(symbols, "symbol", "left_semi")
+    fresh = marts.marts_from_features(marts.series_features(part))
+    return {name: current[name].join(symbols, "symbol", "left_anti").unionByName(fresh[name])
+            for name in fresh}
