@@ -243,7 +243,7 @@ ORACLES["dq_required_columns"] = BASE + "SELECT c.column_name, true AS present,
 ORACLES["dq_null_counts"] = BASE + report_sql(
     "raw_bars", [("null_count", c, f"{c} IS NULL") for c in ("symbol", "date", "close")])
 ORACLES["dq_ohlc"] = BASE + report_sql("raw_bars", [("low_above_high", "low,high", "low > high")])
-ORACLES["dq_batch_gate"] = BASE + """SELECT check_name, observed, passed FROM (
+ORACLES["dq_batch_gate"] = BASE + """SELECT check_name, CAST(observed AS BIGINT) AS observed, passed FROM (
   SELECT 1 AS k, 'has_data' AS check_name, count(*) AS observed, count(*) > 0 AS passed FROM raw_bars
   UNION ALL SELECT 2, 'has_symbols', count(symbol), count(symbol) > 0 FROM raw_bars
   UNION ALL SELECT 3, 'no_null_close', count_if(close IS NULL), count_if(close IS NULL) = 0 FROM raw_bars
