@@ -268,3 +268,20 @@ def test_gate_report_one_pass(spark):
     assert got["null_symbol"] == (1, False) and got["null_date"] == (0, True)
     assert got["low_above_high"] == (1, False)
     assert [quality.load_status(*c) for c in ((3, 3), (3, 1), (3, 0))] == ["match", "partial", "failed"]
+
+
+def test_min_rows_suppresses_early_signals(spark):
+    up = [("U", i, 100, 1) for i in range(7)] + [("U", 7, 200, 1)]
+    out = marts.moving_averages(staged_df(spark, up), min_rows=S.SLOW_MA_ROWS).collect()
+    assert all(r.crossover_signal is None for r in out)
+
+
+def test_dedup_ties_under_default_order(spark):
+    ts = dt.datetime(2026, 3, 1)
+    rows = [("A", D0, 10.0, 12.0, 9.0, 11.0, 5, ts, "s", "20260301_1"),
+            ("A", D0, 10.0, 12.0, 9.0, 10.0, 5, ts, "s", "20260301_2"),    # same time, later run: wins
+            ("B", D0, 10.0, 12.0, 9.0, 10.0, 5, ts, "s", "r"),
+            ("B", D0, 10.0, 12.0, 9.0, 11.5, 5, ts, "s", "r")]             # full tie: higher close wins
+    out = {r.symbol: r for r in staging.stage(raw_df(spark, rows)).collect()}
+    assert out["A"].pipeline_run_id == "20260301_2"
+    assert out["B"].close_price == Decimal("11.50")

@@ -89,10 +89,19 @@ def with_prev_averages(df: DataFrame) -> DataFrame:
     })
 
 
-def with_crossover(df: DataFrame, fast: str = "ma_7_day", slow: str = "ma_30_day") -> DataFrame:
-    """M3: Golden / Death Cross against the previous bar."""
-    return df.withColumn("crossover_signal", labels.crossover_signal(
-        fast, slow, f"prev_{fast}", f"prev_{slow}"))
+def with_crossover(df: DataFrame, fast: str = "ma_7_day", slow: str = "ma_30_day",
+                   min_rows: int = 0) -> DataFrame:
+    """M3: Golden / Death Cross against the previous bar.
+
+    By default a symbol's 8th bar can already signal: its first 7 bars have
+    equal averages and the comparison with the previous bar includes
+    equality. ``min_rows`` suppresses signals on a symbol's first
+    ``min_rows`` bars.
+    """
+    signal = labels.crossover_signal(fast, slow, f"prev_{fast}", f"prev_{slow}")
+    if min_rows:
+        signal = F.when(F.row_number().over(series()) > min_rows, signal)
+    return df.withColumn("crossover_signal", signal)
 
 
 def distance_pct(price, avg) -> Column:
@@ -102,9 +111,9 @@ def distance_pct(price, avg) -> Column:
     return pct_half_up(p - a, a)
 
 
-def moving_averages(staged: DataFrame) -> DataFrame:
+def moving_averages(staged: DataFrame, min_rows: int = 0) -> DataFrame:
     """M5: the moving_averages mart (previous averages are not exported)."""
-    df = with_crossover(with_prev_averages(with_moving_averages(staged)))
+    df = with_crossover(with_prev_averages(with_moving_averages(staged)), min_rows=min_rows)
     return (df.withColumns({
                 "distance_from_ma7_pct": distance_pct("close_price", "ma_7_day"),
                 "distance_from_ma30_pct": distance_pct("close_price", "ma_30_day"),
