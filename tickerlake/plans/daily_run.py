@@ -2,9 +2,10 @@
 
 One driver program replaces the original's chain of scheduled tasks; each
 stage stays a separate function so it can be rerun alone. Staging and all
-series columns are computed once, checkpointed into the shared folder
-(``spark.checkpoint.dir``) and the three marts are projections of that
-checkpoint: one shuffle for dedup, one for the series windows, none per mart.
+series columns are computed once and written into the shared folder
+(``spark.checkpoint.dir``); the staging table and the three marts are
+projections of that written table: one shuffle for dedup, one for the series
+windows, none per mart, and the window pass runs once.
 """
 
 from __future__ import annotations
@@ -55,8 +56,8 @@ def _full_build(spark: SparkSession, paths: dict[str, str], order, keep: Sequenc
     staged = staging.stage(bronze, order, keep)                                  # T8
     features = cut_lineage(marts.series_features(staged))                        # one window pass
     tables.publish_view(features.select(*S.STAGED_COLUMNS), "stg_stock_prices")  # S7
-    # The window pass left each partition sorted by (symbol, date) and the
-    # checkpoint keeps that order, so files are written in storage order as is.
+    # The window pass wrote each partition sorted by (symbol, date); the
+    # projections keep that order, so files are written in storage order.
     w = features.select(*S.STAGED_COLUMNS, *keep).write.mode("overwrite")
     (w.partitionBy("date") if partition_staging else w).parquet(paths["stg_stock_prices"])
     for name, df in marts.marts_from_features(features).items():                 # R5, M5, V5

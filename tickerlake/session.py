@@ -76,14 +76,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tickerlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint).
-
-    Used where several outputs share one expensive input, so that a lost
-    executor recomputes from the checkpoint rather than from raw files.
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Materialise ``df`` once as Parquet in the shared checkpoint folder and
+    read it back (never a local checkpoint, never a machine-local path).
+
+    Used where several outputs share one expensive input: a lost executor
+    re-reads the written files instead of recomputing from raw data. A
+    written table is computed once, whereas ``checkpoint()`` of an unpersisted
+    DataFrame runs its plan a second time to write the checkpoint.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
