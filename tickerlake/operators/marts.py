@@ -126,17 +126,20 @@ def moving_averages(staged: DataFrame, min_rows: int = 0) -> DataFrame:
 def with_volume_vs_avg(df: DataFrame, rows: int = S.VOLUME_MA_ROWS) -> DataFrame:
     """V1: 7-bar average volume (0 dp) and volume / unrounded average x 100 (0 dp).
 
-    volume / (sum / n) * 100 is computed as one exact division
-    volume * n * 100 / sum; the current bar is inside its own frame.
+    One frame sum and count feed both: the average is round_half_up(sum / n)
+    (the value ``round(avg(volume), 0)`` gives), and volume / (sum / n) * 100
+    is the single exact division volume * n * 100 / sum. The current bar is
+    inside its own frame.
     """
     vol = as_decimal("volume")
     w = frame(rows)
+    df = df.withColumns({"_vsum": F.sum(vol).over(w), "_vn": F.count(vol).over(w)})
+    n = F.col("_vn")
     return df.withColumns({
-        "avg_volume_7d": F.round(F.avg(vol).over(w), 0),
-        "volume_vs_avg_pct": ratio_half_up(
-            vol * F.count(F.lit(1)).over(w).cast("int"), F.sum(vol).over(w), 0, factor=100,
-            operand_scale=0),
-    })
+        "avg_volume_7d": ratio_half_up(F.col("_vsum"), n, 0, operand_scale=0),
+        "volume_vs_avg_pct": ratio_half_up(vol * n.cast("int"), F.col("_vsum"), 0, factor=100,
+                                           operand_scale=0),
+    }).drop("_vsum", "_vn")
 
 
 def with_price_change_pct(df: DataFrame) -> DataFrame:
