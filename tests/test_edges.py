@@ -285,3 +285,10 @@ def test_dedup_ties_under_default_order(spark):
     out = {r.symbol: r for r in staging.stage(raw_df(spark, rows)).collect()}
     assert out["A"].pipeline_run_id == "20260301_2"
     assert out["B"].close_price == Decimal("11.50")
+
+
+def test_accepted_values_with_universe_table(spark):
+    st = staged_df(spark, [("A", 0, 1, 1), ("B", 0, 1, 1), ("B", 1, 1, 1), ("C", 0, 1, 1)])
+    universe = spark.createDataFrame([("A",), ("C",)], "sym string")
+    got = {r.value: r.failing_rows for r in quality.accepted_values(st, "symbol", universe).collect()}
+    assert got == {"B": 2}

@@ -66,15 +66,5 @@ def pct_half_up(num, den, scale: int = 2, operand_scale: int | None = 2) -> Colu
     return ratio_half_up(num, den, scale, factor=100, operand_scale=operand_scale)
 
 
-def round_avg(col, rows_frame, scale: int) -> Column:
-    """``round(avg(col), scale)`` over a row frame, in decimals.
-
-    ``avg`` of a DECIMAL(p,s) keeps s+4 places; for frames of fewer than
-    10,000 rows the true mean is never within 10^-(s+4) of a rounding
-    boundary it does not sit on, so rounding the decimal mean is exact.
-    """
-    return F.round(F.avg(_col(col)).over(rows_frame), scale)
-
-
 def as_decimal(col, precision: int = 20, scale: int = 0) -> Column:
     return _col(col).cast(T.DecimalType(precision, scale))

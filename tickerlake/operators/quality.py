@@ -142,16 +142,23 @@ def not_null_checks(cols: Iterable[str]) -> list[Check]:
     return [Check("not_null", c, count_if(F.col(c).isNull())) for c in cols]
 
 
-def accepted_values(df: DataFrame, col: str, values: Sequence[str] = S.DEFAULT_SYMBOLS) -> DataFrame:
-    """Q6: values of ``col`` outside the accepted list, with their counts.
-
-    NULL is left to ``not_null``. A grouped count with map-side partial
-    aggregation: a hot bad value costs one row per task before the shuffle.
+def accepted_values(df: DataFrame, col: str,
+                    values: Sequence[str] | DataFrame = S.DEFAULT_SYMBOLS) -> DataFrame:
+    """Q6: values of ``col`` outside the accepted set, with their counts.
+
+    NULL is left to ``not_null``. A short list is an ``IN`` predicate; a large
+    universe given as a one-column DataFrame is a left-anti join (AQE picks
+    broadcast or shuffle after measuring it). The grouped count has map-side
+    partial aggregation: a hot bad value costs one row per task to shuffle.
     """
     c = F.col(col)
-    return (df.filter(c.isNotNull() & ~c.isin(list(values)))
-              .groupBy(c.alias("value"))
-              .agg(F.count(F.lit(1)).alias("failing_rows")))
+    present = df.filter(c.isNotNull())
+    if isinstance(values, DataFrame):
+        universe = values.select(F.col(values.columns[0]).alias(col)).distinct()
+        bad = present.join(universe, col, "left_anti")
+    else:
+        bad = present.filter(~c.isin(list(values)))
+    return bad.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("failing_rows"))
 
 
 def accepted_values_check(col: str, values: Sequence[str]) -> Check:
