@@ -117,3 +117,41 @@ def run_daily(spark: SparkSession, batch: DataFrame, workdir: str,
     summary = reports.layer_summary(
         {(LAYER_OF.get(k, S.GOLD_LAYER), k): v for k, v in stored.items()})      # P4
     return DailyRun(loaded, status, [r.asDict() for r in gate], suite, summary, paths)
+
+
+def main(argv: Sequence[str] | None = None) -> int:
+    """``spark-submit -m tickerlake.plans.daily_run --landing <csv dir> --workdir <dir>``.
+
+    Reads the landed CSV batch (S1), runs ``run_daily`` and prints the layer
+    summary and the declared tests. Exit status 1 if a declared test fails
+    with ``--enforce-suite``.
+    """
+    import argparse
+
+    from tickerlake.session import get_session
+    from tickerlake.sources.csv import read_bars_csv
+
+    ap = argparse.ArgumentParser(prog="tickerlake.plans.daily_run")
+    ap.add_argument("--landing", required=True, help="folder of landed header CSV files")
+    ap.add_argument("--workdir", required=True, help="root of the RAW / STAGING / MARTS tables")
+    ap.add_argument("--incremental", action="store_true")
+    ap.add_argument("--enforce-suite", action="store_true")
+    ap.add_argument("--symbols", default=",".join(S.DEFAULT_SYMBOLS),
+                    help="comma-separated accepted symbols")
+    args = ap.parse_args(argv)
+    spark = get_session(app="tickerlake-daily")
+    batch = read_bars_csv(spark, args.landing)
+    try:
+        out = run_daily(spark, batch, args.workdir, symbols=args.symbols.split(","),
+                        enforce_suite=args.enforce_suite, incremental=args.incremental)
+    except ValueError as e:
+        print(f"stopped: {e}")
+        return 1
+    print(f"loaded {out.loaded_rows} rows ({out.load_status})")
+    out.summary.show(truncate=False)
+    out.suite.show(50, truncate=False)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
