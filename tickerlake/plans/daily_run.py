@@ -120,7 +120,8 @@ def run_daily(spark: SparkSession, batch: DataFrame, workdir: str,
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    """``spark-submit -m tickerlake.plans.daily_run --landing <csv dir> --workdir <dir>``.
+    """``spark-submit --py-files tickerlake.zip tickerlake/plans/daily_run.py --landing <csv dir>
+    --workdir <dir>`` (locally: ``python -m tickerlake.plans.daily_run ...``).
 
     Reads the landed CSV batch (S1), runs ``run_daily`` and prints the layer
     summary and the declared tests. Exit status 1 if a declared test fails
