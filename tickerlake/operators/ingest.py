@@ -11,7 +11,7 @@ import datetime as dt
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickerlake import schema as S
@@ -182,6 +182,20 @@ def expected_grid(bars: DataFrame, start=None, end=None) -> DataFrame:
 
 
 def missing_bars(bars: DataFrame, grid: DataFrame | None = None) -> DataFrame:
-    """Grid cells without a bar (left-anti join on symbol and date)."""
-    grid = grid if grid is not None else expected_grid(bars)
-    return grid.join(bars.select("symbol", "date"), ["symbol", "date"], "left_anti")
+    """Expected cells without a bar.
+
+    With the default grid (each symbol's business days from its first to its
+    last bar) the missing days are exactly the business days strictly between
+    each bar and the symbol's next one: one ``lead`` window per symbol and an
+    ``explode`` of each gap. That is one shuffle, no join, and the bars are
+    read once. An explicit ``grid`` is matched with a left-anti join on
+    (symbol, date).
+    """
+    if grid is not None:
+        return grid.join(bars.select("symbol", "date"), ["symbol", "date"], "left_anti")
+    w = Window.partitionBy("symbol").orderBy("date")
+    # A repeated date gives a zero-day gap, so duplicates need no distinct.
+    gaps = bars.select("symbol", "date").withColumn("_next", F.lead("date").over(w)).filter(
+        F.datediff("_next", "date") > 1)
+    return gaps.select("symbol", F.explode(_business_days(
+        F.date_add("date", 1), F.date_sub("_next", 1))).alias("date"))

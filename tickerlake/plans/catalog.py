@@ -18,7 +18,7 @@ from tickerlake.functions.timeutil import ntz
 from tickerlake.operators import ingest, marts, privacy, quality, reports, staging
 from tickerlake.plans.boundary import to_plain_types
 from tickerlake.plans.daily_run import run_daily
-from tickerlake.session import ensure_checkpoint_dir, scratch_path
+from tickerlake.session import cut_lineage, ensure_checkpoint_dir, scratch_path
 from tickerlake.sources import csv, tables
 from tickerlake.streaming import refresh
 from tickerlake.sources.testbeds import event_bars, flag_bars, raw_bars, raw_bars_order, table
@@ -243,14 +243,16 @@ def q_dq_expression(spark, sf_dir):
 
 
 def layer_tables(spark, sf_dir) -> dict:
+    """Raw bars, staging and the three marts. Staging and every series
+    column are computed once and written to the shared folder (as the daily
+    run stores them); the tables are projections of that written table."""
     raw = raw_bars(spark, sf_dir)
-    staged = staging.stage(raw, raw_bars_order())
+    ensure_checkpoint_dir(spark)
+    features = cut_lineage(marts.series_features(staging.stage(raw, raw_bars_order())), "features")
     return {
         "stock_prices_raw": raw,
-        "stg_stock_prices": staged,
-        "daily_returns": marts.daily_returns(staged),
-        "moving_averages": marts.moving_averages(staged),
-        "volume_analysis": marts.volume_analysis(staged),
+        "stg_stock_prices": features.select(*S.STAGED_COLUMNS),
+        **marts.marts_from_features(features),
     }
 
 
