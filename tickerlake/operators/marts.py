@@ -184,12 +184,26 @@ def series_features(staged: DataFrame) -> DataFrame:
     return with_volume_labels(with_return_category(df))
 
 
-def marts_from_features(features: DataFrame) -> dict[str, DataFrame]:
-    """The three marts as projections of ``series_features``."""
+MART_COLUMNS = {
+    "daily_returns": S.DAILY_RETURNS_COLUMNS,
+    "moving_averages": S.MOVING_AVERAGES_COLUMNS,
+    "volume_analysis": S.VOLUME_ANALYSIS_COLUMNS,
+}
+
+
+def mart_filters() -> dict[str, Column | None]:
+    """Each mart's rows as a filter of ``series_features`` (None: every row)."""
     return {
-        "daily_returns": features.filter(F.col("prev_close_price").isNotNull())
-                                 .select(*S.DAILY_RETURNS_COLUMNS),
-        "moving_averages": features.select(*S.MOVING_AVERAGES_COLUMNS),
-        "volume_analysis": features.filter(F.col("avg_volume_7d").isNotNull())
-                                   .select(*S.VOLUME_ANALYSIS_COLUMNS),
+        "daily_returns": F.col("prev_close_price").isNotNull(),
+        "moving_averages": None,
+        "volume_analysis": F.col("avg_volume_7d").isNotNull(),
     }
+
+
+def marts_from_features(features: DataFrame) -> dict[str, DataFrame]:
+    """The three marts as projections of ``series_features``."""
+    out = {}
+    for name, cond in mart_filters().items():
+        rows = features if cond is None else features.filter(cond)
+        out[name] = rows.select(*MART_COLUMNS[name])
+    return out

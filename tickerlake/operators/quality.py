@@ -19,17 +19,30 @@ from tickerlake import schema as S
 
 @dataclass(frozen=True)
 class Check:
-    """One declared test: a name, a column and an aggregate counting failures."""
+    """One declared test: a name, a column and the predicate of a failing row
+    (a NULL predicate does not count as a failure)."""
     test: str
     column: str
     failing: Column
 
 
-def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate ``checks`` in one aggregation; one report row per check."""
-    agg = df.agg(*[c.failing.cast("bigint").alias(f"_c{i}") for i, c in enumerate(checks)])
+def count_if(cond: Column) -> Column:
+    return F.count_if(F.coalesce(cond, F.lit(False)))
+
+
+def report(df: DataFrame, checks: Sequence[Check], tables: Sequence[str] | None = None,
+           where: Sequence[Column | None] | None = None) -> DataFrame:
+    """Evaluate ``checks`` in one aggregation; one report row per check.
+
+    ``where`` restricts a check to the rows of a view (a row filter of
+    ``df``); ``tables`` names the table of each check in the report.
+    """
+    conds = [c.failing if not where or where[i] is None else (where[i] & c.failing)
+             for i, c in enumerate(checks)]
+    agg = df.agg(*[count_if(cond).cast("bigint").alias(f"_c{i}") for i, cond in enumerate(conds)])
     rows = F.array(*[
-        F.struct(F.lit(c.test).alias("test"), F.lit(c.column).alias("column_name"),
+        F.struct(*([F.lit(tables[i]).alias("table_name")] if tables else []),
+                 F.lit(c.test).alias("test"), F.lit(c.column).alias("column_name"),
                  F.col(f"_c{i}").alias("failing_rows"))
         for i, c in enumerate(checks)
     ])
@@ -37,10 +50,6 @@ def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                .withColumn("passed", F.col("failing_rows") == 0))
 
 
-def count_if(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
-
-
 # --- Q1-Q3: the loader's gate ---------------------------------------------
 
 def require_columns(df: DataFrame, cols: Sequence[str] = S.REQUIRED_COLUMNS) -> DataFrame:
@@ -56,12 +65,12 @@ def require_columns(df: DataFrame, cols: Sequence[str] = S.REQUIRED_COLUMNS) ->
 
 def null_counts(df: DataFrame, cols: Sequence[str] = S.NOT_NULL_AT_LOAD) -> DataFrame:
     """Q2: NULLs per column."""
-    return report(df, [Check("null_count", c, count_if(F.col(c).isNull())) for c in cols])
+    return report(df, [Check("null_count", c, F.col(c).isNull()) for c in cols])
 
 
 def ohlc_violations(df: DataFrame, low: str = "low", high: str = "high") -> DataFrame:
     """Q3: rows with low > high (a NULL side does not count)."""
-    return report(df, [Check("low_above_high", f"{low},{high}", count_if(F.col(low) > F.col(high)))])
+    return report(df, [Check("low_above_high", f"{low},{high}", F.col(low) > F.col(high))])
 
 
 def load_checks(df: DataFrame) -> DataFrame:
@@ -69,8 +78,8 @@ def load_checks(df: DataFrame) -> DataFrame:
     missing = [c for c in S.REQUIRED_COLUMNS if c not in df.columns]
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
-    checks = [Check("null_count", c, count_if(F.col(c).isNull())) for c in S.NOT_NULL_AT_LOAD]
-    checks.append(Check("low_above_high", "low,high", count_if(F.col("low") > F.col("high"))))
+    checks = [Check("null_count", c, F.col(c).isNull()) for c in S.NOT_NULL_AT_LOAD]
+    checks.append(Check("low_above_high", "low,high", F.col("low") > F.col("high")))
     return report(df, checks)
 
 
@@ -139,7 +148,7 @@ def not_null(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
 
 
 def not_null_checks(cols: Iterable[str]) -> list[Check]:
-    return [Check("not_null", c, count_if(F.col(c).isNull())) for c in cols]
+    return [Check("not_null", c, F.col(c).isNull()) for c in cols]
 
 
 def accepted_values(df: DataFrame, col: str,
@@ -163,7 +172,7 @@ def accepted_values(df: DataFrame, col: str,
 
 def accepted_values_check(col: str, values: Sequence[str]) -> Check:
     c = F.col(col)
-    return Check("accepted_values", col, count_if(c.isNotNull() & ~c.isin(list(values))))
+    return Check("accepted_values", col, c.isNotNull() & ~c.isin(list(values)))
 
 
 def expression_is_true(df: DataFrame, exprs: Mapping[str, str | Column]) -> DataFrame:
@@ -175,7 +184,7 @@ def expression_checks(exprs: Mapping[str, str | Column]) -> list[Check]:
     out = []
     for name, e in exprs.items():
         cond = F.expr(e) if isinstance(e, str) else e
-        out.append(Check("expression_is_true", name, F.count_if(cond == F.lit(False))))
+        out.append(Check("expression_is_true", name, cond == F.lit(False)))
     return out
 
 
@@ -203,14 +212,32 @@ def run_suite(tables: Mapping[str, DataFrame], suite: Mapping[str, Sequence[Chec
               ) -> DataFrame:
     """Q8: every declared test, one aggregation per table, one report."""
     suite = suite or default_suite()
-    parts = [report(tables[name], checks).select(F.lit(name).alias("table_name"), "*")
-             for name, checks in suite.items()]
+    parts = [report(tables[name], checks, [name] * len(checks))
+             for name, checks in suite.items() if name in tables]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def run_suite_on(base: DataFrame, views: Mapping[str, Column | None],
+                 suite: Mapping[str, Sequence[Check]] | None = None) -> DataFrame:
+    """Q8 for tables that are row filters of one DataFrame, in ONE aggregation.
+
+    Staging and the three marts are all row filters of ``series_features``
+    (``marts.mart_filters``): evaluating their checks together computes
+    staging and the window pass once, instead of once per table.
+    """
+    suite = suite or default_suite()
+    checks, tables, where = [], [], []
+    for name, cond in views.items():
+        for c in suite[name]:
+            checks.append(c)
+            tables.append(name)
+            where.append(cond)
+    return report(base, checks, tables, where)
+
+
 def suite_summary(results: DataFrame) -> DataFrame:
     """Counts of passed and failed tests."""
     return results.agg(F.count_if("passed").alias("tests_passed"),

@@ -58,3 +58,17 @@ def layer_summary(tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def layer_counts_on(base: DataFrame, views: Mapping[tuple[str, str], object]) -> DataFrame:
+    """P4 for tables that are row filters of one DataFrame, in one aggregation.
+
+    ``views`` maps (layer, table) to a row filter Column, or None for all rows.
+    """
+    items = list(views.items())
+    agg = base.agg(*[F.count_if(F.coalesce(cond, F.lit(False)) if cond is not None else F.lit(True))
+                     .alias(f"_n{i}") for i, (_, cond) in enumerate(items)])
+    rows = F.array(*[F.struct(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"),
+                              F.col(f"_n{i}").alias("row_count"))
+                     for i, ((layer, name), _) in enumerate(items)])
+    return agg.select(F.inline(rows))

@@ -18,7 +18,7 @@ from tickerlake.functions.timeutil import ntz
 from tickerlake.operators import ingest, marts, privacy, quality, reports, staging
 from tickerlake.plans.boundary import to_plain_types
 from tickerlake.plans.daily_run import run_daily
-from tickerlake.session import cut_lineage, ensure_checkpoint_dir, scratch_path
+from tickerlake.session import ensure_checkpoint_dir, scratch_path
 from tickerlake.sources import csv, tables
 from tickerlake.streaming import refresh
 from tickerlake.sources.testbeds import event_bars, flag_bars, raw_bars, raw_bars_order, table
@@ -242,23 +242,22 @@ def q_dq_expression(spark, sf_dir):
                                       {"close_price > 0": "close_price > 0", "volume > 0": "volume > 0"})
 
 
-def layer_tables(spark, sf_dir) -> dict:
-    """Raw bars, staging and the three marts. Staging and every series
-    column are computed once and written to the shared folder (as the daily
-    run stores them); the tables are projections of that written table."""
+def layer_views(spark, sf_dir):
+    """Raw bars, and staging + the three marts as row filters of one
+    ``series_features`` DataFrame: checks and counts over all of them run in
+    two aggregations, computing staging and the window pass once."""
     raw = raw_bars(spark, sf_dir)
-    ensure_checkpoint_dir(spark)
-    features = cut_lineage(marts.series_features(staging.stage(raw, raw_bars_order())), "features")
-    return {
-        "stock_prices_raw": raw,
-        "stg_stock_prices": features.select(*S.STAGED_COLUMNS),
-        **marts.marts_from_features(features),
-    }
+    features = marts.series_features(staging.stage(raw, raw_bars_order()))
+    views = {"stg_stock_prices": None, **marts.mart_filters()}
+    return raw, features, views
 
 
 @query("dq_suite")
 def q_dq_suite(spark, sf_dir):
-    return quality.run_suite(layer_tables(spark, sf_dir))
+    raw, features, views = layer_views(spark, sf_dir)
+    suite = quality.default_suite()
+    return (quality.run_suite({"stock_prices_raw": raw}, suite)
+            .unionByName(quality.run_suite_on(features, views, suite)))
 
 
 @query("reconcile_runs")
@@ -363,9 +362,11 @@ def q_recent_signals(spark, sf_dir):
 
 @query("layer_summary")
 def q_layer_summary(spark, sf_dir):
-    t = layer_tables(spark, sf_dir)
-    layers = {"stock_prices_raw": S.BRONZE_LAYER, "stg_stock_prices": S.SILVER_LAYER}
-    return reports.layer_summary({(layers.get(k, S.GOLD_LAYER), k): v for k, v in t.items()})
+    raw, features, views = layer_views(spark, sf_dir)
+    layer = {"stg_stock_prices": S.SILVER_LAYER}
+    return (reports.layer_summary({(S.BRONZE_LAYER, "stock_prices_raw"): raw})
+            .unionByName(reports.layer_counts_on(
+                features, {(layer.get(k, S.GOLD_LAYER), k): v for k, v in views.items()})))
 
 
 # --- sources and sinks (S1-S10) --------------------------------------------
