@@ -133,3 +133,20 @@ def test_refresh_marts_touching_few_symbols_equals_rebuild(spark):
                      ("volume_analysis", marts.volume_analysis)):
         want = fn(full)
         assert got[name].exceptAll(want).count() == 0 and want.exceptAll(got[name]).count() == 0, name
+
+
+def test_suite_on_shared_features_equals_suite_per_table(spark):
+    from tickerlake.operators import quality, reports
+    st = _staged(spark).select(*S.STAGED_COLUMNS)
+    features = marts.series_features(st)
+    views = {"stg_stock_prices": None, **marts.mart_filters()}
+    tables = {"stg_stock_prices": st, **marts.marts_from_features(features)}
+    suite = quality.default_suite()
+    one = quality.run_suite_on(features, views, suite)
+    sep = quality.run_suite(tables, suite)
+    assert one.exceptAll(sep).count() == 0 and sep.exceptAll(one).count() == 0
+    counts = reports.layer_counts_on(features, {("L", k): v for k, v in views.items()})
+    per = reports.layer_summary({("L", k): v for k, v in tables.items()})
+    assert counts.exceptAll(per).count() == 0 and per.exceptAll(counts).count() == 0
+    summary = quality.suite_summary(sep).first()
+    assert summary.tests_passed + summary.tests_failed == 12
