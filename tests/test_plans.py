@@ -43,3 +43,19 @@ def test_date_filter_reaches_scan(spark):
     df = date_range(spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumnRenamed("ts", "date"),
                     "2024-01-02", "2024-01-03")
     assert "PushedFilters: [IsNotNull(ts)" in plan(df)
+
+
+def _formatted(spark, df) -> str:
+    return spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_missing_bars_is_one_window_pass(spark):
+    p = _formatted(spark, entry.queries()["missing_bars"](spark, SF_SMALL))
+    assert "Join" not in p
+    assert p.count("row_number(), 1, Partial") == 1          # staging computed once
+
+
+@pytest.mark.parametrize("name", ["dq_suite", "layer_summary"])
+def test_multi_layer_queries_stage_once(spark, name):
+    p = _formatted(spark, entry.queries()[name](spark, SF_SMALL))
+    assert p.count("row_number(), 1, Partial") == 1
