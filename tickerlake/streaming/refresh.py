@@ -15,7 +15,6 @@ import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlake import schema as S
