@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from tickerlake.session import ensure_checkpoint_dir, scratch_path
 
@@ -54,6 +56,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def extended(schema: T.StructType, **kinds: str) -> T.StructType:
+    """``schema`` with more fields; the given one is left alone."""
+    more = T.StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in kinds.items()))
+    return T.StructType([*schema.fields, *more.fields])
+
+
 # --- whole texts in Arrow batches ------------------------------------------
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -120,7 +128,7 @@ def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size:
     """
     spark = df.sparkSession
     cols = [F.col(c).asc_nulls_last() for c in group + order]
-    schema = df.schema.add("rid", "long").add("part", "int").add("local", "long")
+    schema = extended(df.schema, rid="long", part="int", local="long")
     names = list(df.columns)
 
     def run(batches):
@@ -157,7 +165,6 @@ def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size:
     totals = rows.groupBy("part", *group).agg(F.sum(size).alias("_sum"))
     # One row per (partition, group): a group that fills several partitions is
     # alone in all but its first and last.
-    from pyspark.sql import Window as W
     w = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
     bases = totals.withColumn("_base", F.coalesce(F.sum("_sum").over(
         w.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_sum")

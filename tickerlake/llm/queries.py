@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import chat, token_files, url_filter
+from tickerlake.llm import chat, labelled, quality, token_files, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,23 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def _classified(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select("doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
+                         (F.col("_score") >= threshold).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _classified(toxicity.score(docs, model), 0.5)
+
+
+def op7_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return _classified(quality.score(docs, model), 0.3)
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marks = "</s>[INST] ok [/INST]"
@@ -34,5 +51,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op8_chat_format, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op5_toxicity, op7_quality_gam, op8_chat_format, op9_token_files)}
 ORACLES: dict[str, str] = {}
