@@ -162,17 +162,18 @@ def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size:
 
     spread = df.repartitionByRange(max(partitions(spark), 1), *cols).sortWithinPartitions(*cols)
     rows = written(spread.mapInArrow(run, schema), name)
-    totals = rows.groupBy("part", *group).agg(F.sum(size).alias("_sum"))
     # One row per (partition, group): a group that fills several partitions is
     # alone in all but its first and last.
-    w = W.partitionBy(*group) if group else W.partitionBy(F.lit(0))
+    keys = [F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]
+    totals = rows.groupBy(F.col("part").alias("_part"), *keys).agg(F.sum(size).alias("_sum"))
+    w = W.partitionBy(*[f"_g{i}" for i in range(len(group))] or [F.lit(0)])
     bases = totals.withColumn("_base", F.coalesce(F.sum("_sum").over(
-        w.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
-    on = (rows["part"] == bases["part"])
-    for g in group:
-        on = on & rows[g].eqNullSafe(bases[g])
+        w.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
+    on = F.col("part") == F.col("_part")
+    for i, g in enumerate(group):
+        on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
     return rows.join(F.broadcast(bases), on, "left").select(
-        *[rows[c] for c in names], rows["rid"], (rows["local"] + bases["_base"]).alias("start"))
+        *names, "rid", (F.col("local") + F.col("_base")).alias("start"))
 
 
 # --- connected components ------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import chat, labelled, quality, token_files, toxicity, url_filter
+from tickerlake.llm import chat, labelled, mixing, packing, quality, token_files, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,17 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    rows, spans = mixing.mix(docs)
+    return mixing.taken_per_row(rows, spans).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "text")
+    return packing.pack_documents(docs).select("doc_id", "source", "first", "words", "group_no", "bin_no")
+
+
 def _classified(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.select("doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"),
                          (F.col("_score") >= threshold).cast("int").alias("predicted"))
@@ -51,5 +62,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_toxicity, op7_quality_gam, op8_chat_format, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_source_mix, op5_toxicity, op6_best_fit_packing, op7_quality_gam, op8_chat_format, op9_token_files)}
 ORACLES: dict[str, str] = {}
