@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import chat, labelled, mixing, packing, quality, token_files, toxicity, url_filter
+from tickerlake.llm import ann, chat, labelled, mixing, packing, quality, token_files, toxicity, url_filter, vector_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_per_row(rows, spans).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), k=20)
+
+
+def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.monotonically_increasing_id().alias("rid"), "doc_id", "source", "text")
     return packing.pack_documents(docs).select("doc_id", "source", "first", "words", "group_no", "bin_no")
@@ -62,5 +70,5 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_source_mix, op5_toxicity, op6_best_fit_packing, op7_quality_gam, op8_chat_format, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_source_mix, op3_learned_partitions, op4_vector_dedup, op5_toxicity, op6_best_fit_packing, op7_quality_gam, op8_chat_format, op9_token_files)}
 ORACLES: dict[str, str] = {}
