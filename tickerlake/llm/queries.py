@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import ann, chat, labelled, mixing, packing, quality, token_files, toxicity, url_filter, vector_dedup
+from tickerlake.llm import ann, chat, jaccard_join, labelled, mixing, packing, quality, token_files, toxicity, url_filter, vector_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,5 +70,9 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_source_mix, op3_learned_partitions, op4_vector_dedup, op5_toxicity, op6_best_fit_packing, op7_quality_gam, op8_chat_format, op9_token_files)}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_source_mix, op3_learned_partitions, op4_vector_dedup, op5_toxicity, op6_best_fit_packing, op7_quality_gam, op8_chat_format, op9_token_files, op10_ngram_jaccard)}
 ORACLES: dict[str, str] = {}
