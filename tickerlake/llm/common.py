@@ -62,6 +62,14 @@ def extended(schema: T.StructType, **kinds: str) -> T.StructType:
     return T.StructType([*schema.fields, *more.fields])
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the like, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # --- whole texts in Arrow batches ------------------------------------------
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -100,6 +108,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def cut_words(column: pa.Array, first: np.ndarray, last: np.ndarray) -> pa.Array:
+    """Of each text the words first <= i < last, with what stands between."""
+    data, offsets = utf8(column)
+    starts, ends, rows = word_spans(data, offsets)
+    edges = np.searchsorted(rows, np.arange(len(column)))
+    raw = data.tobytes()
+    return pa.array([raw[starts[e + a]:ends[e + b - 1]].decode() if b > a else "" for e, a, b in
+                     zip(edges.tolist(), first.tolist(), last.tolist())], pa.string())
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z lower-cased; every other byte kept."""
     return np.where((data >= 65) & (data <= 90), data + np.uint8(32), data)

@@ -45,8 +45,8 @@ from pyspark.sql import functions as F
 
 from tickerlake.llm.common import connected_components, lower_ascii, mix64, process_cache, slices, utf8, word_spans, written
 
-WORDS = 3
-PERCENT = 90
+WORDS = 5
+PERCENT = 80
 SUBSET = 2                # n-grams of an enumerated subset
 HOT = 200_000             # most shared n-grams that come last in the order
 HOT_SETS = 16             # sets an n-gram is shared by, at least, to be one of them

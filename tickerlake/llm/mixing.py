@@ -191,13 +191,13 @@ class Plan:
             yield np.full(len(j), s), j, turn, taken, words
 
 
-def mix(docs: DataFrame, source: str = "source", text: str = "text", weights=WEIGHTS, most: float = MOST,
+def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", weights=WEIGHTS, most: float = MOST,
         block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = 20) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans). rows: the documents with rid, size, source_size and
-    target. spans: (shard, source_no, slot, turn, rid, first, last): the words
+    """(rows, spans). rows: rid, id_col, source, size, source_size and
+    target of each document. spans: (shard, source_no, slot, turn, rid, first, last): the words
     first <= i < last of row rid that a slot takes."""
     spark = docs.sparkSession
-    keep = [c for c in docs.columns if c != text]
+    keep = [id_col, source]
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)],
                         F.col(f"`{source}`").alias("_source"), F.col(f"`{text}`").alias("_text"))
     sized = with_word_count(inner, "_text", "_size").withColumn("_order", F.xxhash64("_text", F.lit(seed), *[

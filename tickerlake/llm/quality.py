@@ -188,14 +188,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     return boost(x, y)
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with a column ``_score``: 0 to 1, in place, no shuffle."""
-    names, schema = docs.columns, extended(docs.schema, _score="double")
+def score(docs: DataFrame, model: dict, name: str = "_score") -> DataFrame:
+    """``docs`` with a column ``name``: 0 to 1, in place, no shuffle."""
+    names, schema = docs.columns, extended(docs.schema, **{name: "double"})
 
     def run(batches):
         for batch in batches:
             x = np.array([features_of(t.as_py() or "") for t in batch.column(names.index("text"))], float)
             out = apply_tables(model, x.reshape(batch.num_rows, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, name])
 
     return docs.mapInArrow(run, schema)

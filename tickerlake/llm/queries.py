@@ -71,7 +71,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
 QUERIES = {f.__name__: f for f in (op1_url_filter, op2_source_mix, op3_learned_partitions, op4_vector_dedup, op5_toxicity, op6_best_fit_packing, op7_quality_gam, op8_chat_format, op9_token_files, op10_ngram_jaccard)}

@@ -238,9 +238,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         k: model[k] for k in ("theta", "weight", "prior")}}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` with a column ``_score``: 0 to 1, in place, no shuffle."""
-    names, schema = docs.columns, extended(docs.schema, _score="double")
+def score(docs: DataFrame, model: dict, name: str = "_score") -> DataFrame:
+    """``docs`` with a column ``name``: 0 to 1, in place, no shuffle."""
+    names, schema = docs.columns, extended(docs.schema, **{name: "double"})
     terms, voters, w, d, b = (model[k] for k in ("terms", "voters", "w", "d", "b"))
 
     def run(batches):
@@ -251,6 +251,6 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
             for i, (found, pats) in enumerate(features((t.as_py() for t in texts), machine, len(terms), voters)):
                 z = b + float(w[found].sum()) + float(np.dot(d, pats))
                 out[i] = 1 / (1 + math.exp(-min(max(z, -30), 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*names, name])
 
     return docs.mapInArrow(run, schema)
