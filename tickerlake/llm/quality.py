@@ -179,10 +179,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             x = [features_of(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"y": batch.column("y").cast(pa.int32()), "x": pa.array(x, pa.list_(pa.float64()))})
 
-    got = (sample.select((F.col("y") > 0).cast("int").alias("y"), "text").mapInArrow(extract, "y int, x array<double>")
-           .orderBy("y", "x").toArrow())
+    got = sample.select((F.col("y") > 0).cast("int").alias("y"), "text").mapInArrow(extract, "y int, x array<double>").toArrow()
     x = np.array(got.column("x").to_pylist(), float).reshape(got.num_rows, len(FEATURES))
     y = got.column("y").to_numpy().astype(float)
+    order = np.lexsort((*x.T, y))          # in one order whatever the tasks: the same sums, so the same tables
+    x, y = x[order], y[order]
     if not len(y):
         x, y = np.zeros((1, len(FEATURES))), np.array([0.5])
     return boost(x, y)

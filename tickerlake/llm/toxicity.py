@@ -156,13 +156,16 @@ def label_model(votes: np.ndarray, gold: np.ndarray, steps: int = 30) -> dict:
     post = np.where(known, gold, np.where((votes == 1).any(axis=1), 0.9, 0.05)).astype(float)
     fires = [(votes == v).astype(float) for v in (-1, 0, 1)]
     weight = np.ones(m)
+    both = (gold == 0).any() and (gold == 1).any()
     for step in range(steps):
         q = np.where(known, np.where(gold == 1, 0.99, 0.01), post)
-        prior = float(np.clip(q.mean(), 1e-3, 0.999))
-        theta = np.stack([[(y @ f + s) / (y.sum() + 1.0) for f, s in zip(fires, (0.6, 0.2, 0.2))] for y in (1 - q, q)])
+        use = known.astype(float) if step == 0 and both else np.ones(n)      # known labels start it
+        prior = float(np.clip((use @ q) / use.sum(), 1e-3, 0.999))
+        theta = np.stack([[(y @ f + s) / (y.sum() + 1.0) for f, s in zip(fires, (0.6, 0.2, 0.2))] for y in (use * (1 - q), use * q)])
         if step in (4, steps - 2):   # what voters share beyond the class
-            spoke = fires[0] < 0.5
-            rest = spoke - np.outer(1 - q, 1 - theta[0, 0]) - np.outer(q, 1 - theta[1, 0])
+            value, mean = fires[2] - fires[1], theta[:, 2] - theta[:, 1]
+            rest = value - np.outer(1 - q, mean[0]) - np.outer(q, mean[1])
+            rest -= rest.mean(axis=0)
             sd = np.sqrt((rest * rest).mean(axis=0)) + 1e-9
             rho = (rest.T @ rest) / n / np.outer(sd, sd)
             np.fill_diagonal(rho, 0)
@@ -219,11 +222,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                                               "pats": pa.array(pats, pa.list_(pa.float64()))})
 
     both = sample.select((F.col("y") > 0).cast("int").alias("y"), "text").union(others)
-    got = both.mapInArrow(extract, "y int, found array<int>, pats array<double>").orderBy("y", "found", "pats").toArrow()
-    n = got.num_rows
-    gold = got.column("y").to_numpy().astype(int)
-    dense = np.array(got.column("pats").to_pylist(), float).reshape(n, len(PATTERNS))
-    found = got.column("found").to_pylist()
+    got = both.mapInArrow(extract, "y int, found array<int>, pats array<double>").toArrow()
+    # In one order whatever the tasks: the same sums, so the same weights.
+    seen = sorted(zip(*(got.column(c).to_pylist() for c in ("y", "found", "pats"))))
+    n = len(seen)
+    gold = np.array([y for y, _, _ in seen], int)
+    found = [f for _, f, _ in seen]
+    dense = np.array([p for _, _, p in seen], float).reshape(n, len(PATTERNS))
     rows = np.repeat(np.arange(n), [len(f) for f in found]) if n else np.zeros(0, int)
     cols = np.array([i for f in found for i in f], int)
     if not n:
