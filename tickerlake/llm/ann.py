@@ -37,6 +37,7 @@ LEAST_PER_PART = 64        # sample vectors a part needs
 NEIGHBOURS = 20
 TARGET_RECALL = 0.97
 CELL_ROWS, CELL_QUERIES = 2_048, 512
+RUN = 16                   # cells of rows that a cell of queries meets in one task
 HIDDEN = 128
 
 
@@ -182,13 +183,22 @@ def _best(queries: np.ndarray, rows: np.ndarray, own: np.ndarray, rids: np.ndarr
     exact = np.empty(len(i))
     for at in range(0, len(i), 65_536):
         exact[at:at + 65_536] = (q[i[at:at + 65_536]] * x[j[at:at + 65_536]]).sum(axis=1)
-    order = np.lexsort((np.where(ids[j] == vectors.NULL_ID, np.iinfo(np.int64).max, ids[j]), -exact, i))
-    i, j, exact = i[order], j[order], exact[order]
-    rank = np.arange(len(i)) - np.searchsorted(i, i)
-    keep = rank < k
+    keep = _leading(i, ids[j], exact, k)
     return i[keep], j[keep], exact[keep]
 
 
+def _leading(i: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Where each query's first k stand: by score, ties by the smaller id."""
+    order = np.lexsort((np.where(ids == vectors.NULL_ID, np.iinfo(np.int64).max, ids), -score, i))
+    sorted_i = i[order]
+    return order[np.arange(len(i)) - np.searchsorted(sorted_i, sorted_i) < k]
+
+
+def _first_k(i: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
+    keep = _leading(i, ids, score, k)
+    return i[keep], ids[keep], score[keep]
+
+
 def nearest(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str = "embedding", query=None,
             sample: int = SAMPLE, part_rows: int = PART_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each row
@@ -249,23 +259,36 @@ def nearest(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str =
             run, f"part int, cell int, {word}_rids binary, {word}_ids binary, {word}_v binary")
 
     row_cells = bundled(placed.join(cells, "part").select("rid", "id", "v", "part", salt("row_cells", "r").alias("cell")), "r")
-    query_cells = (bundled(asked.join(cells, "part").select("rid", "id", "v", "part", salt("query_cells", "q").alias("cell")), "q")
-                   .drop("cell").join(cells, "part")
-                   .withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("row_cells").cast("int") - 1))))
-
-    def compare(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                got = lambda name: np.frombuffer(r[name], "<i8")
-                q, x = (np.frombuffer(r[n], kind).reshape(-1, length) for n in ("q_v", "r_v"))
-                i, j, score = _best(q, x, got("q_rids"), got("r_rids"), got("r_ids"), k)
-                yield pa.RecordBatch.from_pydict({"q": pa.array(got("q_rids")[i]), "query_id": pa.array(got("q_ids")[i]),
-                                                  "vec_id": pa.array(got("r_ids")[j]), "score": pa.array(score)})
-
-    met = query_cells.select("part", "cell", "q_rids", "q_ids", "q_v").join(row_cells, ["part", "cell"])
-    found = met.select("q_rids", "q_ids", "q_v", "r_rids", "r_ids", "r_v").mapInArrow(
-        compare, "q long, query_id long, vec_id long, score double").withColumn(
-        "vec_id", F.when(F.col("vec_id") != vectors.NULL_ID, F.col("vec_id")))
+    query_cells = bundled(asked.join(cells, "part").select("rid", "id", "v", "part", salt("query_cells", "q").alias("cell")), "q")
+    # A task sees one cell of queries and up to RUN cells of rows, one by one.
+    row_cells = (row_cells.join(cells, "part").withColumn("run", F.floor(F.col("cell") / RUN).cast("int"))
+                 .withColumn("asked", F.explode(F.sequence(F.lit(0), F.col("query_cells").cast("int") - 1)))
+                 .select("part", "asked", "run", "r_rids", "r_ids", "r_v"))
+    query_cells = (query_cells.withColumnRenamed("cell", "asked").join(cells, "part")
+                   .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("row_cells") - 1) / RUN).cast("int"))))
+                   .select("part", "asked", "run", "q_rids", "q_ids", "q_v"))
+
+    def compare(left, right):
+        ids = lambda x: np.frombuffer(x, "<i8")
+        out = {"q": [], "query_id": [], "vec_id": [], "score": []}
+        if left.num_rows:
+            (q_rids, q_ids, q_v), = (tuple(r[n] for n in ("q_rids", "q_ids", "q_v")) for r in left.to_pylist())
+            q = np.frombuffer(q_v, kind).reshape(-1, length)
+            best = None
+            for n in range(right.num_rows):
+                r_rids, r_ids, r_v = (right.column(c)[n].as_py() for c in ("r_rids", "r_ids", "r_v"))
+                i, j, score = _best(q, np.frombuffer(r_v, kind).reshape(-1, length), ids(q_rids), ids(r_rids), ids(r_ids), k)
+                new = (i, ids(r_ids)[j], score)
+                best = new if best is None else _first_k(*(np.concatenate(x) for x in zip(best, new)), k)
+            if best is not None:
+                i, near, score = best
+                out = {"q": ids(q_rids)[i], "query_id": ids(q_ids)[i], "vec_id": near, "score": score}
+        return pa.table({"q": pa.array(out["q"], pa.int64()), "query_id": pa.array(out["query_id"], pa.int64()),
+                         "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
+
+    found = (query_cells.groupBy("part", "asked", "run").cogroup(row_cells.groupBy("part", "asked", "run"))
+             .applyInArrow(compare, "q long, query_id long, vec_id long, score double")
+             .withColumn("vec_id", F.when(F.col("vec_id") != vectors.NULL_ID, F.col("vec_id"))))
     order = W.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
