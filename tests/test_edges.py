@@ -142,10 +142,10 @@ def test_staging_boundaries(spark):
 
 
 def test_reconcile_statuses(spark):
-    ext = spark.createDataFrame([("a",)] * 3 + [("b",)] * 3 + [("c",)] * 2, "pipeline_run_id string")
-    loaded = spark.createDataFrame([("a",)] * 3 + [("b",)] * 1, "pipeline_run_id string")
-    got = {r.pipeline_run_id: r.status for r in quality.reconcile(ext, loaded).collect()}
-    assert got == {"a": "match", "b": "partial", "c": "failed"}
+    ext = spark.createDataFrame([("a",)] * 3 + [("b",)] * 3 + [("c",)] * 2 + [(None,)] * 2, "pipeline_run_id string")
+    loaded = spark.createDataFrame([("a",)] * 3 + [("b",)] * 1 + [(None,)] * 2, "pipeline_run_id string")
+    got = [(r.pipeline_run_id, r.extracted_rows, r.loaded_rows, r.status) for r in quality.reconcile(ext, loaded).collect()]
+    assert sorted(got, key=str) == sorted([("a", 3, 3, "match"), ("b", 3, 1, "partial"), ("c", 2, 0, "failed"), (None, 2, 2, "match")], key=str)
 
 
 def test_batch_gate_reports_all_failures(spark):
@@ -215,14 +215,23 @@ def test_business_days_guard(spark):
     from tickerlake.operators.ingest import business_days
     days = [r.date for r in business_days(spark, "2026-02-20", "2026-03-20").collect()]
     assert len(days) == 21 and all(d.weekday() < 5 for d in days)
+    assert business_days(spark, "2016-01-01", "2025-12-31").count() == 2609       # ten years, no guard by default
     try:
-        business_days(spark, "2020-01-01", "2026-01-01").collect()
+        business_days(spark, "2020-01-01", "2026-01-01", S.MAX_CALENDAR_DAYS).collect()
     except Exception as e:  # noqa: BLE001
-        assert "too large" in str(e)
+        assert "allowed are 1000" in str(e)
     else:
         raise AssertionError("guard did not fire")
 
 
+def test_percentages_of_operands_with_more_places(spark):
+    from tickerlake.functions.exact import pct_half_up
+    df = spark.sql("SELECT CAST(0.0049 AS DECIMAL(18,4)) AS a, CAST(0.0151 AS DECIMAL(18,4)) AS b, "
+                   "CAST(49000000000000.0049 AS DECIMAL(18,4)) AS c, CAST(151000000000000 AS DECIMAL(18,0)) AS d")
+    r = df.select(pct_half_up("a", "b").alias("x"), pct_half_up("c", "d").alias("y")).collect()[0]
+    assert str(r.x) == "32.45" and str(r.y) == "32.45"
+
+
 def test_grid_and_missing(spark):
     from tickerlake.operators.ingest import expected_grid, missing_bars
     # Fri 2026-02-06, then Tue 2026-02-10: Mon 2026-02-09 is missing.
@@ -230,6 +239,20 @@ def test_grid_and_missing(spark):
     st = staged_df(spark, rows)
     assert expected_grid(st).count() == 3
     assert [r.date for r in missing_bars(st).collect()] == [dt.date(2026, 2, 9)]
+    # A has Monday to Friday, B only Monday, C only a bar after the span asked for.
+    week = spark.createDataFrame([("A", dt.date(2026, 2, 2 + i)) for i in range(5)] + [("B", dt.date(2026, 2, 2)), ("B", dt.date(2026, 2, 2))], "symbol string, date date")
+    gaps = lambda **kw: sorted((r.symbol, r.date.day) for r in missing_bars(week, **kw).collect())
+    assert gaps() == [("B", d) for d in (3, 4, 5, 6)] and gaps(per_symbol=True) == []
+    assert expected_grid(week).count() == 10 and expected_grid(week, per_symbol=True).count() == 6
+    more = week.unionByName(spark.createDataFrame([("C", dt.date(2026, 2, 20))], "symbol string, date date"))
+    for kw in ({}, {"start": "2026-01-29", "end": "2026-02-04"}, {"start": "2026-02-03", "end": "2026-02-25"}, {"start": "2026-03-02", "end": "2026-03-03"},
+               {"end": "2026-02-04"}, {"start": "2026-02-08", "end": "2026-02-04"}):
+        for own in (False, True):
+            want = expected_grid(more, per_symbol=own, **kw)
+            held = missing_bars(more, want)
+            got = missing_bars(more, per_symbol=own, **kw)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, held.collect())), (kw, own)
+    assert missing_bars(week.limit(0)).collect() == [] and expected_grid(week.limit(0)).collect() == []
 
 
 def test_latest_bar(spark):

@@ -58,10 +58,11 @@ def ratio_half_up(num, den, scale: int, factor: int = 1, precision: int = 28,
     return F.when(den != 0, F.when(small, fast).otherwise(exact))
 
 
-def pct_half_up(num, den, scale: int = 2, operand_scale: int | None = 2) -> Column:
+def pct_half_up(num, den, scale: int = 2, operand_scale: int | None = None) -> Column:
     """``round(num / den * 100, scale)``, exact; NULL when ``den`` is 0.
 
-    Operands default to 2-place prices (``operand_scale=2``).
+    Pass ``operand_scale=2`` where both operands are 2-place prices: the same
+    result by 64-bit integers.
     """
     return ratio_half_up(num, den, scale, factor=100, operand_scale=operand_scale)
 

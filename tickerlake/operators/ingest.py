@@ -140,11 +140,11 @@ def _business_days(start: Column, end: Column) -> Column:
     return F.filter(F.sequence(start, end), lambda d: F.weekday(d) < 5)
 
 
-def business_days(spark: SparkSession, start, end, max_days: int | None = S.MAX_CALENDAR_DAYS
-                  ) -> DataFrame:
+def business_days(spark: SparkSession, start, end, max_days: int | None = None) -> DataFrame:
     """Monday-Friday dates from ``start`` to ``end`` inclusive, no holidays.
 
-    A calendar longer than ``max_days`` business days is an error.
+    With ``max_days`` (for example ``schema.MAX_CALENDAR_DAYS``) a calendar of
+    more business days is an error.
     """
     one = spark.range(1).select(_business_days(_date(start), _date(end)).alias("d"))
     return _explode_calendar(one, max_days)
@@ -160,42 +160,71 @@ def _explode_calendar(df: DataFrame, max_days: int | None) -> DataFrame:
     d = F.col("d")
     if max_days is not None:
         d = F.when(F.size(d) > max_days,
-                   F.raise_error(F.concat(F.lit("Date range too large: "), F.size(d).cast("string"),
-                                          F.lit(" days")))).otherwise(d)
+                   F.raise_error(F.concat(F.lit("calendar has "), F.size(d).cast("string"),
+                                          F.lit(f" business days, allowed are {max_days}")))).otherwise(d)
     return df.select(F.explode(d).alias("date"))
 
 
-def expected_grid(bars: DataFrame, start=None, end=None) -> DataFrame:
-    """Every (symbol, business day) from each symbol's first to last bar.
+def _span(bars: DataFrame, start, end) -> tuple[Column, Column]:
+    """The bounds given, or else the first and last date of all bars: one row,
+    read from the data only where a bound is missing."""
+    if start is None or end is None:
+        seen = bars.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+        start, end = start or seen["lo"], end or seen["hi"]
+    if start is None or end is None:                       # no bars, no bounds: an empty span
+        return date_lit("1970-01-02"), date_lit("1970-01-01")
+    return _date(start), _date(end)
+
+
+def _days_between(lo: Column, hi: Column) -> Column:
+    """Business days from ``lo`` to ``hi``; none when ``hi`` comes first."""
+    return F.when(lo <= hi, _business_days(lo, hi)).otherwise(F.array().cast("array<date>"))
+
+
+def expected_grid(bars: DataFrame, start=None, end=None, per_symbol: bool = False) -> DataFrame:
+    """Every (symbol, business day) that should hold a bar.
 
-    Optionally clipped to [start, end]. Each symbol's span is generated from
-    its own (min, max) row, so output is bounded by the symbols' spans and
-    no cross join is planned.
+    The calendar runs from ``start`` to ``end``, by default over the span of
+    all bars, and is the same for each symbol: a symbol that sent nothing on
+    the last day has that cell. With ``per_symbol`` it runs from the symbol's
+    own first to its last bar, within ``start`` and ``end`` if given. Each
+    symbol's days are generated from its own row; no cross join is planned.
     """
-    span = bars.groupBy("symbol").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    lo, hi = F.col("lo"), F.col("hi")
-    if start is not None:
-        lo = F.greatest(lo, _date(start))
-    if end is not None:
-        hi = F.least(hi, _date(end))
-    return span.select("symbol", F.explode(_business_days(lo, hi)).alias("date"))
+    if per_symbol:
+        span = bars.groupBy("symbol").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+        lo = F.col("lo") if start is None else F.greatest("lo", _date(start))
+        hi = F.col("hi") if end is None else F.least("hi", _date(end))
+        return span.select("symbol", F.explode(_days_between(lo, hi)).alias("date"))
+    lo, hi = _span(bars, start, end)
+    return bars.select("symbol").distinct().select("symbol", F.explode(_days_between(lo, hi)).alias("date"))
 
 
-def missing_bars(bars: DataFrame, grid: DataFrame | None = None) -> DataFrame:
+def missing_bars(bars: DataFrame, grid: DataFrame | None = None, start=None, end=None,
+                 per_symbol: bool = False) -> DataFrame:
     """Expected cells without a bar.
 
-    With the default grid (each symbol's business days from its first to its
-    last bar) the missing days are exactly the business days strictly between
-    each bar and the symbol's next one: one ``lead`` window per symbol and an
-    ``explode`` of each gap. That is one shuffle, no join, and the bars are
-    read once. An explicit ``grid`` is matched with a left-anti join on
-    (symbol, date).
+    Without ``grid`` the cells are those of ``expected_grid`` with the same
+    arguments: a symbol's missing days lie before its first bar, between a bar
+    and the next, and after its last one. So one window per symbol and an
+    ``explode`` of each gap find them: one shuffle, no join, and the bars are
+    read once (twice, where the span of all bars has to be found first).
+    An explicit ``grid`` is matched with a left-anti join on (symbol, date).
     """
     if grid is not None:
         return grid.join(bars.select("symbol", "date"), ["symbol", "date"], "left_anti")
     w = Window.partitionBy("symbol").orderBy("date")
-    # A repeated date gives a zero-day gap, so duplicates need no distinct.
-    gaps = bars.select("symbol", "date").withColumn("_next", F.lead("date").over(w)).filter(
-        F.datediff("_next", "date") > 1)
-    return gaps.select("symbol", F.explode(_business_days(
-        F.date_add("date", 1), F.date_sub("_next", 1))).alias("date"))
+    near = bars.select("symbol", "date").withColumns({
+        "_next": F.lead("date").over(w), "_prev": F.lag("date").over(w)})
+    after, before = F.date_add("date", 1), F.date_sub("date", 1)
+    # A repeated date gives an empty gap, so duplicates need no distinct.
+    if per_symbol:
+        lo = after if start is None else F.greatest(after, _date(start))
+        until = F.date_sub("_next", 1)
+        hi = until if end is None else F.least(until, _date(end))
+        gaps = F.when(F.col("_next").isNotNull(), _days_between(lo, hi)).otherwise(F.array().cast("array<date>"))
+    else:
+        first, last = _span(bars, start, end)
+        gaps = F.concat(
+            F.when(F.col("_prev").isNull(), _days_between(first, F.least(before, last))).otherwise(F.array().cast("array<date>")),
+            _days_between(F.greatest(after, first), F.least(F.coalesce(F.date_sub("_next", 1), last), last)))
+    return near.select("symbol", F.explode(gaps).alias("date"))

@@ -43,7 +43,7 @@ def with_daily_change(df: DataFrame) -> DataFrame:
 def daily_return_pct(close="close_price", prev="prev_close_price") -> Column:
     """round((close - prev) / prev * 100, 2), exact."""
     c, p = F.col(close), F.col(prev)
-    return pct_half_up(c - p, p)
+    return pct_half_up(c - p, p, operand_scale=2)
 
 
 def with_daily_return_pct(df: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def distance_pct(price, avg) -> Column:
     """M4: round((price - avg) / avg * 100, 2), exact."""
     p = F.col(price) if isinstance(price, str) else price
     a = F.col(avg) if isinstance(avg, str) else avg
-    return pct_half_up(p - a, a)
+    return pct_half_up(p - a, a, operand_scale=2)
 
 
 def moving_averages(staged: DataFrame, min_rows: int = 0) -> DataFrame:
@@ -145,7 +145,7 @@ def with_volume_vs_avg(df: DataFrame, rows: int = S.VOLUME_MA_ROWS) -> DataFrame
 def with_price_change_pct(df: DataFrame) -> DataFrame:
     """V2: same formula as R3."""
     prev = F.lag("close_price").over(series())
-    return df.withColumn("price_change_pct", pct_half_up(F.col("close_price") - prev, prev))
+    return df.withColumn("price_change_pct", pct_half_up(F.col("close_price") - prev, prev, operand_scale=2))
 
 
 def with_volume_labels(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tickerlake import schema as S
 from tickerlake.functions.timeutil import ntz
-from tickerlake.functions.redact import STRING_MAP, redact_map_values, redact_text, rules
+from tickerlake.functions.redact import json_redactor, redact_text, redact_value, rules
 
 
 def redact_secrets(df: DataFrame, col: str, loose_token: bool = False, log_forms: bool = False,
@@ -23,12 +23,13 @@ def redact_secrets(df: DataFrame, col: str, loose_token: bool = False, log_forms
     return df.withColumn(col, redact_text(col, chosen))
 
 
-def redact_map(df: DataFrame, col: str, keys: Sequence[str] = S.SENSITIVE_KEYS,
-               depth: int = 1) -> DataFrame:
-    """Redact sensitive keys of a map column (or a JSON-object text column)."""
-    dtype = df.schema[col].dataType
-    m = F.from_json(F.col(col), STRING_MAP) if isinstance(dtype, T.StringType) else F.col(col)
-    return df.withColumn(col, redact_map_values(m, keys, depth))
+def redact_map(df: DataFrame, col: str, keys: Sequence[str] = S.SENSITIVE_KEYS) -> DataFrame:
+    """Redact sensitive keys, to any depth, of a struct or map column or of
+    JSON objects in a text column; other values keep their type and spelling,
+    and text that is not a JSON object is kept."""
+    kind = df.schema[col].dataType
+    c = F.col(f"`{col}`")
+    return df.withColumn(col, json_redactor(keys)(c) if isinstance(kind, T.StringType) else redact_value(c, kind, keys))
 
 
 def _ts(v) -> Column:

@@ -77,7 +77,7 @@ def load_checks(df: DataFrame) -> DataFrame:
     """Q1-Q3 together, as run before a load."""
     missing = [c for c in S.REQUIRED_COLUMNS if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"batch lacks columns {missing}")
     checks = [Check("null_count", c, F.col(c).isNull()) for c in S.NOT_NULL_AT_LOAD]
     checks.append(Check("low_above_high", "low,high", F.col("low") > F.col("high")))
     return report(df, checks)
@@ -119,7 +119,7 @@ def gate_report(df: DataFrame) -> DataFrame:
     """
     missing = [c for c in S.REQUIRED_COLUMNS if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"batch lacks columns {missing}")
     checks = {
         "has_data": (F.count(F.lit(1)), lambda c: c > 0),
         "has_symbols": (F.count("symbol"), lambda c: c > 0),
@@ -250,7 +250,7 @@ def enforce(results: DataFrame, passed_col: str = "passed") -> None:
     failed = results.filter(~F.col(passed_col)).select(*name_cols).collect()
     if failed:
         names = [":".join(str(v) for v in r) for r in failed]
-        raise ValueError(f"Data validation failed: {names}")
+        raise ValueError(f"checks not passed: {names}")
 
 
 # --- Q9: load reconciliation -----------------------------------------------
@@ -267,16 +267,12 @@ def reconcile(extracted: DataFrame, loaded: DataFrame, key: str = "pipeline_run_
 
     ``match`` when equal, ``partial`` when some but not the same number were
     loaded (the original pipeline lets this pass with a message), ``failed``
-    when none were. Both sides are grouped counts (partial aggregation), so
-    the join sees one row per run.
+    when none were. Both sides are counted in one grouping, so a NULL run is a
+    run like any other.
     """
-    e = extracted.groupBy(key).agg(F.count(F.lit(1)).alias("extracted_rows"))
-    l_ = loaded.groupBy(key).agg(F.count(F.lit(1)).alias("loaded_rows"))
-    j = e.join(l_, key, "full_outer").select(
-        key,
-        F.coalesce("extracted_rows", F.lit(0)).alias("extracted_rows"),
-        F.coalesce("loaded_rows", F.lit(0)).alias("loaded_rows"),
-    )
+    sides = (extracted.select(key, F.lit(1).alias("e"), F.lit(0).alias("l"))
+             .union(loaded.select(key, F.lit(0).alias("e"), F.lit(1).alias("l"))))
+    j = sides.groupBy(key).agg(F.sum("e").alias("extracted_rows"), F.sum("l").alias("loaded_rows"))
     status = (F.when(F.col("loaded_rows") == F.col("extracted_rows"), "match")
                .when(F.col("loaded_rows") > 0, "partial")
                .otherwise("failed"))

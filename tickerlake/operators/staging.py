@@ -74,7 +74,7 @@ def with_daily_change_pct(df: DataFrame) -> DataFrame:
     """round((close - open) / open * 100, 2); NULL when open is 0."""
     return df.withColumn(
         "daily_change_pct",
-        pct_half_up(F.col("close_price") - F.col("open_price"), F.col("open_price")),
+        pct_half_up(F.col("close_price") - F.col("open_price"), F.col("open_price"), operand_scale=2),
     )
 
 
@@ -101,9 +101,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str] = ("symbol", "date"),
               .drop("_rn"))
 
 
+def keyed_bars(df: DataFrame) -> DataFrame:
+    """Bars with a symbol and a date. The load gate stops the others; a row
+    that comes another way is left out here and reported by T9, on the full
+    and the incremental path alike."""
+    return df.filter(F.col("symbol").isNotNull() & F.col("date").isNotNull())
+
+
 def valid(raw: DataFrame) -> DataFrame:
     """Cast and validate, before deduplication."""
-    return positive_bars(valid_ohlc(drop_null_bars(cast_prices(raw))))
+    return positive_bars(valid_ohlc(drop_null_bars(keyed_bars(cast_prices(raw)))))
 
 
 def derive(df: DataFrame) -> DataFrame:
@@ -131,7 +138,7 @@ def stage(raw: DataFrame, order: Sequence[Column] | None = None,
 def reject_reasons() -> Column:
     """Array of the staging rules a (cast) row breaks; empty when it passes."""
     rules = [
-        ("null_" + c, F.col(c).isNull()) for c in STAGED_MEASURES
+        ("null_" + c, F.col(c).isNull()) for c in ("symbol", "date", *STAGED_MEASURES)
     ] + [
         ("low_above_high", F.col("low_price") > F.col("high_price")),
         ("open_outside_range", ~F.col("open_price").between(F.col("low_price"), F.col("high_price"))),

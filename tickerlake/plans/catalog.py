@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import datetime as dt
+import uuid
 
 from tickerlake import schema as S
 from tickerlake.functions.timeutil import ntz
@@ -334,11 +335,34 @@ def q_expected_grid(spark, sf_dir):
     return ingest.expected_grid(staged_bars(spark, sf_dir))
 
 
+GRID_FROM, GRID_TO = dt.date(1993, 5, 1), dt.date(1999, 2, 28)
+
+
+@query("expected_grid_bounds")
+def q_expected_grid_bounds(spark, sf_dir):
+    return ingest.expected_grid(staged_bars(spark, sf_dir), GRID_FROM, GRID_TO)
+
+
+@query("expected_grid_per_symbol")
+def q_expected_grid_per_symbol(spark, sf_dir):
+    return ingest.expected_grid(staged_bars(spark, sf_dir), per_symbol=True)
+
+
 @query("missing_bars")
 def q_missing_bars(spark, sf_dir):
     return ingest.missing_bars(staged_bars(spark, sf_dir))
 
 
+@query("missing_bars_bounds")
+def q_missing_bars_bounds(spark, sf_dir):
+    return ingest.missing_bars(staged_bars(spark, sf_dir), start=GRID_FROM, end=GRID_TO)
+
+
+@query("missing_bars_per_symbol")
+def q_missing_bars_per_symbol(spark, sf_dir):
+    return ingest.missing_bars(staged_bars(spark, sf_dir), per_symbol=True)
+
+
 # --- reports (P1-P4) -------------------------------------------------------
 
 AS_OF = dt.date(2001, 11, 4)
@@ -379,23 +403,35 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
+def damaged_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Raw bars landed as CSV, some lines damaged: bars without a close are
+    torn after two fields, those of zero volume have a volume that is no
+    number and no source system. Both keep the raw line as it landed."""
+    path = scratch(spark, "landing")
+    raw = ingest.conform(raw_bars(spark, sf_dir))
+    torn, odd = F.col("close").isNull(), F.coalesce(F.col("volume") == 0, F.lit(False))
+    raw.filter(~torn & ~odd).write.options(**csv.WRITE_OPTIONS).csv(path)
+    raw.filter(torn).select("symbol", "date").write.mode("append").options(**csv.WRITE_OPTIONS).csv(path)
+    (raw.filter(~torn & odd).withColumn("volume", F.lit("none")).withColumn("source_system", F.lit(None).cast("string"))
+        .write.mode("append").options(**csv.WRITE_OPTIONS).csv(path))
+    return path
+
+
 @query("read_csv_roundtrip")
 def q_read_csv_roundtrip(spark, sf_dir):
     path = scratch(spark, "csv-read")
-    ingest.conform(raw_bars(spark, sf_dir)).write.option("header", True).csv(path)
+    ingest.conform(raw_bars(spark, sf_dir)).write.options(**csv.WRITE_OPTIONS).csv(path)
     return csv.read_bars_csv(spark, path)
 
 
 @query("quarantine_malformed")
 def q_quarantine_malformed(spark, sf_dir):
-    path = scratch(spark, "landing")
-    raw = raw_bars(spark, sf_dir)
-    ingest.conform(raw.filter(F.col("close").isNotNull())).write.option("header", True).csv(path)
-    # Bars without a close land torn: only their first two fields were written.
-    (raw.filter(F.col("close").isNull()).select("symbol", "date")
-        .write.mode("append").option("header", True).csv(path))
-    _good, bad = csv.quarantine_malformed(spark, path)
-    return bad
+    return csv.quarantine_malformed(spark, damaged_landing(spark, sf_dir))[1]
+
+
+@query("quarantine_good")
+def q_quarantine_good(spark, sf_dir):
+    return csv.quarantine_malformed(spark, damaged_landing(spark, sf_dir))[0]
 
 
 @query("csv_export_roundtrip")
@@ -430,9 +466,37 @@ def q_publish_mart(spark, sf_dir):
     return tables.read_table(spark, target)
 
 
+def layers(spark: SparkSession) -> None:
+    tables.ensure_layers(spark, root=scratch(spark, "layers"))
+
+
+@query("layer_tables")
+def q_layer_tables(spark, sf_dir):
+    """A catalog table per layer, written and read by its qualified name."""
+    layers(spark)
+    bars, own = event_bars(spark, sf_dir), uuid.uuid4().hex[:8]
+    raw, gold = (tables.layer_table(layer, f"bars_{own}") for layer in (S.BRONZE_LAYER, S.GOLD_LAYER))
+    tables.append_bronze(bars, raw)
+    tables.append_bronze(bars, raw)
+    tables.publish_table(marts.daily_returns(staging.stage(tables.read_table(spark, raw))), gold)
+    return tables.read_table(spark, gold)
+
+
+@query("staging_view")
+def q_staging_view(spark, sf_dir):
+    """The staging layer queried by the name of its view."""
+    tables.publish_view(staged_bars(spark, sf_dir), "stg_stock_prices")
+    return spark.sql("SELECT * FROM stg_stock_prices")
+
+
 @query("table_profile")
 def q_table_profile(spark, sf_dir):
-    return tables.profile(staged_bars(spark, sf_dir))
+    """S9 of stored tables, one of which does not exist."""
+    layers(spark)
+    name = tables.layer_table(S.SILVER_LAYER, f"staged_{uuid.uuid4().hex[:8]}")
+    tables.publish_table(staged_bars(spark, sf_dir), name)
+    return (tables.table_profile(spark, name).withColumn("name", F.lit("stored"))
+            .unionByName(tables.table_profile(spark, name + "_missing").withColumn("name", F.lit("missing"))))
 
 
 @query("sample_rows")
@@ -455,8 +519,46 @@ def q_redact_urls(spark, sf_dir):
 
 @query("redact_map")
 def q_redact_map(spark, sf_dir):
-    ev = privacy.redact_map(table(spark, sf_dir, "events").select("event_id", "props"), "props", ["k"])
-    return ev.select("event_id", F.explode("props").alias("key", "value"))
+    return privacy.redact_map(table(spark, sf_dir, "events").select("event_id", "props"), "props")
+
+
+@query("redact_nested")
+def q_redact_nested(spark, sf_dir):
+    """X2 on JSON text with sensitive keys at several depths, values of all
+    types, lists, and text that is no object."""
+    cust = table(spark, sf_dir, "customer")
+    key, name = F.col("c_custkey").cast("string"), F.col("c_name")
+    nested = F.concat(F.lit('{"id": '), key, F.lit(', "Password": "p'), key, F.lit('", "n": 1.50, "flag": true, "conn": {"user": "'), name,
+                      F.lit('", "TOKEN": {"a": [1, "}"]}, "deep": {"auth": '), key, F.lit(', "deeper": {"api_key": null, "x": [{"secret": 1}]}}}, "last": "\\"password\\": 1"}'))
+    other = F.concat(F.lit('["password", '), key, F.lit("]"))
+    torn = F.concat(F.lit('{"password": "'), name)
+    text = F.when(F.col("c_acctbal") < 0, torn).when(F.col("c_acctbal") < 1000, other).otherwise(nested)
+    return privacy.redact_map(cust.select("c_custkey", text.alias("text")), "text")
+
+
+@query("redact_typed")
+def q_redact_typed(spark, sf_dir):
+    """X2 on a struct column: sensitive fields of any depth, types kept."""
+    cust = table(spark, sf_dir, "customer")
+    value = F.struct(F.col("c_custkey").alias("id"), F.col("c_name").alias("Password"),
+                     F.struct(F.col("c_acctbal").alias("token"), F.col("c_acctbal").alias("kept"),
+                              F.create_map(F.lit("secret"), F.col("c_name"), F.lit("open"), F.col("c_name")).alias("m")).alias("conn"))
+    out = privacy.redact_map(cust.select("c_custkey", value.alias("v")), "v")
+    return out.select("c_custkey", F.col("v.id").alias("id"), F.col("v.Password").alias("password"), F.col("v.conn.token").alias("token"),
+                      F.col("v.conn.kept").alias("kept"), F.col("v.conn.m")["secret"].alias("secret"), F.col("v.conn.m")["open"].alias("open"))
+
+
+@query("redact_rules")
+def q_redact_rules(spark, sf_dir):
+    """X1 with every rule and log form firing, and non-ASCII spaces and
+    letters, around the whole text of each document."""
+    docs = table(spark, sf_dir, "documents")
+    key, wide = F.col("doc_id").cast("string"), F.lit("\u3000")
+    text = F.concat(
+        F.lit("PASSWORD='a"), key, F.lit("' x&password=b"), key, F.lit("&y ?Password=c"), key, wide, F.lit("https://h/"), key, F.lit("?q="), key,
+        F.lit("\u00a0next Token=d"), key, wide, F.lit("words token = \"e"), key, F.lit("\" {'password': 'f'} {\"password\":\u2003\"g\"} password=\"\" "),
+        F.lit("pa\u017f\u017fword='h' to\u212aen=i\u0085"), F.coalesce("text", F.lit("")))
+    return privacy.redact_secrets(docs.select("doc_id", text.alias("text")), "text", loose_token=True, log_forms=True)
 
 
 RETENTION_AS_OF = dt.datetime(2024, 1, 31)
@@ -468,11 +570,28 @@ def q_retention_split(spark, sf_dir):
     return privacy.with_archived_flag(ev, "ts", RETENTION_AS_OF, S.RETENTION_DAYS)
 
 
+def streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Raw bars with damaged lines, landed and streamed in: (bronze, quarantine)."""
+    bronze, bad = scratch(spark, "stream-bronze"), scratch(spark, "stream-bad")
+    refresh.ingest_new_files(spark, damaged_landing(spark, sf_dir), bronze, scratch(spark, "stream-ckpt"), quarantine=bad)
+    return bronze, bad
+
+
 @query("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
-    landing, bronze = scratch(spark, "stream-landing"), scratch(spark, "stream-bronze")
-    ingest.conform(raw_bars(spark, sf_dir)).write.option("header", True).csv(landing)
-    refresh.ingest_new_files(spark, landing, bronze, checkpoint=scratch(spark, "stream-ckpt"))
+    return tables.read_table(spark, streamed(spark, sf_dir)[0])
+
+
+@query("stream_quarantine")
+def q_stream_quarantine(spark, sf_dir):
+    return tables.read_table(spark, streamed(spark, sf_dir)[1])
+
+
+@query("bronze_mixed")
+def q_bronze_mixed(spark, sf_dir):
+    """Stream and batch loads into one table."""
+    bronze, _ = streamed(spark, sf_dir)
+    tables.append_bronze(event_bars(spark, sf_dir), bronze)
     return tables.read_table(spark, bronze)
 
 
@@ -489,8 +608,7 @@ def q_upsert_latest(spark, sf_dir):
     return merged.select(*S.STAGED_COLUMNS)
 
 
-@query("refresh_marts")
-def q_refresh_marts(spark, sf_dir):
+def refreshed(spark, sf_dir, name: str) -> DataFrame:
     raw = raw_bars(spark, sf_dir)
     early = F.coalesce(F.col("ingestion_timestamp") < ntz(UPSERT_CUTOFF), F.lit(False))
     keep = ("tie1", "tie2")
@@ -500,9 +618,73 @@ def q_refresh_marts(spark, sf_dir):
                      "volume_analysis": marts.volume_analysis(current)}
     late = raw.filter(~early)
     staged = refresh.upsert_latest(current, late, raw_bars_order(), keep)
-    return refresh.refresh_marts(staged, current_marts, refresh.affected_symbols(late))["moving_averages"]
+    return refresh.refresh_marts(staged, current_marts, refresh.affected_symbols(late))[name]
+
+
+@query("refresh_marts")
+def q_refresh_marts(spark, sf_dir):
+    return refreshed(spark, sf_dir, "moving_averages")
+
+
+@query("refresh_marts_returns")
+def q_refresh_marts_returns(spark, sf_dir):
+    return refreshed(spark, sf_dir, "daily_returns")
+
+
+@query("refresh_marts_volume")
+def q_refresh_marts_volume(spark, sf_dir):
+    return refreshed(spark, sf_dir, "volume_analysis")
+
+
+def mart_values(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """All columns of the three stored marts, side by side."""
+    read = lambda name: tables.read_table(spark, paths[name])
+    averages = read("moving_averages").select("symbol", "date", "close_price", "ma_7_day", "ma_30_day", "avg_volume_7_day", "crossover_signal",
+                                              "distance_from_ma7_pct", "distance_from_ma30_pct")
+    returns = read("daily_returns").select("symbol", "date", "prev_close_price", "daily_change_inr", "daily_return_pct", "return_category")
+    volume = read("volume_analysis").select("symbol", "date", "volume", "avg_volume_7d", "volume_vs_avg_pct", "price_change_pct",
+                                            "volume_category", "trend_strength")
+    return averages.join(returns, ["symbol", "date"], "full_outer").join(volume, ["symbol", "date"], "full_outer")
 
 
 @query("daily_refresh")
 def q_daily_refresh(spark, sf_dir):
+    """The values of the marts that a full run stores."""
+    return mart_values(spark, run_daily(spark, event_bars(spark, sf_dir), scratch(spark, "daily")).tables)
+
+
+@query("daily_refresh_layers")
+def q_daily_refresh_layers(spark, sf_dir):
     return run_daily(spark, event_bars(spark, sf_dir), scratch(spark, "daily")).summary
+
+
+def event_batches(spark, sf_dir) -> list[DataFrame]:
+    """``event_bars`` in three loads: up to a day, up to a later one, and the
+    rest with a correction of every bar of the ten days before the first cut."""
+    bars = event_bars(spark, sf_dir)
+    first, second = F.lit(FIRST_CUT), F.lit(SECOND_CUT)
+    fixed = (bars.filter((F.col("date") <= first) & (F.col("date") > F.date_sub(first, 10)))
+             .withColumns({"close": F.col("open"), "ingestion_timestamp": F.lit(CORRECTED).cast("timestamp_ntz"), "pipeline_run_id": F.lit("fix")}))
+    return [bars.filter(F.col("date") <= first), bars.filter((F.col("date") > first) & (F.col("date") <= second)),
+            bars.filter(F.col("date") > second).unionByName(fixed)]
+
+
+FIRST_CUT, SECOND_CUT, CORRECTED = dt.date(2024, 1, 15), dt.date(2024, 1, 20), "2030-01-01 00:00:00"
+
+
+@query("daily_refresh_incremental")
+def q_daily_refresh_incremental(spark, sf_dir):
+    """A full run, then two incremental ones, the last with corrections."""
+    target = scratch(spark, "daily")
+    for i, batch in enumerate(event_batches(spark, sf_dir)):
+        out = run_daily(spark, batch, target, incremental=i > 0)
+    return mart_values(spark, out.tables)
+
+
+@query("daily_refresh_staging")
+def q_daily_refresh_staging(spark, sf_dir):
+    """The staging table after those three runs."""
+    target = scratch(spark, "daily")
+    for i, batch in enumerate(event_batches(spark, sf_dir)):
+        out = run_daily(spark, batch, target, incremental=i > 0)
+    return tables.read_table(spark, out.tables["stg_stock_prices"]).select(*S.STAGED_COLUMNS)

@@ -3,9 +3,9 @@
 One driver program replaces the original's chain of scheduled tasks; each
 stage stays a separate function so it can be rerun alone. Staging and all
 series columns are computed once and written into the shared folder
-(``spark.checkpoint.dir``); the staging table and the three marts are
-projections of that written table: one shuffle for dedup, one for the series
-windows, none per mart, and the window pass runs once.
+(``spark.checkpoint.dir``) and deleted at the end; the staging table and the
+three marts are projections of that written table: one shuffle for dedup, one
+for the series windows, and one per stored table to lay it out by date.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tickerlake import schema as S
 from tickerlake.operators import marts, quality, reports, staging
-from tickerlake.session import cut_lineage
+from tickerlake.session import Cut
 from tickerlake.sources import tables
 from tickerlake.streaming import refresh
 
@@ -49,31 +49,28 @@ LAYER_OF = {"stock_prices_raw": S.BRONZE_LAYER, "stg_stock_prices": S.SILVER_LAY
 MART_NAMES = ("daily_returns", "moving_averages", "volume_analysis")
 
 
-def _full_build(spark: SparkSession, paths: dict[str, str], order, keep: Sequence[str],
-                partition_staging: bool) -> None:
+def full_features(bronze: DataFrame, order, keep: Sequence[str]) -> DataFrame:
+    """Staging and all series columns of all bronze history: one dedup shuffle,
+    one window pass."""
+    return marts.series_features(staging.stage(bronze, order, keep))
+
+
+def _full_build(spark: SparkSession, paths: dict[str, str], order, keep: Sequence[str]) -> None:
     """Stage all bronze history once, then every mart from one window pass."""
     bronze = tables.read_table(spark, paths["stock_prices_raw"])
-    staged = staging.stage(bronze, order, keep)                                  # T8
-    features = cut_lineage(marts.series_features(staged))                        # one window pass
-    tables.publish_view(features.select(*S.STAGED_COLUMNS), "stg_stock_prices")  # S7
-    # The window pass wrote each partition sorted by (symbol, date); the
-    # projections keep that order, so files are written in storage order.
-    w = features.select(*S.STAGED_COLUMNS, *keep).write.mode("overwrite")
-    (w.partitionBy("date") if partition_staging else w).parquet(paths["stg_stock_prices"])
-    for name, df in marts.marts_from_features(features).items():                 # R5, M5, V5
-        df.write.mode("overwrite").parquet(paths[name])
+    with Cut(full_features(bronze, order, keep), "features") as features:
+        tables.publish_table(features.select(*S.STAGED_COLUMNS, *keep), paths["stg_stock_prices"],
+                             partition_by="date")                                    # T8, S8
+        for name, df in marts.marts_from_features(features).items():                 # R5, M5, V5
+            tables.publish_table(df, paths[name], partition_by="date")
 
 
 def _fold_batch(spark: SparkSession, batch: DataFrame, paths: dict[str, str], order,
                 keep: Sequence[str]) -> None:
-    """Upsert the batch into staging, rebuild marts for affected symbols."""
+    """Upsert the batch into staging, refresh the mart dates it reaches."""
     refresh.upsert_into(spark, paths["stg_stock_prices"], batch, order, keep)
-    staged = tables.read_table(spark, paths["stg_stock_prices"])
-    affected = refresh.affected_symbols(batch)
-    current = {name: tables.read_table(spark, paths[name]) for name in MART_NAMES}
-    for name, df in refresh.refresh_marts(staged, current, affected).items():
-        # The new mart reads the table it replaces: cut the lineage first.
-        cut_lineage(df).write.mode("overwrite").parquet(paths[name])
+    with Cut(refresh.first_changes(batch), "changes") as changes:
+        refresh.refresh_mart_tables(spark, paths["stg_stock_prices"], {n: paths[n] for n in MART_NAMES}, changes)
 
 
 def run_daily(spark: SparkSession, batch: DataFrame, workdir: str,
@@ -90,25 +87,30 @@ def run_daily(spark: SparkSession, batch: DataFrame, workdir: str,
     raised on only with ``enforce_suite``.
 
     ``incremental``: after the first run, the batch is folded into the stored
-    staging table (partitioned by date, only touched dates read and
-    rewritten) instead of re-deduplicating all bronze history, and the marts
-    are rebuilt for the affected symbols only. Results equal a full run.
+    staging table (only touched dates read and rewritten) instead of
+    re-deduplicating all bronze history, and the marts are refreshed on the
+    dates the batch reaches. Both modes store staging and marts by date, so
+    runs of either kind may follow each other; results equal a full run.
+
+    The batch is read once: every step reads the copy the run starts with.
     """
     paths = table_paths(workdir)
-    gate = quality.gate_report(batch).collect()                                  # Q1-Q4, one pass
-    failed = [r.check_name for r in gate if not r.passed]
-    if failed:
-        raise ValueError(f"Data validation failed: {failed}")
-    extracted = next(r.observed for r in gate if r.check_name == "has_data")
-    loaded = tables.append_bronze(batch.select(*S.RAW_COLUMNS, *keep),
-                                  paths["stock_prices_raw"], validate=False)     # S4
-    status = quality.load_status(extracted, loaded)                              # Q9
-    if status == "failed":
-        raise ValueError(f"Load failed: extracted {extracted}, loaded {loaded}")
-    if incremental and tables.table_exists(spark, paths["stg_stock_prices"]):
-        _fold_batch(spark, batch.select(*S.RAW_COLUMNS, *keep), paths, order, keep)
-    else:
-        _full_build(spark, paths, order, keep, partition_staging=incremental)
+    with Cut(batch.select(*S.RAW_COLUMNS, *keep), "batch") as landed:
+        gate = quality.gate_report(landed).collect()                             # Q1-Q4, one pass
+        failed = [r.check_name for r in gate if not r.passed]
+        if failed:
+            raise ValueError(f"the gate refused the batch: {failed}")
+        extracted = next(r.observed for r in gate if r.check_name == "has_data")
+        loaded = tables.append_bronze(landed, paths["stock_prices_raw"], validate=False)   # S4
+        status = quality.load_status(extracted, loaded)                          # Q9
+        if status == "failed":
+            raise ValueError(f"nothing was loaded of {extracted} rows")
+        if incremental and tables.table_exists(spark, paths["stg_stock_prices"]):
+            _fold_batch(spark, landed, paths, order, keep)
+        else:
+            _full_build(spark, paths, order, keep)
+    tables.publish_view(tables.read_table(spark, paths["stg_stock_prices"]).select(*S.STAGED_COLUMNS),
+                        "stg_stock_prices")                                      # S7
 
     stored = {name: tables.read_table(spark, p) for name, p in paths.items()}
     suite = quality.run_suite(stored, quality.default_suite(symbols))            # Q8
@@ -123,14 +125,14 @@ def main(argv: Sequence[str] | None = None) -> int:
     """``spark-submit --py-files tickerlake.zip tickerlake/plans/daily_run.py --landing <csv dir>
     --workdir <dir>`` (locally: ``python -m tickerlake.plans.daily_run ...``).
 
-    Reads the landed CSV batch (S1), runs ``run_daily`` and prints the layer
+    Reads the landed CSV batch (S1, S2), runs ``run_daily`` and prints the layer
     summary and the declared tests. Exit status 1 if a declared test fails
     with ``--enforce-suite``.
     """
     import argparse
 
     from tickerlake.session import get_session
-    from tickerlake.sources.csv import read_bars_csv
+    from tickerlake.sources.csv import quarantine_malformed
 
     ap = argparse.ArgumentParser(prog="tickerlake.plans.daily_run")
     ap.add_argument("--landing", required=True, help="folder of landed header CSV files")
@@ -141,7 +143,13 @@ def main(argv: Sequence[str] | None = None) -> int:
                     help="comma-separated accepted symbols")
     args = ap.parse_args(argv)
     spark = get_session(app="tickerlake-daily")
-    batch = read_bars_csv(spark, args.landing)
+    # A line that is torn or holds a value that does not parse stops the run.
+    batch, bad = quarantine_malformed(spark, args.landing)
+    refused = bad.limit(20).collect()
+    if refused:
+        for r in refused:
+            print(f"refused {r.reasons}: {r.raw_line}")
+        return 1
     try:
         out = run_daily(spark, batch, args.workdir, symbols=args.symbols.split(","),
                         enforce_suite=args.enforce_suite, incremental=args.incremental)

@@ -159,6 +159,8 @@ STAGED_COLS = (f"symbol, date, {dbl(cents('open_price'))} AS open_price, "
 ORACLES["stg_stock_prices"] = STAGED_BASE + f"SELECT {STAGED_COLS} FROM staged"
 
 REASONS = ", ".join([
+    "CASE WHEN symbol IS NULL THEN 'null_symbol' END",
+    "CASE WHEN date IS NULL THEN 'null_date' END",
     "CASE WHEN open_price IS NULL THEN 'null_open_price' END",
     "CASE WHEN high_price IS NULL THEN 'null_high_price' END",
     "CASE WHEN low_price IS NULL THEN 'null_low_price' END",
@@ -288,7 +290,7 @@ ORACLES["reconcile_runs"] = STAGED_BASE + """SELECT coalesce(e.pipeline_run_id,
        WHEN coalesce(l.n, 0) > 0 THEN 'partial' ELSE 'failed' END AS status
 FROM (SELECT pipeline_run_id, count(*) AS n FROM raw_bars GROUP BY 1) e
 FULL OUTER JOIN (SELECT pipeline_run_id, count(*) AS n FROM staged GROUP BY 1) l
-  ON e.pipeline_run_id = l.pipeline_run_id"""
+  ON e.pipeline_run_id IS NOT DISTINCT FROM l.pipeline_run_id"""
 
 # --- ingestion -------------------------------------------------------------
 
@@ -343,14 +345,27 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1"""
 ORACLES["business_days"] = BASE + """SELECT CAST(d AS DATE) AS date FROM (
   SELECT unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS d FROM raw_bars) g
 WHERE dayofweek(d) NOT IN (0, 6)"""
-GRID = """grid AS (
+
+
+def grid(lo: str, hi: str, extra: str = "") -> str:
+    """Every symbol x every business day from lo to hi."""
+    return f"""days AS (
+SELECT CAST(d AS DATE) AS date FROM (SELECT unnest(generate_series({lo}, {hi}, INTERVAL 1 DAY)) AS d{extra}) g
+WHERE dayofweek(d) NOT IN (0, 6)),
+grid AS (SELECT symbol, date FROM (SELECT DISTINCT symbol FROM staged) s CROSS JOIN days)"""
+
+
+OWN_GRID = """grid AS (
 SELECT symbol, CAST(d AS DATE) AS date FROM (
   SELECT symbol, unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS d
   FROM staged GROUP BY symbol) g
 WHERE dayofweek(d) NOT IN (0, 6))"""
-ORACLES["expected_grid"] = with_ctes(RAW_BARS, CAST_BARS, STAGED, GRID) + "SELECT symbol, date FROM grid"
-ORACLES["missing_bars"] = with_ctes(RAW_BARS, CAST_BARS, STAGED, GRID) + (
-    "SELECT g.symbol, g.date FROM grid g ANTI JOIN staged s ON g.symbol = s.symbol AND g.date = s.date")
+for _name, _grid in (("", grid("min(date)", "max(date)", " FROM staged")),
+                     ("_bounds", grid("DATE '1993-05-01'", "DATE '1999-02-28'")), ("_per_symbol", OWN_GRID)):
+    _ctes = with_ctes(RAW_BARS, CAST_BARS, STAGED, _grid)
+    ORACLES["expected_grid" + _name] = _ctes + "SELECT symbol, date FROM grid"
+    ORACLES["missing_bars" + _name] = _ctes + (
+        "SELECT g.symbol, g.date FROM grid g ANTI JOIN staged s ON g.symbol = s.symbol AND g.date = s.date")
 
 # --- reports ---------------------------------------------------------------
 
@@ -374,9 +389,16 @@ UNION ALL SELECT 'MARTS', 'volume_analysis', count(*) FROM volume_analysis"""
 # --- sources and sinks -----------------------------------------------------
 
 ORACLES["read_csv_roundtrip"] = BASE + f"SELECT {RAW_COLS} FROM raw_bars"
-ORACLES["quarantine_malformed"] = BASE + (
-    "SELECT symbol || ',' || strftime(date, '%Y-%m-%d') AS raw_line, 'malformed' AS reasons "
-    "FROM raw_bars WHERE close IS NULL")
+# Lines as they landed: torn ones, and those whose volume is no number and whose source is empty.
+DAMAGED = """SELECT symbol || ',' || strftime(date, '%Y-%m-%d') AS raw_line, 'malformed' AS reasons
+FROM raw_bars WHERE close IS NULL
+UNION ALL
+SELECT concat_ws(',', symbol, strftime(date, '%Y-%m-%d'), CAST(open AS VARCHAR), CAST(high AS VARCHAR), CAST(low AS VARCHAR),
+  CAST(close AS VARCHAR), 'none', strftime(ingestion_timestamp, '%Y-%m-%dT%H:%M:%S.%f'), '', pipeline_run_id), 'unparseable:volume'
+FROM raw_bars WHERE close IS NOT NULL AND volume = 0"""
+UNDAMAGED = f"SELECT {RAW_COLS} FROM raw_bars WHERE close IS NOT NULL AND volume <> 0"
+ORACLES["quarantine_malformed"] = BASE + DAMAGED
+ORACLES["quarantine_good"] = BASE + UNDAMAGED
 ORACLES["csv_export_roundtrip"] = ORACLES["stg_stock_prices"]
 EVENT_COLS = (f"symbol, date, {d2('open')} AS open, {d2('high')} AS high, {d2('low')} AS low, "
               f"{d2('close')} AS close, volume, ingestion_timestamp, source_system, pipeline_run_id")
@@ -385,8 +407,10 @@ ORACLES["bronze_append"] = with_ctes(EVENT_BARS) + (
 ORACLES["bronze_replace"] = with_ctes(EVENT_BARS) + f"SELECT {EVENT_COLS} FROM event_bars"
 ORACLES["publish_mart"] = ORACLES["daily_returns"]
 ORACLES["table_profile"] = STAGED_BASE + (
-    "SELECT true AS table_exists, count(*) AS row_count, count(DISTINCT symbol) AS symbols, "
-    "min(date) AS first_date, max(date) AS last_date FROM staged")
+    "SELECT 'stored' AS name, true AS table_exists, count(*) AS row_count, count(DISTINCT symbol) AS symbols, "
+    "min(date) AS first_date, max(date) AS last_date FROM staged "
+    "UNION ALL SELECT 'missing', false, 0, 0, NULL, NULL")
+ORACLES["staging_view"] = ORACLES["stg_stock_prices"]
 ORACLES["sample_rows"] = STAGED_BASE + f"SELECT {STAGED_COLS} FROM staged ORDER BY symbol, date LIMIT 5"
 
 # --- redaction, retention, refresh -----------------------------------------
@@ -396,26 +420,58 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-# Same rules as tickerlake.functions.redact, in RE2 replacement syntax (\1).
-def redact_sql(col: str, loose: bool) -> str:
-    from tickerlake.functions.redact import LOOSE_TOKEN_RULE, SECRET_RULES
+# The redaction rules as the original states them, for RE2: its \s is ASCII,
+# so the white space of Unicode is spelled out. Written apart from the code.
+WS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+RULES = [
+    (r"""(?i)password=['"]([^'"]+)['"]""", "password='***REDACTED***'"),
+    (r"(?i)&password=[^&]+&", "&password=***REDACTED***&"),
+    (rf"(?i)[?&]password=[^&{WS}]+", "?password=***REDACTED***"),
+    (rf"(https?://[^{WS}?]+)\?[^{WS}]+", r"\1?***REDACTED***"),
+    (rf"""(?i)token=['"]?[^'"&{WS}]+['"]?""", "token='***REDACTED***'"),
+]
+LOG_FORMS = [
+    (rf"'password':[{WS}]*'[^']*'", "'password': '***REDACTED***'"),
+    (rf'"password":[{WS}]*"[^"]*"', '"password": "***REDACTED***"'),
+    (r"""password=['"][^'"]*['"]""", "password='***REDACTED***'"),
+]
+LOOSE = [(rf"""(?i)(token[{WS}]*=[{WS}]*)["']?[^"'&{WS}]+["']?""", r"\1'***REDACTED***'")]
+
+
+def redact_sql(col: str, rules) -> str:
     expr = col
-    for pattern, repl in SECRET_RULES + ((LOOSE_TOKEN_RULE,) if loose else ()):
-        expr = f"regexp_replace({expr}, {sql_str(pattern)}, {sql_str(repl.replace('$1', chr(92) + '1'))}, 'g')"
+    for pattern, repl in rules:
+        expr = f"regexp_replace({expr}, {sql_str(pattern)}, {sql_str(repl)}, 'g')"
     return expr
 
 
-ORACLES["redact_documents"] = f"SELECT doc_id, {redact_sql('text', True)} AS text FROM documents"
-ORACLES["redact_urls"] = f"SELECT page_id, {redact_sql('url', False)} AS url FROM pages"
-ORACLES["redact_map"] = """SELECT event_id, k AS key,
-  CASE WHEN lower(k) IN ('k') THEN '***REDACTED***'
-       ELSE json_extract_string(props, '$."' || k || '"') END AS value
-FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) e"""
+def joined(*parts: str) -> str:
+    """Text pieces with the document's id between them."""
+    return "concat(" + ", doc_id, ".join(sql_str(p) for p in parts) + ", coalesce(text, ''))"
+
+
+SECRETS = joined("PASSWORD='a", "' x&password=b", "&y ?Password=c", "　https://h/", "?q=", " next Token=d",
+                 "　words token = \"e",
+                 "\" {'password': 'f'} {\"password\": \"g\"} password=\"\" paſſword='h' toKen=i\u0085")
+ORACLES["redact_documents"] = f"SELECT doc_id, {redact_sql('text', RULES + LOOSE)} AS text FROM documents"
+ORACLES["redact_urls"] = f"SELECT page_id, {redact_sql('url', RULES)} AS url FROM pages"
+ORACLES["redact_rules"] = f"SELECT doc_id, {redact_sql(SECRETS, RULES + LOG_FORMS + LOOSE)} AS text FROM documents"
+ORACLES["redact_map"] = "SELECT event_id, props FROM events"
+ORACLES["redact_nested"] = """SELECT c_custkey, CASE
+  WHEN c_acctbal < 0 THEN '{"password": "' || c_name
+  WHEN c_acctbal < 1000 THEN '["password", ' || c_custkey || ']'
+  ELSE '{"id": ' || c_custkey || ', "Password": "***REDACTED***", "n": 1.50, "flag": true, "conn": {"user": "' || c_name
+    || '", "TOKEN": "***REDACTED***", "deep": {"auth": "***REDACTED***", "deeper": {"api_key": "***REDACTED***", "x": [{"secret": 1}]}}}, "last": "\\"password\\": 1"}'
+  END AS text FROM customer"""
+ORACLES["redact_typed"] = """SELECT c_custkey, c_custkey AS id, '***REDACTED***' AS password, '***REDACTED***' AS token,
+  c_acctbal AS kept, '***REDACTED***' AS secret, c_name AS open FROM customer"""
 ORACLES["retention_split"] = """SELECT event_id, ts,
   coalesce(ts < TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 7 DAY, false) AS archived FROM events"""
-ORACLES["stream_ingest"] = BASE + f"SELECT {RAW_COLS} FROM raw_bars"
+ORACLES["stream_ingest"] = BASE + UNDAMAGED
+ORACLES["stream_quarantine"] = BASE + DAMAGED
+ORACLES["bronze_mixed"] = with_ctes(RAW_BARS, EVENT_BARS) + UNDAMAGED + f" UNION ALL SELECT {EVENT_COLS} FROM event_bars"
 ORACLES["upsert_latest"] = ORACLES["stg_stock_prices"]
-ORACLES["daily_refresh"] = "WITH " + EVENT_BARS + """, st AS (
+ORACLES["daily_refresh_layers"] = "WITH " + EVENT_BARS + """, st AS (
   SELECT * FROM event_bars
   WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL
     AND volume IS NOT NULL AND low <= high AND open BETWEEN low AND high
@@ -426,3 +482,25 @@ UNION ALL SELECT 'MARTS', 'daily_returns', count(*) - count(DISTINCT symbol) FRO
 UNION ALL SELECT 'MARTS', 'moving_averages', count(*) FROM st
 UNION ALL SELECT 'MARTS', 'volume_analysis', count(*) FROM st"""
 ORACLES["refresh_marts"] = ORACLES["moving_averages"]
+ORACLES["refresh_marts_returns"] = ORACLES["daily_returns"]
+ORACLES["refresh_marts_volume"] = ORACLES["volume_analysis"]
+
+# The whole chain over event_bars, and over event_bars with every bar of ten
+# days sent again, later, with its close at its open.
+EVENTS_RAW = "raw_bars AS (SELECT *, 0 AS tie1, 0 AS tie2 FROM event_bars)"
+EVENTS_TWICE = """raw_bars AS (SELECT *, 0 AS tie1, 0 AS tie2 FROM event_bars UNION ALL
+SELECT symbol, date, open, high, low, open, volume, TIMESTAMP '2030-01-01 00:00:00', source_system, 'fix', 0, 0
+FROM event_bars WHERE date <= DATE '2024-01-15' AND date > DATE '2024-01-15' - 10)"""
+MART_VALUES = f"""SELECT symbol, date, {dbl('close_c')} AS close_price, {dbl('ma7_c')} AS ma_7_day, {dbl('ma30_c')} AS ma_30_day,
+  CAST(avgvol AS BIGINT) AS avg_volume_7_day, crossover_signal,
+  {dbl('dist7_bp')} AS distance_from_ma7_pct, {dbl('dist30_bp')} AS distance_from_ma30_pct,
+  {dbl('prev_c')} AS prev_close_price, {dbl('close_c - prev_c')} AS daily_change_inr, {dbl('ret_bp')} AS daily_return_pct,
+  CASE WHEN prev_c IS NOT NULL THEN return_category END AS return_category,
+  volume, CAST(avgvol AS BIGINT) AS avg_volume_7d, CAST(volpct AS BIGINT) AS volume_vs_avg_pct,
+  {dbl('ret_bp')} AS price_change_pct, volume_category, trend_strength
+FROM signals"""
+ORACLES["daily_refresh"] = with_ctes(EVENT_BARS, EVENTS_RAW, CAST_BARS, STAGED, SERIES) + MART_VALUES
+ORACLES["daily_refresh_incremental"] = with_ctes(EVENT_BARS, EVENTS_TWICE, CAST_BARS, STAGED, SERIES) + MART_VALUES
+ORACLES["daily_refresh_staging"] = with_ctes(EVENT_BARS, EVENTS_TWICE, CAST_BARS, STAGED) + f"SELECT {STAGED_COLS} FROM staged"
+ORACLES["layer_tables"] = (with_ctes(EVENT_BARS, EVENTS_RAW, CAST_BARS, STAGED, SERIES)
+                           + ORACLES["daily_returns"].removeprefix(SERIES_BASE))

@@ -116,5 +116,5 @@ SENSITIVE_KEYS = (
 # Retention: files older than this many days are archived.
 RETENTION_DAYS = 7
 
-# Business-day calendar guard.
+# Business-day calendar guard, for callers that want one.
 MAX_CALENDAR_DAYS = 1000

@@ -92,6 +92,30 @@ def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files that nothing reads any more."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+class Cut:
+    """``with Cut(df) as rows``: ``df`` written once, read back as ``rows``, and
+    the files deleted at the end of the block."""
+
+    def __init__(self, df: DataFrame, name: str = "cut"):
+        self.df, self.name = df, name
+
+    def __enter__(self) -> DataFrame:
+        spark = self.df.sparkSession
+        ensure_checkpoint_dir(spark)
+        self.path = scratch_path(spark, self.name)
+        self.df.write.parquet(self.path)
+        return spark.read.schema(self.df.schema).parquet(self.path)
+
+    def __exit__(self, *_) -> None:
+        remove(self.df.sparkSession, self.path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, resolved like Spark resolves it (default FS)."""
     jvm = spark.sparkContext._jvm

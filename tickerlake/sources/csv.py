@@ -1,10 +1,11 @@
 """CSV landing files (S1-S3): read with NULL spellings, quarantine torn lines, export.
 
-Files are read with an all-STRING schema first, so a bad value never fails
-the whole job: NULL spellings become NULL, then ``try_cast`` types each
-column. Malformed lines (wrong number of fields) are caught by the CSV
-reader's corrupt-record column; values that do not cast are reported with
-the column name.
+Landed files are read as lines of text and each line is parsed by ``from_csv``
+with an all-STRING schema, so a bad value never fails the whole job and the
+line itself is at hand: NULL spellings become NULL, then ``try_cast`` types
+each column. Lines with the wrong number of fields, and values that do not
+cast, are reported with the original line. A batch and a stream of files go
+through the same expressions.
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ from tickerlake import schema as S
 
 CORRUPT = "_corrupt_record"
 
+# One dialect for readers and writers: a quote inside a quoted field is doubled.
+DIALECT = {"quote": '"', "escape": '"'}
+WRITE_OPTIONS = {**DIALECT, "header": "true", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"}
+
 
 def _text_schema(schema: T.StructType, corrupt: bool = False) -> T.StructType:
     fields = [T.StructField(f.name, T.StringType()) for f in schema.fields]
@@ -27,17 +33,8 @@ def _text_schema(schema: T.StructType, corrupt: bool = False) -> T.StructType:
     return T.StructType(fields)
 
 
-def _reader(spark: SparkSession, schema: T.StructType, mode: str):
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("mode", mode))
-
-
-def _nullify(c: str, nulls: Sequence[str]) -> Column:
-    col = F.col(c)
-    return F.when(col.isin(list(nulls)), F.lit(None)).otherwise(col)
+def _nullify(c: Column, nulls: Sequence[str]) -> Column:
+    return F.when(c.isin(list(nulls)), F.lit(None)).otherwise(c)
 
 
 def read_bars_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_BAR_SCHEMA,
@@ -47,11 +44,32 @@ def read_bars_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_B
     A value that does not parse becomes NULL here (see ``quarantine_malformed``
     to report it instead). ``mode="FAILFAST"`` raises on a malformed line.
     """
-    raw = _reader(spark, _text_schema(schema), mode).csv(path)
-    return raw.select(*[_nullify(f.name, nulls).try_cast(f.dataType).alias(f.name)
+    raw = (spark.read.schema(_text_schema(schema)).options(header=True, mode=mode, **DIALECT).csv(path))
+    return raw.select(*[_nullify(F.col(f.name), nulls).try_cast(f.dataType).alias(f.name)
                         for f in schema.fields])
 
 
+def tag_lines(lines: DataFrame, schema: T.StructType = S.RAW_BAR_SCHEMA,
+              nulls: Sequence[str] = S.CSV_NULL_STRINGS, mode: str = "PERMISSIVE") -> DataFrame:
+    """Lines of header CSV files (column ``value``, batch or stream) as typed
+    columns with ``raw_line`` and ``reasons``, an array that is empty for a
+    good line. Blank lines and headers (the first names of the schema, or all)
+    are left out."""
+    squeezed = F.lower(F.regexp_replace("value", "[\"\\s]", ""))
+    header = F.lit(",".join(f.name.lower() for f in schema.fields) + ",")
+    body = lines.filter((squeezed != "") & ~header.startswith(F.concat(squeezed, F.lit(","))))
+    parsed = F.from_csv(F.col("value"), _text_schema(schema, corrupt=True).simpleString()[len("struct<"):-1].replace(":", " "),
+                        {**DIALECT, "mode": mode, "columnNameOfCorruptRecord": CORRUPT})
+    p = body.select(F.col("value").alias("raw_line"), parsed.alias("p"))
+    torn = F.col(f"p.{CORRUPT}").isNotNull()
+    texts = {f.name: _nullify(F.col(f"p.{f.name}"), nulls) for f in schema.fields}
+    typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
+    problems = [F.when(torn, F.lit("malformed"))] + [
+        F.when(~torn & texts[n].isNotNull() & typed[n].isNull(), F.lit(f"unparseable:{n}")) for n in texts]
+    return p.select(*[typed[n].alias(n) for n in typed], "raw_line",
+                    F.filter(F.array(*problems), lambda x: x.isNotNull()).alias("reasons"))
+
+
 def quarantine_malformed(spark: SparkSession, path: str, schema: T.StructType = S.RAW_BAR_SCHEMA,
                          nulls: Sequence[str] = S.CSV_NULL_STRINGS, mode: str = "PERMISSIVE"
                          ) -> tuple[DataFrame, DataFrame]:
@@ -59,40 +77,35 @@ def quarantine_malformed(spark: SparkSession, path: str, schema: T.StructType =
 
     ``bad`` holds every line with the wrong number of fields (``malformed``)
     or a non-NULL value that does not cast to its type (``unparseable:<col>``),
-    as ``(raw_line, reasons)``. All columns are selected, so CSV column pruning
-    cannot hide a malformed line. ``mode="FAILFAST"`` raises instead.
+    as ``(raw_line, reasons)`` with the line as it landed.
+    ``mode="FAILFAST"`` raises instead.
     """
-    raw = _reader(spark, _text_schema(schema, corrupt=True), mode) \
-        .option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-    texts = {f.name: _nullify(f.name, nulls) for f in schema.fields}
-    typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
-    problems = [F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))] + [
-        F.when(F.col(CORRUPT).isNull() & texts[n].isNotNull() & typed[n].isNull(),
-               F.lit(f"unparseable:{n}"))
-        for n in texts
-    ]
-    reasons = F.filter(F.array(*problems), lambda x: x.isNotNull())
-    tagged = raw.select(
-        *[typed[n].alias(n) for n in typed],
-        F.coalesce(F.col(CORRUPT), F.concat_ws(",", *[F.col(n) for n in texts])).alias("raw_line"),
-        reasons.alias("reasons"),
-    )
-    good = tagged.filter(F.size("reasons") == 0).select(*typed)
+    tagged = tag_lines(spark.read.text(path), schema, nulls, mode)
+    good = tagged.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
     bad = tagged.filter(F.size("reasons") > 0).select("raw_line", "reasons")
     return good, bad
 
 
+def _content(df: DataFrame) -> list[Column]:
+    """Row count and an order-independent sum over all values; a NULL and the
+    spellings read as NULL are one."""
+    cols = [_nullify(F.col(f"`{f.name}`"), S.CSV_NULL_STRINGS) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+            for f in df.schema.fields]
+    tags = [F.concat_ws("|", *[F.lit(i).cast("string"), F.coalesce(c.cast("string"), F.lit("\\N"))]) for i, c in enumerate(cols)]
+    return [F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*tags).cast("decimal(38,0)")).alias("content")]
+
+
 def write_bars_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
     """S3: header CSV export, published atomically by the job commit (``_SUCCESS``).
 
-    Rows written are counted during the write (an ``Observation``), the files
-    are read back and counted, and a mismatch raises.
+    Rows and their values are summed up during the write (an ``Observation``);
+    the files are read back and compared, and a difference raises.
     """
     obs = Observation("csv_export")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-       .write.mode(mode).option("header", True).csv(path))
-    written = obs.get["rows"]
-    read_back = read_bars_csv(df.sparkSession, path, df.schema).count()
-    if read_back != written:
-        raise ValueError(f"CSV verification failed: wrote {written} rows, read {read_back}")
-    return written
+    (df.observe(obs, *_content(df)).write.mode(mode).options(**WRITE_OPTIONS).csv(path))
+    wrote = obs.get
+    back = read_bars_csv(df.sparkSession, path, df.schema)
+    seen = back.agg(*_content(back)).first()
+    if (seen["rows"], seen["content"]) != (wrote["rows"], wrote["content"]):
+        raise ValueError(f"CSV export differs from its source: {wrote['rows']} rows out, {seen['rows']} rows back")
+    return wrote["rows"]

@@ -20,10 +20,13 @@ def is_path(target: str) -> bool:
 
 
 def ensure_layers(spark: SparkSession, layers: Sequence[str] = (S.BRONZE_LAYER, S.SILVER_LAYER,
-                                                                  S.GOLD_LAYER)) -> list[str]:
-    """Create the layer namespaces if missing."""
+                                                                  S.GOLD_LAYER),
+                  root: str | None = None) -> list[str]:
+    """Create the layer namespaces if missing, under ``root`` if given
+    (else in the warehouse folder)."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        place = f" LOCATION '{root.rstrip('/')}/{layer}'" if root else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`{place}")
     return list(layers)
 
 
@@ -40,9 +43,11 @@ def table_exists(spark: SparkSession, target: str) -> bool:
     return exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
 
 
-def _write(df: DataFrame, target: str, mode: str) -> int:
+def _write(df: DataFrame, target: str, mode: str, partition_by: Sequence[str] = ()) -> int:
     obs = Observation(f"write_{mode}")
     w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if is_path(target):
         w.parquet(target)
     else:
@@ -77,17 +82,45 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def storage_order(df: DataFrame, sort: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Rows in ranges of ``sort``, sorted within each."""
+    ranged = (df.repartitionByRange(partitions, *sort) if partitions
+              else df.repartitionByRange(*sort))
+    return ranged.sortWithinPartitions(*sort)
+
+
 def publish_table(df: DataFrame, target: str, sort: Sequence[str] = ("symbol", "date"),
-                  partitions: int | None = None) -> int:
+                  partitions: int | None = None, partition_by: str | None = None) -> int:
     """Full refresh, stored in (symbol, date) order.
 
     Range partitioning on the sort keys plus a local sort gives files whose
     Parquet min/max statistics are narrow in ``symbol``, so later reads that
-    filter by symbol skip most row groups.
+    filter by symbol skip most row groups. With ``partition_by`` the table has
+    a folder per value and the order within; a range covers neighbouring
+    values, so there are at most values + tasks files, and a large value is
+    split over tasks.
     """
-    ranged = (df.repartitionByRange(partitions, *sort) if partitions
-              else df.repartitionByRange(*sort))
-    return _write(ranged.sortWithinPartitions(*sort), target, "overwrite")
+    keys = ([partition_by] if partition_by else []) + [c for c in sort if c != partition_by]
+    return _write(storage_order(df, keys, partitions), target, "overwrite", [partition_by] if partition_by else ())
+
+
+def check_layout(spark: SparkSession, target: str, column: str) -> None:
+    """Raise unless the files of ``target`` lie in folders of ``column``: a
+    table that is refreshed by partition must hold nothing outside them."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    odd = [n for n in names if not n.startswith((f"{column}=", "_", "."))]
+    if odd:
+        raise ValueError(f"{target} is not partitioned by {column}: it holds {odd[:3]}")
+
+
+def replace_partitions(df: DataFrame, target: str, column: str, sort: Sequence[str]) -> None:
+    """Replace the partitions of ``target`` that ``df`` has rows of."""
+    (storage_order(df, [column, *[c for c in sort if c != column]])
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(column).parquet(target))
 
 
 def profile(df: DataFrame) -> DataFrame:

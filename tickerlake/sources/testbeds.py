@@ -78,8 +78,9 @@ def event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLCV bars per user from ``events``: symbol ``U<user_id>``.
 
     open/close are the first/last value by (ts, event_id); high/low the
-    extremes; volume the event count. One hash aggregation with map-side
-    partial aggregation, so a hot user collapses before the shuffle.
+    extremes; volume the event count. One aggregation with a map-side partial
+    step, so a hot user collapses before the shuffle; ordered by a struct, it is
+    sort-based, and each task sorts its rows.
     """
     ev = table(spark, sf_dir, "events")
     order = F.struct("ts", "event_id")

@@ -1,27 +1,38 @@
-"""Incremental refresh: land files once (X4) and fold batches into staging.
+"""Incremental refresh: land files once (X4) and fold batches into staging and marts.
 
 ``ingest_new_files`` is a Structured Streaming query over the landing folder
 with ``trigger(availableNow=True)``: the checkpoint records which files were
 read, so each file is loaded exactly once across runs, and a lost executor
-replays from the checkpoint. ``upsert_latest`` keeps the staging rule
-(latest valid row wins per symbol and date); because that rule picks a
-maximum under a total order, folding batches one at a time equals a full
-rebuild.
+replays from the checkpoint. Each micro-batch is split into good and bad
+lines; the files it adds to bronze carry its number, so a replayed batch
+replaces its own files and nothing else, and bronze stays one plain table.
+
+``upsert_latest`` keeps the staging rule (latest valid row wins per symbol and
+date); because that rule picks a maximum under a total order, folding batches
+one at a time equals a full rebuild. Staging and marts are stored by date in
+full and incremental runs alike, and only the dates a batch changes are
+rewritten.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import hashlib
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlake import schema as S
-from tickerlake.operators import staging
-from tickerlake.session import checkpoint_root, cut_lineage
-from tickerlake.sources.csv import _nullify, _text_schema
-from tickerlake.sources.tables import read_table, table_exists
+from tickerlake.operators import marts, staging
+from tickerlake.session import Cut, checkpoint_root
+from tickerlake.sources.csv import tag_lines
+from tickerlake.sources.tables import check_layout, read_table, replace_partitions, table_exists
+
+FILES_PER_BATCH = 1000    # landed files in a micro-batch; the rest wait for the next one
+LOOKBACK_ROWS = S.SLOW_MA_ROWS   # earlier bars a mart row needs: 29 of the frame, and one for its LAG
+LOOKBACK_DAYS = 120       # read at first; symbols with too few bars in them are read whole
 
 
 def stream_checkpoint(spark: SparkSession, target: str, kind: str) -> str:
@@ -31,34 +42,76 @@ def stream_checkpoint(spark: SparkSession, target: str, kind: str) -> str:
 
 
 def landing_stream(spark: SparkSession, landing: str, schema: T.StructType = S.RAW_BAR_SCHEMA,
-                   nulls: Sequence[str] = S.CSV_NULL_STRINGS, archive: str | None = None
-                   ) -> DataFrame:
-    """Typed streaming view of landed header CSV files."""
-    reader = (spark.readStream.schema(_text_schema(schema))
-              .option("header", True).option("quote", '"').option("escape", '"'))
+                   nulls: Sequence[str] = S.CSV_NULL_STRINGS, archive: str | None = None,
+                   files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Lines of landed header CSV files, tagged as ``csv.tag_lines`` does."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    raw = reader.csv(landing)
-    return raw.select(*[_nullify(f.name, nulls).try_cast(f.dataType).alias(f.name)
-                        for f in schema.fields])
+    return tag_lines(reader.text(landing), schema, nulls)
+
+
+def gate_reasons() -> Column:
+    """The load gate (NULL keys or close, low above high) row by row."""
+    rules = [(f"null_{c}", F.col(c).isNull()) for c in S.NOT_NULL_AT_LOAD] + [("low_above_high", F.col("low") > F.col("high"))]
+    return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules]), lambda x: x.isNotNull())
+
+
+def _add_files(spark: SparkSession, rows: DataFrame, target: str, tag: str) -> int:
+    """Add ``rows`` to the plain table ``target`` in files named by ``tag``,
+    replacing files of that name. Returns the rows written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    own = f"{target.rstrip('/')}/_adding-{tag}"
+    rows.write.mode("overwrite").parquet(own)
+    fs = path(target).getFileSystem(conf)
+    for f in fs.listStatus(path(target)):
+        if f.getPath().getName().startswith(f"{tag}-"):
+            fs.delete(f.getPath(), False)
+    n = spark.read.schema(rows.schema).parquet(own).count()
+    for f in fs.listStatus(path(own)):
+        name = f.getPath().getName()
+        if name.startswith("part-"):
+            fs.rename(f.getPath(), path(f"{target.rstrip('/')}/{tag}-{name}"))
+    fs.delete(path(own), True)
+    return n
 
 
 def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint: str | None = None,
-                     archive: str | None = None, schema: T.StructType = S.RAW_BAR_SCHEMA) -> int:
+                     archive: str | None = None, schema: T.StructType = S.RAW_BAR_SCHEMA,
+                     quarantine: str | None = None, gate: bool = True, on_bad: str = "quarantine",
+                     files_per_batch: int = FILES_PER_BATCH) -> int:
     """Append every not-yet-seen landed file to the bronze Parquet table.
 
+    A line with the wrong number of fields, a value that does not parse, or
+    (with ``gate``) a row that the load gate refuses does not enter bronze: it
+    goes to ``quarantine`` (by default ``<bronze>_quarantine``) as
+    (raw_line, reasons), or stops the run with ``on_bad="fail"``.
     Returns the rows added by this run (0 when nothing new has landed).
     ``archive`` moves processed files aside (``cleanSource=archive``).
     """
     checkpoint = checkpoint or stream_checkpoint(spark, bronze, "ingest")
-    q = (landing_stream(spark, landing, schema, archive=archive)
-         .writeStream.format("parquet")
-         .option("path", bronze)
+    quarantine = quarantine or bronze.rstrip("/") + "_quarantine"
+    run = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
+    added: dict[int, int] = {}
+
+    def load(lines: DataFrame, epoch: int) -> None:
+        own = lines.sparkSession
+        reasons = F.concat("reasons", F.when(F.size("reasons") == 0, gate_reasons()).otherwise(F.array().cast("array<string>"))) if gate else F.col("reasons")
+        with Cut(lines.withColumn("reasons", reasons), "landed") as tagged:
+            bad = tagged.filter(F.size("reasons") > 0).select("raw_line", "reasons")
+            if on_bad == "fail" and not bad.isEmpty():
+                raise ValueError(f"landed lines refused, the first: {bad.first().asDict()}")
+            good = tagged.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
+            added[epoch] = _add_files(own, good, bronze, f"{run}-{epoch}")
+            _add_files(own, bad, quarantine, f"{run}-{epoch}")
+
+    q = (landing_stream(spark, landing, schema, archive=archive, files_per_batch=files_per_batch)
+         .writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return sum(added.values())
 
 
 def upsert_latest(current: DataFrame, batch: DataFrame, order: Sequence[Column] | None = None,
@@ -73,48 +126,51 @@ def upsert_latest(current: DataFrame, batch: DataFrame, order: Sequence[Column]
     return staging.latest_per_key(merged, ("symbol", "date"), order)
 
 
+def merged_dates(spark: SparkSession, target: str, batch: DataFrame, order: Sequence[Column] | None = None,
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """The new content of the date partitions that ``batch`` touches. Only
+    those are read: left-semi on the partition column prunes the scan. Valid
+    rows have a symbol and a date, so no key here is NULL."""
+    if not table_exists(spark, target):
+        return staging.latest_per_key(staging.clean(batch).select(*S.STAGED_COLUMNS, *keep), ("symbol", "date"), order)
+    check_layout(spark, target, "date")
+    dates = staging.valid(batch).select("date").distinct()
+    return upsert_latest(read_table(spark, target).join(dates, "date", "left_semi"), batch, order, keep)
+
+
 def upsert_into(spark: SparkSession, target: str, batch: DataFrame,
                 order: Sequence[Column] | None = None, keep: Sequence[str] = ()) -> int:
     """X5 on a stored staging table partitioned by ``date``.
 
-    Only the date partitions the batch touches are read (left-semi on the
-    partition column prunes the scan) and rewritten (dynamic partition
-    overwrite). The merged rows are checkpointed to the shared folder before
-    the write, so the table is never read and overwritten by the same lineage.
-    Returns the rows written.
+    Only the date partitions the batch touches are read and rewritten
+    (dynamic partition overwrite). The merged rows are written to the shared
+    folder first, so the table is never read and overwritten by the same
+    lineage; that copy is deleted afterwards. A target that is not partitioned
+    by date is refused. Returns the rows written.
     """
-    keys = staging.valid(batch).select("date").distinct()
-    if table_exists(spark, target):
-        current = read_table(spark, target).join(keys, "date", "left_semi")
-        merged = upsert_latest(current, batch, order, keep)
-    else:
-        merged = staging.latest_per_key(staging.clean(batch).select(*S.STAGED_COLUMNS, *keep),
-                                        ("symbol", "date"), order)
-    merged = cut_lineage(merged)
-    n = merged.count()
-    (merged.write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy("date")
-           .parquet(target))
+    with Cut(merged_dates(spark, target, batch, order, keep), "merged") as merged:
+        n = merged.count()
+        replace_partitions(merged, target, "date", ("symbol",))
     return n
 
 
 def stream_upsert(spark: SparkSession, landing: str, target: str, checkpoint: str | None = None,
                   order_fn=None, keep: Sequence[str] = (),
-                  schema: T.StructType = S.RAW_BAR_SCHEMA) -> None:
+                  schema: T.StructType = S.RAW_BAR_SCHEMA, files_per_batch: int = FILES_PER_BATCH) -> None:
     """X5 as a stream: each micro-batch of landed rows is folded into ``target``.
 
     ``foreachBatch`` + dynamic partition overwrite is idempotent: replaying a
     batch after a failure rewrites the same partitions with the same rows.
-    ``order_fn`` builds the dedup order (Columns need an active session).
+    Malformed lines are left out. ``order_fn`` builds the dedup order (Columns
+    need an active session).
     """
     checkpoint = checkpoint or stream_checkpoint(spark, target, "upsert")
-    # Extra (tie-break) columns ride along as strings in the landing files.
-    stream = landing_stream(spark, landing, schema)
+    stream = landing_stream(spark, landing, schema, files_per_batch=files_per_batch)
 
-    def fold(batch_df: DataFrame, _epoch: int) -> None:
-        upsert_into(batch_df.sparkSession, target, batch_df,
-                    order_fn() if order_fn else None, keep)
+    def fold(lines: DataFrame, _epoch: int) -> None:
+        good = lines.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
+        with Cut(good, "landed") as batch:
+            upsert_into(lines.sparkSession, target, batch, order_fn() if order_fn else None, keep)
 
     q = (stream.writeStream.foreachBatch(fold)
          .option("checkpointLocation", checkpoint)
@@ -128,9 +184,16 @@ def affected_symbols(batch: DataFrame) -> DataFrame:
     return staging.valid(batch).select("symbol").distinct()
 
 
+def first_changes(batch: DataFrame) -> DataFrame:
+    """(symbol, since): the first date on which a symbol's staged rows, and so
+    its mart rows from there on, can change."""
+    return staging.valid(batch).groupBy("symbol").agg(F.min("date").alias("since"))
+
+
 def refresh_marts(staged: DataFrame, current: dict[str, DataFrame], symbols: DataFrame
                   ) -> dict[str, DataFrame]:
-    """X5 for the marts: rebuild the affected symbols, keep every other row.
+    """X5 for the marts as DataFrames: rebuild the affected symbols, keep every
+    other row.
 
     A corrected bar changes its symbol's next LAG and up to 29 later averages,
     so affected symbols are recomputed whole (a symbol's series is bounded by
@@ -138,9 +201,51 @@ def refresh_marts(staged: DataFrame, current: dict[str, DataFrame], symbols: Dat
     set is a distinct list that AQE broadcasts once it has measured it.
     Equals a full rebuild of the marts from ``staged``.
     """
-    from tickerlake.operators import marts
-
     part = staged.select(*S.STAGED_COLUMNS).join(symbols, "symbol", "left_semi")
     fresh = marts.marts_from_features(marts.series_features(part))
     return {name: current[name].join(symbols, "symbol", "left_anti").unionByName(fresh[name])
             for name in fresh}
+
+
+def changed_features(staged: DataFrame, changes: DataFrame, lookback_days: int = LOOKBACK_DAYS,
+                     lookback_rows: int = LOOKBACK_ROWS) -> DataFrame | None:
+    """``series_features`` of the changed symbols from their first change on.
+
+    Each symbol brings the ``lookback_rows`` bars before it, which its first
+    rows look back on. They are looked for in the last ``lookback_days`` before
+    the earliest change, so the scan reads few date partitions; only symbols
+    that have fewer bars there are read further back. None if nothing changed.
+    """
+    earliest = changes.agg(F.min("since")).first()[0]
+    if earliest is None:
+        return None
+    rows = staged.select(*S.STAGED_COLUMNS)
+    cut = F.lit(earliest - dt.timedelta(days=lookback_days))
+    near = rows.filter(F.col("date") >= cut).join(changes, "symbol")
+    seen = near.filter(F.col("date") < F.col("since")).groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    short = changes.join(seen, "symbol", "left").filter(F.coalesce("n", F.lit(0)) < lookback_rows).drop("n")
+    older = rows.filter(F.col("date") < cut).join(short, "symbol")
+    before = near.filter(F.col("date") < F.col("since")).unionByName(older)
+    w = Window.partitionBy("symbol").orderBy(F.desc("date"))
+    before = before.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= lookback_rows).drop("_n")
+    part = near.filter(F.col("date") >= F.col("since")).unionByName(before)
+    features = marts.series_features(part.select(*S.STAGED_COLUMNS))
+    return features.join(changes, "symbol").filter(F.col("date") >= F.col("since")).drop("since")
+
+
+def refresh_mart_tables(spark: SparkSession, staging_table: str, mart_tables: dict[str, str], changes: DataFrame) -> None:
+    """X5 for stored marts partitioned by ``date``: recompute what the changes
+    reach, and rewrite only the dates on which that is, once."""
+    features = changed_features(read_table(spark, staging_table), changes)
+    if features is None:
+        return
+    with Cut(features, "features") as rows:
+        dates = rows.select("date").distinct()
+        for name, fresh in marts.marts_from_features(rows).items():
+            target = mart_tables[name]
+            check_layout(spark, target, "date")
+            stored = read_table(spark, target).select(*fresh.columns).join(dates, "date", "left_semi").select(*fresh.columns)
+            kept = (stored.join(changes, "symbol", "left")
+                    .filter(F.col("since").isNull() | (F.col("date") < F.col("since"))).select(*fresh.columns))
+            with Cut(kept.unionByName(fresh), name) as new:
+                replace_partitions(new, target, "date", ("symbol",))
