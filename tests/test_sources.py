@@ -311,7 +311,7 @@ def test_scratch_is_removed(spark, tmp_dir):
     from tickerlake.session import checkpoint_root
     root = os.path.join(checkpoint_root(spark).removeprefix("file://").removeprefix("file:"), "tickerlake")
     before = set(os.listdir(root)) if os.path.isdir(root) else set()
-    raw = raw_bars(spark, SF_SMALL).filter(F.col("close").isNotNull() & (F.col("date") < dt.date(1992, 6, 1)))
+    raw = raw_bars(spark, SF_SMALL).filter(F.col("close").isNotNull() & F.col("date").between(dt.date(1996, 1, 1), dt.date(1996, 2, 29)))
     for incremental in (False, True):
         run_daily(spark, raw, tmp_dir, raw_bars_order(), ("tie1", "tie2"), incremental=incremental)
     assert set(os.listdir(root)) == before

@@ -150,7 +150,8 @@ def upsert_into(spark: SparkSession, target: str, batch: DataFrame,
     """
     with Cut(merged_dates(spark, target, batch, order, keep), "merged") as merged:
         n = merged.count()
-        replace_partitions(merged, target, "date", ("symbol",))
+        if n:                                    # no valid row: nothing to store, no empty table
+            replace_partitions(merged, target, "date", ("symbol",))
     return n
 
 
