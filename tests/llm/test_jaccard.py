@@ -77,6 +77,7 @@ def corpus():
 @pytest.mark.parametrize("words,percent,most", [(3, 90, 200_000), (5, 80, 20)])
 def test_equals_brute_force(spark, words, percent, most, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT", most)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 512 if words == 3 else 16)
     rows = corpus()
     assert got(spark, rows, words=words, percent=percent) == brute(rows, words, percent)
 
@@ -114,6 +115,23 @@ def test_prefixes_share_what_they_must():
             assert sum(int(v).bit_count() if v >= 0 else (int(v) + (1 << 64)).bit_count() for v in bits) <= len(x) + len(y) - 2 * both
 
 
+def test_spanning_connects_what_all_pairs_would():
+    r = np.random.default_rng(1)
+    for _ in range(50):
+        n = int(r.integers(2, 40))
+        label = r.integers(0, n, n)
+        linked = r.random((n, n)) < 0.1
+        linked = (linked | linked.T) & (label[:, None] != label[None, :])
+        want, got = Union(label.tolist()), Union(label.tolist())
+        for i, j in zip(*np.nonzero(linked)):
+            want.join(int(label[i]), int(label[j]))
+        pairs = jaccard_join.spanning(linked, label)
+        assert all(linked[i, j] for i, j in pairs) and len(pairs) < len(set(label.tolist()))
+        for i, j in pairs:
+            got.join(int(label[i]), int(label[j]))
+        assert [got.find(int(x)) for x in label] == [want.find(int(x)) for x in label]
+
+
 def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in op10_ngram_jaccard(spark, SF_SMALL).collect()} == brute(rows, 3, 90)

@@ -7,6 +7,7 @@ import sys
 import tempfile
 import types
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m"):
+    """Arrow batches of about ``size`` for what runs inside the block: tasks
+    that make much of each text need little of them at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def process_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker process."""
     holder = sys.modules.setdefault("_tickerlake_process", types.ModuleType("_tickerlake_process"))

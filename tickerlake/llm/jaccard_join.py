@@ -17,14 +17,16 @@ sharing of n-grams. Frequent n-grams (the ``HOT`` most shared ones) come last
 in the order, so lists of common passages stay out of most prefixes; any order
 gives the same links.
 
-A subset or list with several sets is a bucket. All pairs of a bucket are not
-written: in each round some pivots of a bucket meet its other sets, pairs pass
-an exact bound on the symmetric difference (parities of 512 hashed bits), and
-the rest are verified on whole sets. Sets already connected need not meet;
-pivots leave the bucket after their round; the rounds, with ever more pivots,
-go on until every bucket is connected or used up. So every linked pair is
-either verified or already connected through verified ones, and copies of one
-text cost a round instead of all their pairs.
+A subset or list with several sets is a bucket; buckets with the same sets are
+one. A large bucket is dealt to cells of pairs of blocks of ``BLOCK`` sets. A
+cell compares its sets as matrices by an exact bound on the symmetric
+difference (parities of 512 hashed bits), and what it passes on is verified
+on whole sets. It does not pass on all pairs: first, within blocks, as many as
+would connect what all its pairs would; then, over all cells, as many as would
+connect the components found so far; last, every pair left that the bound
+allows between different components. So every linked pair is either verified or
+already connected through verified ones, and a large group of near copies costs
+about one pair for each.
 
 Sets and n-grams are told apart by 64-bit hashes: among N different sets some
 two agree by chance with a probability of N * N / 2**65.
@@ -43,14 +45,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import connected_components, lower_ascii, mix64, process_cache, slices, utf8, word_spans, written
+from tickerlake.llm.common import connected_components, lower_ascii, mix64, process_cache, slices, small_batches, utf8, word_spans, written
 
 WORDS = 5
 PERCENT = 80
 SUBSET = 2                # n-grams of an enumerated subset
 HOT = 200_000             # most shared n-grams that come last in the order
 HOT_SETS = 16             # sets an n-gram is shared by, at least, to be one of them
+BLOCK = 512               # sets of a bucket compared at once, per side
 BROADCAST_IDS = 1_000_000  # ids broadcast at most; beyond, a shuffle join
+SLICE = 1 << 20           # bytes of text made into n-grams at once
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 
 
@@ -65,7 +69,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64, kept by the worker process."""
     cache = process_cache("powers")
     if len(cache.get("up", ())) < size:
-        size = max(size, 5 << 20)
+        size = max(size, 2 * SLICE)
         for name, factor in (("up", _BASE), ("down", np.uint64(_inverse(int(_BASE))))):
             p = np.full(size, factor, np.uint64)
             p[0] = 1
@@ -155,7 +159,7 @@ def shared_grams(docs: DataFrame, words: int, percent: int) -> DataFrame:
             return pa.RecordBatch.from_pydict({"gram": pa.array(_signed(grams[keep])), "sets": pa.array(n[keep].astype(np.int64))})
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 for grams in shingle_rows(piece.column("text"), words):
                     if len(grams):
                         own = fingerprint(grams)
@@ -174,7 +178,8 @@ def shared_grams(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 def choose_boundary(histogram: list[tuple[int, int]], sharing: float, percent: int) -> int:
     """The size up to which subsets cost less. ``histogram``: (size, sets);
-    ``sharing``: other sets that an inverted list adds per entry."""
+    ``sharing``: the part of entries of inverted lists that others share; each
+    of those meets a pivot, so it costs once more."""
     best, at = None, 0
     for bound in sorted({0, *range(8, 200, 4), *(int(200 * 1.3 ** k) for k in range(12))}):
         cost = 0.0
@@ -195,7 +200,7 @@ def profile(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int, wo
     def run(batches):
         seen = set()
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 n, node, bits, sigs = [], [], [], []
                 for grams in shingle_rows(piece.column("text"), words):
                     n.append(len(grams))
@@ -212,11 +217,6 @@ def profile(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int, wo
     return docs.mapInArrow(run, "doc_id long, n long, node long, parity array<long>, sigs array<long>")
 
 
-def _need(n, m, percent: int):
-    """The least intersection of linked sets of n and m n-grams."""
-    return F.ceil((n + m) * percent / F.lit(100 + percent))
-
-
 def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes that link, from whole sets."""
     wanted = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -228,7 +228,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, pe
 
     def sets(batches):
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", SLICE):
                 grams = list(shingle_rows(piece.column("text"), words))
                 right = [w == fingerprint(g) for w, g in zip(piece.column("wanted").to_pylist(), grams)]
                 yield pa.RecordBatch.from_pydict({
@@ -252,10 +252,77 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, pe
     return both.mapInArrow(compare, "a long, b long")
 
 
-def _bits_apart(x, y):
-    """Bits in which two arrays of numbers differ."""
-    each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
-    return F.aggregate(each, F.lit(0), lambda total, n: total + n)
+def probable_links(size: np.ndarray, bits: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs (a matrix) that may link: of different labels, and not ruled out
+    by their sizes or by the bits in which their parities differ."""
+    n, m = size[:, None], size[None, :]
+    need = -(-(n + m) * percent // (100 + percent))
+    fits = (label[:, None] != label[None, :]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+    for at in range(0, len(size), 128):
+        apart = np.bitwise_count(bits[at:at + 128, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+        fits[at:at + 128] &= apart <= (n[at:at + 128] + m - 2 * need[at:at + 128])
+    return fits
+
+
+def spanning(linked: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of ``linked`` that connect its labels as all of its pairs do."""
+    _, kind = np.unique(label, return_inverse=True)
+    members = np.argsort(kind, kind="stable")
+    starts = np.searchsorted(kind[members], np.arange(kind.max() + 2))
+    own = [members[starts[k]:starts[k + 1]].tolist() for k in range(kind.max() + 1)]
+    left, out = np.ones(len(label), bool), []
+    for k in range(len(own)):
+        if not left[own[k][0]]:
+            continue
+        left[own[k]] = False
+        frontier = list(own[k])
+        while frontier:
+            u = frontier.pop()
+            for v in np.flatnonzero(linked[u] & left).tolist():
+                if left[v]:
+                    out.append((u, v))
+                    left[own[kind[v]]] = False
+                    frontier += own[kind[v]]
+    return out
+
+
+def _meetings(cells: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(a, b): pairs to verify of each cell (sig, x, y) of ``cells``: all that
+    may link, or as many as connect the cell's labels as all would."""
+    def pairs_of(t):
+        node, side = t.column("node").to_numpy(), t.column("side").to_numpy()
+        bits = t.column("parity").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), 8)
+        linked = probable_links(t.column("n").to_numpy(), bits, t.column("label").to_numpy(), percent)
+        if side.any():
+            linked &= side[:, None] != side[None, :]
+        if not linked.any():
+            return []
+        found = zip(*np.nonzero(np.triu(linked))) if every else spanning(linked, t.column("label").to_numpy())
+        return [(min(node[i], node[j]), max(node[i], node[j])) for i, j in found]
+
+    def run(batches):
+        """Rows come sorted by cell; a cell is at most two blocks."""
+        held = None
+        for batch in _then_none(batches):
+            t = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if t is None or not t.num_rows:
+                continue
+            key = np.stack([t.column(c).to_numpy().astype(np.int64) for c in ("sig", "x", "y")], 1)
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            edges = [0, *cuts.tolist(), t.num_rows]
+            if batch is not None:                # the last cell may go on
+                held, edges = t.slice(edges[-2]), edges[:-1]
+            t = t.combine_chunks()
+            out = [p for i, j in zip(edges, edges[1:]) if j - i > 1 for p in pairs_of(t.slice(i, j - i))]
+            yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    return (cells.repartition("sig", "x", "y").sortWithinPartitions("sig", "x", "y")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def _then_none(batches):
+    yield from batches
+    yield None
 
 
 def links_between(docs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame | None:
@@ -264,53 +331,50 @@ def links_between(docs: DataFrame, rows: DataFrame, words: int, percent: int) ->
     # A node's row: its first document id, size and parity bits.
     reps = written(rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity")), "jaccard-nodes")
-    entries = rows.where("sigs is not null").select(F.explode("sigs").alias("sig"), "node", "n")
-    several = (entries.groupBy("sig").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-               .where("lo <> hi").select("sig"))
+    entries = rows.where("sigs is not null").select(F.explode("sigs").alias("sig"), "node")
+    # A count for each key is all that is shuffled at first; copies that
+    # several tasks have met are told apart from other sets below.
+    several = entries.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("sig")
     buckets = written(entries.join(several, "sig").distinct(), "jaccard-buckets")
-    links, labels, turn = None, None, 0
-    while True:
-        state = buckets
-        if labels is not None:
-            state = state.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component")
+    # Of buckets with the same sets, one will do.
+    per = buckets.groupBy("sig").agg(F.count(F.lit(1)).alias("sets"), *[
+        F.sum(F.xxhash64("node", F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)])
+    kept = per.where("sets > 1").groupBy("sets", "h1", "h2").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("sets") / BLOCK).cast("int").alias("blocks"))
+    members = written(buckets.join(kept, "sig").join(reps.select("node", "n", "parity"), "node"), "jaccard-members")
+    links, labels = None, None
+    for inside, every in ((True, False), (False, False), (False, True)):
+        state = members.withColumn("label", F.col("node")) if labels is None else (
+            members.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node")).drop("component"))
+        if inside:
+            cells = state.withColumns({"x": F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), "side": F.lit(0)}).withColumn("y", F.col("x"))
         else:
-            state = state.withColumn("label", F.col("node"))
-        state = written(state, "jaccard-state")
-        # Buckets whose sets are not all connected; their largest component.
-        by = state.groupBy("sig", "label").agg(F.count(F.lit(1)).alias("sets"))
-        open_ = (by.groupBy("sig").agg(F.max(F.struct("sets", "label")).alias("most"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                 .where("lo <> hi").select("sig", F.col("most.label").alias("most")))
-        rest = written(state.join(open_, "sig"), "jaccard-open")
-        if rest.isEmpty():
-            break
-        # Pivots: of the sets outside the largest component, the first of each
-        # of 4 ** turn hash classes.
-        chosen = (rest.where("label <> most").withColumn("class", F.pmod(F.xxhash64("node"), F.lit(4 ** min(turn, 15))))
-                  .groupBy("sig", "class").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"), F.col("n"), F.col("label"))).alias("p"))
-                  .select("sig", F.col("p.node").alias("p"), F.col("p.n").alias("pn"), F.col("p.label").alias("pl")))
-        chosen = written(chosen, "jaccard-pivots")
-        n, m = F.col("n"), F.col("pn")
-        fits = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-        pairs = (rest.join(chosen, "sig").where((F.col("label") != F.col("pl")) & fits)
-                 .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-        near = (pairs.join(reps.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa")), "a")
-                .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb")), "b")
-                .where(_bits_apart(F.col("pa"), F.col("pb")) <= F.col("na") + F.col("nb") - 2 * _need(F.col("na"), F.col("nb"), percent))
-                .select("a", "b"))
+            state = written(state, "jaccard-state")
+            open_ = state.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("sig")
+            cells = (state.join(open_, "sig").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+                     .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                     .withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other"), "side": (F.col("mine") > F.col("other")).cast("int")}))
+        near = _meetings(cells.select("sig", "x", "y", "side", "node", "n", "parity", "label"), percent, every)
+        if not every:                            # at first, one pair for each set; the last turn leaves none out
+            near = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         near = written(near, "jaccard-pairs")
-        if not near.isEmpty():
-            new = _verified(docs, near, reps, words, percent)
-            links = written(new if links is None else links.union(new), "jaccard-links")
-            labels = connected_components(links, "a", "b", "jaccard")
-        buckets = rest.select("sig", "node", "n").join(
-            chosen.select("sig", F.col("p").alias("node")), ["sig", "node"], "left_anti")
-        turn += 1
+        if near.isEmpty():
+            if inside:
+                continue
+            break
+        new = _verified(docs, near, reps, words, percent)
+        links = written(new if links is None else links.union(new), "jaccard-links")
+        labels = connected_components(links, "a", "b", "jaccard")
     return labels
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                       percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
+    with small_batches(docs.sparkSession):
+        return _similar_documents(docs, id_col, text_col, words, percent)
+
+
+def _similar_documents(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     docs = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     shared = written(shared_grams(docs, words, percent), "jaccard-shared")
     listed = shared.where(F.col("sets") >= HOT_SETS).orderBy(F.desc("sets"), "gram").limit(HOT).toArrow()
@@ -322,8 +386,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     histogram = [(int(2 ** (r["k"] / 3)), r["n"]) for r in docs.select(F.floor(3 * F.log2(size / 6 + 1)).alias("k"))
                  .groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect() if r["k"]]
     entries = sum(sets * prefix_length(n, percent, 1) for n, sets in histogram) or 1
-    squares = shared.where(F.col("sets") < HOT_SETS).agg(F.sum(F.col("sets") * (F.col("sets") - 1) / 2)).first()[0] or 0
-    boundary = choose_boundary(histogram, float(squares) / entries, percent)
+    met = shared.where(F.col("sets") < HOT_SETS).agg(F.sum("sets")).first()[0] or 0
+    boundary = choose_boundary(histogram, min(1.0, met / entries), percent)
     rows = written(profile(docs, hot, rank, percent, words, boundary), "jaccard-rows")
     labels = links_between(docs, rows, words, percent)
     slim = rows.select("doc_id", F.col("n").alias("n_shingles"), "node")
