@@ -78,6 +78,7 @@ def corpus():
 def test_equals_brute_force(spark, words, percent, most, monkeypatch):
     monkeypatch.setattr(jaccard_join, "HOT", most)
     monkeypatch.setattr(jaccard_join, "BLOCK", 512 if words == 3 else 16)
+    monkeypatch.setattr(jaccard_join, "SMALL", 512 if words == 3 else 20)
     rows = corpus()
     assert got(spark, rows, words=words, percent=percent) == brute(rows, words, percent)
 

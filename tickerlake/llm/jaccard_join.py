@@ -53,6 +53,7 @@ SUBSET = 2                # n-grams of an enumerated subset
 HOT = 200_000             # most shared n-grams that come last in the order
 HOT_SETS = 16             # sets an n-gram is shared by, at least, to be one of them
 BLOCK = 512               # sets of a bucket compared at once, per side
+WIDE, SMALL = 1 << 14, 512  # bits of a wide parity; sets up to this size have none
 BROADCAST_IDS = 1_000_000  # ids broadcast at most; beyond, a shuffle join
 SLICE = 1 << 20           # bytes of text made into n-grams at once
 _BASE = np.uint64(0x9E3779B97F4A7C55)
@@ -126,6 +127,14 @@ def parity(grams: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def wide_parity(grams: np.ndarray) -> bytes | None:
+    """As ``parity``, in WIDE bits, for sets that 512 bits hardly tell apart."""
+    if len(grams) <= SMALL:
+        return None
+    odd = np.bincount((grams >> np.uint64(20)).astype(np.int64) & (WIDE - 1), minlength=WIDE) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def signatures(grams: np.ndarray, hot: np.ndarray, rank: np.ndarray, percent: int, boundary: int) -> np.ndarray:
     """What a set meets others by. ``hot`` (sorted) and ``rank``: the frequent
     n-grams and their places at the end of the order."""
@@ -233,9 +242,25 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, pe
                 right = [w == fingerprint(g) for w, g in zip(piece.column("wanted").to_pylist(), grams)]
                 yield pa.RecordBatch.from_pydict({
                     "node": piece.column("wanted").filter(pa.array(right, pa.bool_())),
+                    "wide": pa.array([wide_parity(g) for g, r in zip(grams, right) if r], pa.binary()),
                     "grams": pa.array([g.tobytes() for g, r in zip(grams, right) if r], pa.binary())})
 
-    held = written(texts.mapInArrow(sets, "node long, grams binary").groupBy("node").agg(F.first("grams").alias("grams")), "jaccard-sets")
+    held = written(texts.mapInArrow(sets, "node long, wide binary, grams binary").groupBy("node").agg(
+        F.first("wide").alias("wide"), F.first("grams").alias("grams")), "jaccard-sets")
+    # Whole sets travel only for pairs that their wide parities leave open.
+    slim = held.select("node", "wide", (F.length("grams") / 8).cast("long").alias("n"))
+    rough = (pairs.select("a", "b").join(slim.toDF("a", "x", "n"), "a").join(slim.toDF("b", "y", "m"), "b")
+             .select("a", "b", "n", "m", "x", "y"))
+
+    def bound(batches):
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            most = n + m - 2 * -(-(n + m) * percent // (100 + percent))
+            may = pa.array([x is None or y is None or int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()) <= k
+                            for x, y, k in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), most.tolist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(may), batch.column("b").filter(may)], names=["a", "b"])
+
+    pairs = written(rough.mapInArrow(bound, "a long, b long"), "jaccard-open")
     both = (pairs.select("a", "b").join(held.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
             .join(held.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b"))
 
