@@ -123,6 +123,18 @@ def test_learned_partitions_recall(spark):
     assert np.mean(hits) >= 0.9
 
 
+@pytest.mark.parametrize("sample", [250, 5000])
+def test_copies_do_not_crowd_the_index_sample(spark, monkeypatch, sample):
+    r = np.random.default_rng(4)
+    x = np.concatenate([np.repeat(r.normal(size=(40, 4)), 50, axis=0), r.normal(size=(500, 4))]).astype(np.float32)
+    seen, learn = [], ann.learn
+    monkeypatch.setattr(ann, "learn", lambda x, *a: (seen.append(x), learn(x, *a))[1])
+    found(spark.createDataFrame([(i, [float(v) for v in row], 0) for i, row in enumerate(x)], SCHEMA), k=5, sample=sample)
+    drawn, = seen
+    assert len(np.unique(drawn, axis=0)) == len(drawn)
+    assert len(drawn) == 540 if sample > 540 else 0.7 * sample < len(drawn) < 1.3 * sample
+
+
 def test_search_query(spark):
     rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()
     ids, x = [r.vec_id for r in rows], np.array([r.embedding for r in rows])

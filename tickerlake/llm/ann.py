@@ -1,6 +1,6 @@
 """Operator 3: nearest neighbours by learned partitions.
 
-A neighbour graph over a bounded sample is cut into parts of equal size with
+A neighbour graph over a bounded sample of the distinct vectors is cut into parts of equal size with
 few edges between them; a small classifier (one hidden layer) learns, from
 each sample vector, the parts in which its neighbours lie. Every row is
 indexed under its most probable part. A query is sent to its most probable
@@ -199,6 +199,16 @@ def _first_k(i: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
     return i[keep], ids[keep], score[keep]
 
 
+def index_sample(table: DataFrame, sample: int) -> list[bytes]:
+    """About ``sample`` of the distinct vectors ``v``, by their hashes: copies
+    count once, so that no group of copies crowds out the others."""
+    share = F.pmod(F.xxhash64("v", F.lit("ann")), F.lit(1 << 20))
+    different = table.select(F.xxhash64("v", F.lit("ann"))).distinct().count()
+    some = table if different <= sample else table.where(share < (1 << 20) * sample // different)
+    return (some.select("v").distinct().orderBy(F.xxhash64("v", F.lit("thin")), "v").limit(2 * sample)
+            .toArrow().column("v").to_pylist())
+
+
 def nearest(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str = "embedding", query=None,
             sample: int = SAMPLE, part_rows: int = PART_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each row
@@ -222,10 +232,7 @@ def nearest(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str =
     total = table.count()
     if not total:
         return spark.createDataFrame([], result)
-    share = F.pmod(F.xxhash64("v", F.lit("ann")), F.lit(1 << 20))
-    some = table if total <= sample else table.where(share < (1 << 20) * sample // total)
-    drawn = some.orderBy("v", "id").select("v").limit(2 * sample).toArrow().column("v").to_pylist()
-    x = vectors.unpacked(drawn, kind, length).astype(np.float64)
+    x = vectors.unpacked(index_sample(table, sample), kind, length).astype(np.float64)
     parts = int(min(max(1, -(-total // part_rows)), max(1, len(x) // LEAST_PER_PART)))
     model = learn(x, parts, k)
 
