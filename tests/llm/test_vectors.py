@@ -135,6 +135,18 @@ def test_copies_do_not_crowd_the_index_sample(spark, monkeypatch, sample):
     assert len(drawn) == 540 if sample > 540 else 0.7 * sample < len(drawn) < 1.3 * sample
 
 
+def test_nearly_empty_parts_lead_on(spark, monkeypatch):
+    """Parts 0 and 1 hold 3 rows each and part 2 the rest: every query still gets k rows."""
+    x = np.random.default_rng(6).normal(size=(100, 3)).astype(np.float32) * 0.01
+    x[np.arange(100), [0] * 3 + [1] * 3 + [2] * 94] += 1
+    model = {"w1": np.eye(3), "b1": np.zeros(3), "w2": 9 * np.eye(3), "b2": np.zeros(3), "scale": 1.0, "coverage": 0.3}
+    monkeypatch.setattr(ann, "learn", lambda *a: model)
+    df = spark.createDataFrame([(20 * i, [float(v) for v in row], 0) for i, row in enumerate(x)], SCHEMA)
+    got = found(df, k=20)
+    assert len(got) == 100 and {len(v) for v in got.values()} == {20}
+    assert {len(v) for v in found(df, k=200).values()} == {99}
+
+
 def test_search_query(spark):
     rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()
     ids, x = [r.vec_id for r in rows], np.array([r.embedding for r in rows])

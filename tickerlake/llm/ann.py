@@ -5,8 +5,9 @@ few edges between them; a small classifier (one hidden layer) learns, from
 each sample vector, the parts in which its neighbours lie. Every row is
 indexed under its most probable part. A query is sent to its most probable
 parts until their probabilities add up to a coverage, which is calibrated on
-sample queries that were kept from the classifier, for ``TARGET_RECALL``. In
-the parts, all rows are compared with the query in double precision.
+sample queries that were kept from the classifier, for ``TARGET_RECALL``, and
+on to further parts until those visited hold ``k`` other rows. In the parts,
+all rows are compared with the query in double precision.
 
 Parts are dealt to cells of about ``CELL_ROWS`` rows and ``CELL_QUERIES``
 queries by a hash, however large a part or how many copies it holds; a task
@@ -128,12 +129,16 @@ def train_router(x: np.ndarray, wanted: np.ndarray, rng, epochs: int = 40, rate:
     return {"w1": p[0], "b1": p[1], "w2": p[2], "b2": p[3], "scale": scale}
 
 
-def probed(prob: np.ndarray, coverage: float) -> np.ndarray:
+def probed(prob: np.ndarray, coverage: float, rows: np.ndarray | None = None, least: int = 0) -> np.ndarray:
     """Which parts each query visits: the most probable ones until their sum
-    reaches ``coverage`` (1 or more: all)."""
+    reaches ``coverage`` (1 or more: all), and, given the ``rows`` of each
+    part, until they hold at least ``least`` rows."""
     order = np.argsort(-prob, axis=1, kind="stable")
     sums = np.cumsum(np.take_along_axis(prob, order, 1), axis=1)
     wanted = np.concatenate([np.ones((len(prob), 1), bool), sums[:, :-1] < coverage], axis=1) if coverage < 1 else np.ones_like(prob, bool)
+    if rows is not None:
+        held = np.cumsum(rows[order], axis=1)
+        wanted[:, 1:] |= held[:, :-1] < least
     out = np.zeros_like(wanted)
     np.put_along_axis(out, order, wanted, 1)
     return out
@@ -236,18 +241,28 @@ def nearest(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str =
     parts = int(min(max(1, -(-total // part_rows)), max(1, len(x) // LEAST_PER_PART)))
     model = learn(x, parts, k)
 
+    def routed(batch):
+        return route(model, vectors.unpacked(batch.column("v").to_pylist(), kind, length).astype(np.float64))
+
     def place(batches):
         for b in batches:
-            prob = route(model, vectors.unpacked(b.column("v").to_pylist(), kind, length).astype(np.float64))
-            asks = b.column("asks").to_numpy(zero_copy_only=False)
-            visit = probed(prob, model["coverage"]) & asks[:, None]
-            visits = pa.array([np.flatnonzero(r).tolist() for r in visit], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("rid"), b.column("id"), b.column("v"),
-                                              pa.array(prob.argmax(axis=1).astype(np.int32)), visits],
-                                             names=["rid", "id", "v", "part", "visits"])
-
-    placed = written(table.mapInArrow(place, "rid long, id long, v binary, part int, visits array<int>"), "ann-placed")
-    asked = placed.select("rid", "id", "v", F.explode("visits").alias("part"))
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "id", "asks", "v")), pa.array(routed(b).argmax(axis=1).astype(np.int32))],
+                                             names=["rid", "id", "asks", "v", "part"])
+
+    placed = written(table.mapInArrow(place, "rid long, id long, asks boolean, v binary, part int"), "ann-placed")
+    held = np.zeros(model["w2"].shape[1], np.int64)
+    for r in placed.groupBy("part").count().collect():      # a row per part
+        held[r["part"]] = r["count"]
+
+    def visit(batches):
+        for b in batches:
+            visits = probed(routed(b), model["coverage"], held, k + 1)      # the query's own row is one of them
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "id", "v")),
+                                              pa.array([np.flatnonzero(r).tolist() for r in visits], pa.list_(pa.int32()))],
+                                             names=["rid", "id", "v", "visits"])
+
+    asked = written(placed.where("asks").select("rid", "id", "v").mapInArrow(visit, "rid long, id long, v binary, visits array<int>"), "ann-asked")
+    placed, asked = placed.select("rid", "id", "v", "part"), asked.select("rid", "id", "v", F.explode("visits").alias("part"))
     # Cells per part: a table of as many rows as parts.
     n_rows = placed.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("row_cells"))
     n_asked = asked.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).alias("query_cells"))
