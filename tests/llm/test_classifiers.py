@@ -75,6 +75,21 @@ def test_label_model_finds_accuracies():
     assert ((model["posterior"] > 0.5) == y).mean() > 0.85
 
 
+def test_label_model_sees_all_texts(spark, monkeypatch):
+    """Voters that fire in few unlabelled texts count, whatever the classifier's sample; and sums in Spark are those of the driver."""
+    docs, labels = corpus(spark, 300)
+    docs += [(1000 + i, f"plain {i} words" + (" vermin filth" if i % 30 == 0 else ""), "s") for i in range(300)]
+    df = docs_of(spark, docs)
+    monkeypatch.setattr(toxicity, "UNLABELLED_ROWS", 20)
+    model = toxicity.fit(df, labels)
+    got, at = model["label_model"], model["terms"].index(" vermin ")
+    texts = got["prior"] * got["theta"][1][2][at] + (1 - got["prior"]) * got["theta"][0][2][at]
+    assert texts * 600 == pytest.approx(10, abs=1.5)
+    monkeypatch.setattr(toxicity, "DRIVER_PATTERNS", 0)
+    again = toxicity.fit(df, labels)["label_model"]
+    assert all(np.array_equal(got[k], again[k]) for k in ("theta", "weight", "prior"))
+
+
 def test_tables_learn_an_interaction():
     r = np.random.default_rng(0)
     x = r.random((3000, 3))

@@ -9,9 +9,10 @@ repeat each other given the class; correlated voters share their weight. Its
 posterior labels train a linear classifier over a wider vocabulary, which
 scores every whole text in one pass with an Aho-Corasick automaton.
 
-Fitting uses bounded samples (``labelled.SAMPLE_ROWS`` labelled rows outside
-the held-out fold, ``UNLABELLED_ROWS`` others); scoring covers every row in
-place, without a shuffle. Labels, lang, source and doc_id never reach a score.
+The label model is fitted on the votes of all texts, as distinct patterns of
+votes with their counts, with up to ``labelled.SAMPLE_ROWS`` labels outside the
+held-out fold. The linear classifier learns from those labelled texts and
+``UNLABELLED_ROWS`` others; scoring covers every row in place, without a shuffle. Labels, lang, source and doc_id never reach a score.
 
 Defined cases: a null text is empty and gets the classifier's base score;
 repeated rows are scored alike; with no labels the public list alone votes;
@@ -31,7 +32,8 @@ from pyspark.sql import functions as F
 from tickerlake.llm import labelled
 from tickerlake.llm.common import extended, written
 
-UNLABELLED_ROWS = 5_000   # sampled texts without a label that the label model also sees
+UNLABELLED_ROWS = 5_000   # sampled texts that the linear classifier learns from besides the labelled ones
+DRIVER_PATTERNS = 50_000  # distinct patterns of votes that the driver sums itself, at most
 VOTERS = 300              # lexicon voters, at most
 VOCABULARY = 1_500        # terms of the linear classifier, at most
 STEMS = (4, 5, 6)         # lengths of word stems
@@ -43,6 +45,7 @@ LEXICON = ["idiot", "idiots", "moron", "morons", "stupid", "loser", "losers", "s
            "worthless", "disgusting", "clown", "dumb", "dumbass", "imbecile", "retard", "bastard", "bitch",
            "asshole", "fuck", "fucking", "shit", "bullshit", "crap", "whore", "slut", "pig", "filth", "vermin"]
 
+_ONE = 1 << 30            # fixed point of the label model's sums
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _UPPER = bytes(range(65, 91))
 _LETTER = bytes([*range(65, 91), *range(97, 123)])
@@ -145,36 +148,146 @@ def automaton_of(terms: list[str]):
     return machine
 
 
-def label_model(votes: np.ndarray, gold: np.ndarray, steps: int = 30) -> dict:
-    """Fit to votes (texts x voters, 1 toxic, 0 clean, -1 abstains). ``gold``:
-    1 or 0 where a label is known, else -1. Returns the posterior of each
-    text, each voter's vote probabilities for either class, and its weight
-    after sharing among voters that correlate given the class."""
-    n, m = votes.shape
-    known = gold >= 0
-    prior = float(np.clip(gold[known].mean() if known.any() else 0.1, 0.01, 0.99))
-    post = np.where(known, gold, np.where((votes == 1).any(axis=1), 0.9, 0.05)).astype(float)
-    fires = [(votes == v).astype(float) for v in (-1, 0, 1)]
-    weight = np.ones(m)
-    both = (gold == 0).any() and (gold == 1).any()
+def votes_of(found: list[int], pats: list[float], voters: int) -> list[int]:
+    """The votes of a text: ``2 * voter + vote``."""
+    return ([2 * j + 1 for j in found if j < voters]
+            + [2 * (voters + j) + says for j, says in enumerate(PATTERN_SAYS) if pats[j] > 0])
+
+
+def _logit(model: dict, rows: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
+    """Log odds of ``n`` texts from their votes (``rows``: whose)."""
+    ratio = np.log(model["theta"][1] / model["theta"][0]) * model["weight"]
+    prior = model["prior"]
+    cast = np.stack([ratio[1] - ratio[0], ratio[2] - ratio[0]], axis=1).ravel()
+    return math.log(prior / (1 - prior)) + ratio[0].sum() + (np.bincount(rows, cast[codes], n) if len(rows) else np.zeros(n))
+
+
+def tally(rows: np.ndarray, codes: np.ndarray, gold: np.ndarray, count: np.ndarray, m: int, model: dict | None, known_only: bool) -> np.ndarray:
+    """What a step of the label model sums over texts with the posterior q
+    under ``model``: texts, q, q * q, then per vote texts and q. In fixed
+    point, so any order and grouping of the texts gives the same sums."""
+    n, known = len(gold), gold >= 0
+    if model is None:
+        post = np.full(n, 0.05)
+        post[rows[codes % 2 == 1]] = 0.9
+    else:
+        post = 1 / (1 + np.exp(-np.clip(_logit(model, rows, codes, n), -30, 30)))
+    q = np.where(known, np.where(gold == 1, 0.99, 0.01), post)
+    use = np.where(known, count, 0) if known_only else count
+    uq = use * np.rint(q * _ONE).astype(np.int64)
+    out = np.zeros(3 + 4 * m, np.int64)
+    out[:3] = use.sum(), uq.sum(), (use * np.rint(q * q * _ONE).astype(np.int64)).sum()
+    np.add.at(out, 3 + codes, use[rows])
+    np.add.at(out, 3 + 2 * m + codes, uq[rows])
+    return out
+
+
+def together(rows: np.ndarray, codes: np.ndarray, count: np.ndarray, m: int) -> np.ndarray:
+    """Sums over texts of the products of two voters' votes (+1, -1, or 0)."""
+    out = np.zeros((m, m))
+    for at in range(0, len(count), 2_048):
+        here = (rows >= at) & (rows < at + 2_048)
+        value = np.zeros((min(2_048, len(count) - at), m))
+        value[rows[here] - at, codes[here] // 2] = 2 * (codes[here] % 2) - 1
+        out += value.T @ (value * count[at:at + 2_048, None])
+    return out
+
+
+def fit_votes(sums, products: np.ndarray, both: bool, m: int, steps: int = 30) -> dict:
+    """Each voter's vote probabilities (abstains, clean, toxic) for either
+    class, and its weight after sharing among voters that correlate given the
+    class, by expectation-maximisation. ``sums(model, known_only)``: ``tally``
+    over all texts; ``both``: labels of both classes are known."""
+    model, weight = None, np.ones(m)
     for step in range(steps):
-        q = np.where(known, np.where(gold == 1, 0.99, 0.01), post)
-        use = known.astype(float) if step == 0 and both else np.ones(n)      # known labels start it
-        prior = float(np.clip((use @ q) / use.sum(), 1e-3, 0.999))
-        theta = np.stack([[(y @ f + s) / (y.sum() + 1.0) for f, s in zip(fires, (0.6, 0.2, 0.2))] for y in (use * (1 - q), use * q)])
+        s = sums(model, step == 0 and both)                                  # known labels start it
+        n, ones = float(s[0]), s[1] / _ONE
+        cast, toxic = s[3:3 + 2 * m].reshape(m, 2).T.astype(float), s[3 + 2 * m:].reshape(m, 2).T / _ONE
+        size = (n - ones, ones)
+        votes = [np.stack([y - v.sum(axis=0), v[0], v[1]]) for y, v in zip(size, (cast - toxic, toxic))]
+        smooth = np.array([[0.6], [0.2], [0.2]])
+        theta = np.stack([(v + smooth) / (y + 1.0) for y, v in zip(size, votes)])
         if step in (4, steps - 2):   # what voters share beyond the class
-            value, mean = fires[2] - fires[1], theta[:, 2] - theta[:, 1]
-            rest = value - np.outer(1 - q, mean[0]) - np.outer(q, mean[1])
-            rest -= rest.mean(axis=0)
-            sd = np.sqrt((rest * rest).mean(axis=0)) + 1e-9
-            rho = (rest.T @ rest) / n / np.outer(sd, sd)
+            mean = theta[:, 2] - theta[:, 1]
+            value = [(v[2] - v[1]) / n for v in votes]
+            square = s[2] / _ONE / n
+            share = (((n - 2 * ones) / n + square, ones / n - square), (ones / n - square, square))
+            cov = products / n + sum(share[a][b] * np.outer(mean[a], mean[b]) for a in (0, 1) for b in (0, 1))
+            for a in (0, 1):
+                cov -= np.outer(value[a], mean[a]) + np.outer(mean[a], value[a])
+            centre = sum(value[a] - mean[a] * size[a] / n for a in (0, 1))
+            cov -= np.outer(centre, centre)
+            sd = np.sqrt(np.maximum(np.diag(cov), 0)) + 1e-9
+            rho = cov / np.outer(sd, sd)
             np.fill_diagonal(rho, 0)
             weight = 1 / (1 + np.maximum(rho - 0.1, 0).sum(axis=1))
-        ratio = np.log(theta[1] / theta[0])
-        logit = math.log(prior / (1 - prior)) + sum(f @ (ratio[k] * weight) for k, f in enumerate(fires))
-        post = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-    with_gold = np.clip(logit, -30, 30) + np.where(known, np.where(gold == 1, 4.0, -4.0), 0.0)
-    return {"posterior": 1 / (1 + np.exp(-with_gold)), "theta": theta, "weight": weight, "prior": prior}
+        model = {"theta": theta, "weight": weight, "prior": float(np.clip(ones / n, 1e-3, 0.999))}
+    return model
+
+
+def posterior(model: dict, rows: np.ndarray, codes: np.ndarray, gold: np.ndarray) -> np.ndarray:
+    """The probability that each text is toxic, by its votes and label."""
+    logit = np.clip(_logit(model, rows, codes, len(gold)), -30, 30)
+    return 1 / (1 + np.exp(-(logit + np.where(gold >= 0, np.where(gold == 1, 4.0, -4.0), 0.0))))
+
+
+def label_model(votes: np.ndarray, gold: np.ndarray, steps: int = 30) -> dict:
+    """``fit_votes`` and ``posterior`` of votes (texts x voters, 1 toxic, 0
+    clean, -1 abstains). ``gold``: 1 or 0 where a label is known, else -1."""
+    rows, voter = np.nonzero(votes >= 0)
+    codes = 2 * voter + votes[rows, voter]
+    m, count = votes.shape[1], np.ones(len(gold), np.int64)
+    model = fit_votes(lambda now, known: tally(rows, codes, gold, count, m, now, known), together(rows, codes, count, m),
+                      bool((gold == 0).any() and (gold == 1).any()), m, steps)
+    return {"posterior": posterior(model, rows, codes, gold), **model}
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, item) of a column of lists."""
+    sizes = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def fit_patterns(patterns: DataFrame, m: int) -> dict:
+    """The label model of texts given as (y, votes, texts): each distinct
+    pattern of votes with the number of its texts. Few are summed on the
+    driver, many in Spark; the sums are the same numbers."""
+    known = {r["y"] for r in patterns.select("y").distinct().collect()}
+    if patterns.count() <= DRIVER_PATTERNS:
+        t = patterns.toArrow().combine_chunks()
+        rows, codes = _flat(t.column("votes").combine_chunks())
+        gold, count = (t.column(c).to_numpy().astype(np.int64) for c in ("y", "texts"))
+        return fit_votes(lambda now, known: tally(rows, codes, gold, count, m, now, known), together(rows, codes, count, m), known >= {0, 1}, m)
+
+    def over(kernel, schema):
+        def run(batches):
+            for b in batches:
+                if b.num_rows:
+                    rows, codes = _flat(b.column("votes"))
+                    yield kernel(rows, codes, *(b.column(c).to_numpy().astype(np.int64) for c in ("y", "texts")))
+
+        return patterns.mapInArrow(run, schema)
+
+    def pairs(rows, codes, _gold, count):
+        c = together(rows, codes, count, m)
+        i, j = np.nonzero(c)
+        return pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(c[i, j].astype(np.int64))], names=["i", "j", "c"])
+
+    products = np.zeros((m, m))
+    for r in over(pairs, "i long, j long, c long").groupBy("i", "j").agg(F.sum("c").alias("c")).collect():   # m * m at most
+        products[r["i"], r["j"]] = r["c"]
+
+    def sums(now, known_only):
+        def kernel(rows, codes, gold, count):
+            s = tally(rows, codes, gold, count, m, now, known_only)
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(len(s))), pa.array(s)], names=["at", "s"])
+
+        out = np.zeros(3 + 4 * m, np.int64)
+        for r in over(kernel, "at long, s long").groupBy("at").agg(F.sum("s").alias("s")).collect():
+            out[r["at"]] = r["s"]
+        return out
+
+    return fit_votes(sums, products, known >= {0, 1}, m)
 
 
 def linear_fit(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, size: int, target: np.ndarray,
@@ -196,6 +309,25 @@ def linear_fit(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, size: int,
     return w, d, float(b[0])
 
 
+def vote_patterns(docs: DataFrame, sample: DataFrame, terms: list[str]) -> DataFrame:
+    """(y, votes, texts) over all of ``docs``: a labelled text of ``sample``
+    with its label, any other with y = -1."""
+    voters = len(terms)
+
+    def cast(batches):
+        machine = automaton_of(terms)
+        for batch in batches:
+            texts = (t.as_py() for t in batch.column("text"))
+            votes = [votes_of(f, p, voters) for f, p in features(texts, machine, voters, voters)]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(votes, pa.list_(pa.int32()))], names=["y", "votes"])
+
+    known = sample.select("doc_id", F.xxhash64("text").alias("_text"))       # bounded, so it may be broadcast
+    others = (docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
+              .join(F.broadcast(known), ["doc_id", "_text"], "left_anti").select(F.lit(-1).alias("y"), "text"))
+    both = sample.select((F.col("y") > 0).cast("int").alias("y"), "text").union(others)
+    return written(both.mapInArrow(cast, "y int, votes array<int>").groupBy("y", "votes").agg(F.count(F.lit(1)).alias("texts")), "votes")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model as plain arrays, some hundred kB at most."""
     sample = written(labelled.labelled_sample(docs, labels, "toxic"), "toxic-sample")
@@ -233,14 +365,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     cols = np.array([i for f in found for i in f], int)
     if not n:
         return {"terms": terms, "voters": voters, "w": np.zeros(size), "d": np.zeros(len(PATTERNS)), "b": -3.0}
-    votes = np.full((n, voters + len(PATTERNS)), -1, np.int8)
-    votes[rows[cols < voters], cols[cols < voters]] = 1
-    for j, says in enumerate(PATTERN_SAYS):
-        votes[dense[:, j] > 0, voters + j] = says
-    model = label_model(votes, gold)
-    w, d, b = linear_fit(rows, cols, dense, size, model["posterior"])
-    return {"terms": terms, "voters": voters, "w": w, "d": d, "b": b, "label_model": {
-        k: model[k] for k in ("theta", "weight", "prior")}}
+    model = fit_patterns(vote_patterns(docs, sample, terms[:voters]), voters + len(PATTERNS))
+    codes = [votes_of(f, p, voters) for f, p in zip(found, dense)]
+    target = posterior(model, np.repeat(np.arange(n), [len(c) for c in codes]), np.array([c for own in codes for c in own], int), gold)
+    w, d, b = linear_fit(rows, cols, dense, size, target)
+    return {"terms": terms, "voters": voters, "w": w, "d": d, "b": b, "label_model": model}
 
 
 def score(docs: DataFrame, model: dict, name: str = "_score") -> DataFrame:
