@@ -120,6 +120,19 @@ def test_stream_upsert_equals_rebuild(spark, tmp_dir):
     assert stored.exceptAll(full).count() == 0 and full.exceptAll(stored).count() == 0
 
 
+def test_stream_upsert_keeps_bad_lines(spark, tmp_dir):
+    landing, target = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "staged")
+    good = "A,2026-02-02,1.00,2.00,0.50,1.50,10,2026-03-22 11:01:33,y,r1"
+    bad = "B,2026-02-02,1.00,2.00,0.50,1.50,10,no time,y,r1"
+    write(landing, "f1.csv", [HEADER, good, bad])
+    refresh.stream_upsert(spark, landing, target, os.path.join(tmp_dir, "ck"))
+    assert [r.symbol for r in tables.read_table(spark, target).collect()] == ["A"]
+    kept = spark.read.parquet(target + "_quarantine").collect()
+    assert [r.raw_line for r in kept] == [bad] and kept[0].reasons
+    with pytest.raises(Exception, match="landed lines refused"):
+        refresh.stream_upsert(spark, landing, target, os.path.join(tmp_dir, "ck2"), on_bad="fail")
+
+
 def test_ingest_archives_processed_files(spark, tmp_dir):
     landing, bronze, archive = (os.path.join(tmp_dir, d) for d in ("landing", "bronze", "archive"))
     write(landing, "f1.csv", [HEADER, "A,2026-02-02,1.00,2.00,0.50,1.50,10,2026-03-22 11:01:33,y,r1"])

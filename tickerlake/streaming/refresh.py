@@ -157,21 +157,30 @@ def upsert_into(spark: SparkSession, target: str, batch: DataFrame,
 
 def stream_upsert(spark: SparkSession, landing: str, target: str, checkpoint: str | None = None,
                   order_fn=None, keep: Sequence[str] = (),
-                  schema: T.StructType = S.RAW_BAR_SCHEMA, files_per_batch: int = FILES_PER_BATCH) -> None:
+                  schema: T.StructType = S.RAW_BAR_SCHEMA, files_per_batch: int = FILES_PER_BATCH,
+                  quarantine: str | None = None, on_bad: str = "quarantine") -> None:
     """X5 as a stream: each micro-batch of landed rows is folded into ``target``.
 
     ``foreachBatch`` + dynamic partition overwrite is idempotent: replaying a
     batch after a failure rewrites the same partitions with the same rows.
-    Malformed lines are left out. ``order_fn`` builds the dedup order (Columns
-    need an active session).
+    A malformed line goes to ``quarantine`` (by default ``<target>_quarantine``)
+    as (raw_line, reasons), or stops the run with ``on_bad="fail"``.
+    ``order_fn`` builds the dedup order (Columns need an active session).
     """
     checkpoint = checkpoint or stream_checkpoint(spark, target, "upsert")
+    quarantine = quarantine or target.rstrip("/") + "_quarantine"
+    run = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
     stream = landing_stream(spark, landing, schema, files_per_batch=files_per_batch)
 
-    def fold(lines: DataFrame, _epoch: int) -> None:
-        good = lines.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
-        with Cut(good, "landed") as batch:
-            upsert_into(lines.sparkSession, target, batch, order_fn() if order_fn else None, keep)
+    def fold(lines: DataFrame, epoch: int) -> None:
+        own = lines.sparkSession
+        with Cut(lines, "landed") as tagged:
+            bad = tagged.filter(F.size("reasons") > 0).select("raw_line", "reasons")
+            if on_bad == "fail" and not bad.isEmpty():
+                raise ValueError(f"landed lines refused, the first: {bad.first().asDict()}")
+            good = tagged.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
+            upsert_into(own, target, good, order_fn() if order_fn else None, keep)
+            _add_files(own, bad, quarantine, f"{run}-{epoch}")
 
     q = (stream.writeStream.foreachBatch(fold)
          .option("checkpointLocation", checkpoint)
