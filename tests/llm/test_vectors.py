@@ -147,6 +147,28 @@ def test_nearly_empty_parts_lead_on(spark, monkeypatch):
     assert {len(v) for v in found(df, k=200).values()} == {99}
 
 
+def two_lengths():
+    short = near(3, 200, 5)[60:]
+    return rows_of(near(), [i % 2 for i in range(300)]) + [(1000 + i, [float(v) for v in row], 0) for i, row in enumerate(short)]
+
+
+def test_dedup_of_two_lengths(spark):
+    rows = two_lengths()
+    got = vector_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA), 0.98, trees=8, leaf=16, block=8).collect()
+    short = [(i, [*v, 0.0, 0.0, 0.0], label) for i, v, label in rows[300:]]
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute_links(rows[:300], 0.98) | brute_links(short, 0.98)
+    assert sum(r.n_links for r in got if r.vec_id >= 1000)
+
+
+def test_search_of_two_lengths(spark):
+    rows = two_lengths()
+    got = found(spark.createDataFrame(rows, SCHEMA), k=20)
+    for own in (rows[:300], rows[300:]):
+        ids = [r[0] for r in own]
+        for q, best in brute_nearest(ids, np.array([r[1] for r in own], np.float32), 20).items():
+            assert [i for i, _ in got[q]] == [i for i, _ in best]
+
+
 def test_search_query(spark):
     rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()
     ids, x = [r.vec_id for r in rows], np.array([r.embedding for r in rows])

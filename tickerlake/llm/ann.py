@@ -15,8 +15,8 @@ compares a cell's rows with a cell's queries as matrices and passes on each
 query's best ``k``. No partner or candidate of a searched part is left out.
 
 Defined cases: vectors that are null, zero, hold a null or non-finite
-component, or are not of the table's usual length take no part; with fewer
-candidates than ``k`` all are returned; equal scores come by the smaller id,
+component take no part; vectors of each length are searched among themselves,
+with parts of their own; with fewer candidates than ``k`` all are returned; equal scores come by the smaller id,
 null ids last; repeated rows are candidates of their own; a query is a row, so
 repeated query ids give their results repeatedly; no rows give no rows.
 """
@@ -223,42 +223,53 @@ def nearest(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str =
     query = F.coalesce(F.col(f"`{id_col}`") % 20 == 0 if query is None else query, F.lit(False))
     given = rows.where(vectors.usable(v)).select(
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(vectors.NULL_ID)).alias("id"), query.alias("asks"), v.alias("v"))
-    kind, length = vectors.kind_of(given, "v"), vectors.usual_length(given, "v")
-    given = given.where(F.size("v") == length).withColumn("rid", F.monotonically_increasing_id())
+    kind = vectors.kind_of(given, "v")
+    given = given.withColumn("rid", F.monotonically_increasing_id()).withColumn("d", F.size("v"))
     result = "query_id long, rank int, vec_id long, score double"
 
     def pack(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column("rid"), b.column("id"), b.column("asks"), vectors.packed(vectors.matrix(b.column("v"), kind, length), kind)],
-                names=["rid", "id", "asks", "v"])
+                [*(b.column(c) for c in ("rid", "id", "asks", "d")), vectors.packed(b.column("v"), kind)], names=["rid", "id", "asks", "d", "v"])
 
-    table = written(given.select("rid", "id", "asks", "v").mapInArrow(pack, "rid long, id long, asks boolean, v binary"), "ann-rows")
-    total = table.count()
-    if not total:
+    table = written(given.select("rid", "id", "asks", "d", "v").mapInArrow(pack, "rid long, id long, asks boolean, d int, v binary"), "ann-rows")
+    totals = {r["d"]: r["count"] for r in table.groupBy("d").count().orderBy("d").collect()}     # a row per length
+    if not totals:
         return spark.createDataFrame([], result)
-    x = vectors.unpacked(index_sample(table, sample), kind, length).astype(np.float64)
-    parts = int(min(max(1, -(-total // part_rows)), max(1, len(x) // LEAST_PER_PART)))
-    model = learn(x, parts, k)
+    models, n_parts = {}, 0
+    for length, total in totals.items():
+        x = vectors.unpacked(index_sample(table.where(F.col("d") == length), sample), kind, length).astype(np.float64)
+        parts = int(min(max(1, -(-total // part_rows)), max(1, len(x) // LEAST_PER_PART)))
+        model = learn(x, parts, k)
+        models[length] = (model, n_parts, n_parts + model["w2"].shape[1])
+        n_parts = models[length][2]
 
     def routed(batch):
-        return route(model, vectors.unpacked(batch.column("v").to_pylist(), kind, length).astype(np.float64))
+        """For each length of a batch: its rows, model, first and last part, and the probabilities of its parts."""
+        for length, rows, x in vectors.by_length(batch.column("v").to_pylist(), kind):
+            model, first, last = models[length]
+            yield rows, model, first, last, route(model, x.astype(np.float64))
 
     def place(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "id", "asks", "v")), pa.array(routed(b).argmax(axis=1).astype(np.int32))],
+            part = np.empty(b.num_rows, np.int32)
+            for rows, _, first, _, prob in routed(b):
+                part[rows] = first + prob.argmax(axis=1)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "id", "asks", "v")), pa.array(part)],
                                              names=["rid", "id", "asks", "v", "part"])
 
     placed = written(table.mapInArrow(place, "rid long, id long, asks boolean, v binary, part int"), "ann-placed")
-    held = np.zeros(model["w2"].shape[1], np.int64)
+    held = np.zeros(n_parts, np.int64)
     for r in placed.groupBy("part").count().collect():      # a row per part
         held[r["part"]] = r["count"]
 
     def visit(batches):
         for b in batches:
-            visits = probed(routed(b), model["coverage"], held, k + 1)      # the query's own row is one of them
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "id", "v")),
-                                              pa.array([np.flatnonzero(r).tolist() for r in visits], pa.list_(pa.int32()))],
+            visits = [None] * b.num_rows
+            for rows, model, first, last, prob in routed(b):
+                for i, own in zip(rows, probed(prob, model["coverage"], held[first:last], k + 1)):      # the query's own row is one of them
+                    visits[i] = (first + np.flatnonzero(own)).tolist()
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("rid", "id", "v")), pa.array(visits, pa.list_(pa.int32()))],
                                              names=["rid", "id", "v", "visits"])
 
     asked = written(placed.where("asks").select("rid", "id", "v").mapInArrow(visit, "rid long, id long, v binary, visits array<int>"), "ann-asked")
@@ -295,11 +306,11 @@ def nearest(rows: DataFrame, k: int = 20, id_col: str = "vec_id", vector: str =
         out = {"q": [], "query_id": [], "vec_id": [], "score": []}
         if left.num_rows:
             (q_rids, q_ids, q_v), = (tuple(r[n] for n in ("q_rids", "q_ids", "q_v")) for r in left.to_pylist())
-            q = np.frombuffer(q_v, kind).reshape(-1, length)
+            q = np.frombuffer(q_v, kind).reshape(len(ids(q_rids)), -1)
             best = None
             for n in range(right.num_rows):
                 r_rids, r_ids, r_v = (right.column(c)[n].as_py() for c in ("r_rids", "r_ids", "r_v"))
-                i, j, score = _best(q, np.frombuffer(r_v, kind).reshape(-1, length), ids(q_rids), ids(r_rids), ids(r_ids), k)
+                i, j, score = _best(q, np.frombuffer(r_v, kind).reshape(-1, q.shape[1]), ids(q_rids), ids(r_rids), ids(r_ids), k)
                 new = (i, ids(r_ids)[j], score)
                 best = new if best is None else _first_k(*(np.concatenate(x) for x in zip(best, new)), k)
             if best is not None:

@@ -1,6 +1,7 @@
 """Operator 4: near-duplicate vectors by a random-projection tree forest.
 
-Equal vectors of a label first become one class. Each tree splits space by
+Equal vectors of a label first become one class. Vectors of another length
+count as another label. Each tree splits space by
 random projections, one direction a level, at the medians of a bounded
 sample; a vector within the spill width of a cut goes to both sides. Vectors
 of one label in one leaf are compared, verified in double precision and united.
@@ -18,8 +19,8 @@ apart, so their projections differ by a ``1 / sqrt(dimension)``-th of that
 about 0.2 % a level, and ``TREES`` independent trees the power of the rest.
 
 Defined cases: vectors that are null, zero or hold a null or non-finite
-component, or with a null label, or not of the usual length, link with nothing
-and are their own component; repeated rows are linked vectors; no rows give no
+component, or with a null label, link with nothing and are their own component;
+vectors of different lengths never link, and each length has a forest of its own; repeated rows are linked vectors; no rows give no
 rows. A null vec_id never names a component unless it is all there is.
 """
 
@@ -158,46 +159,47 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec
     given = rows.select(F.col(f"`{id_col}`").alias("id"), group.cast("string").alias("label"), v.alias("v"))
     kind = vectors.kind_of(given, "v")
     fine = vectors.usable(F.col("v")) & F.col("label").isNotNull()
-    length = vectors.usual_length(given.where(fine), "v")
-    fine = fine & (F.size("v") == length)
     keys = [F.when(fine, F.xxhash64("label", "v", F.lit(s))).alias(f"h{s}") for s in (1, 2)]
     # Zeroes of either sign are one value, as in grouping by the vector itself.
     plus = given.withColumn("v", F.transform("v", lambda z: F.when(z == 0, F.lit(0).cast("float" if kind == "<f4" else "double")).otherwise(z)))
     hashed = plus.select("id", "label", "v", *keys)
     classes = (hashed.where("h1 is not null").groupBy("h1", "h2")
-               .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("mult"), F.first("label").alias("label"), F.first("v").alias("v")))
+               .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("mult"), F.concat_ws(":", F.size(F.first("v")), F.first("label")).alias("label"), F.first("v").alias("v")).withColumn("d", F.size("v")))
 
     def pack(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("h1", "h2", "id", "mult", "label", "rid")),
-                 vectors.packed(vectors.matrix(b.column("v"), kind, length), kind)],
-                names=["h1", "h2", "id", "mult", "label", "rid", "v"])
+                [*(b.column(c) for c in ("h1", "h2", "id", "mult", "label", "d", "rid")), vectors.packed(b.column("v"), kind)],
+                names=["h1", "h2", "id", "mult", "label", "d", "rid", "v"])
 
     classes = written(classes.withColumn("rid", F.monotonically_increasing_id())
-                      .select("h1", "h2", "id", "mult", "label", "rid", "v")
-                      .mapInArrow(pack, "h1 long, h2 long, id long, mult long, label string, rid long, v binary"), "dedup-classes")
-    sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    total = classes.count()
-    most = sizes.agg(F.max("n")).first()[0] or 0
-    depth = max(0, int(np.ceil(np.log2(max(most, 1) / leaf)))) if most else 0
+                      .select("h1", "h2", "id", "mult", "label", "d", "rid", "v")
+                      .mapInArrow(pack, "h1 long, h2 long, id long, mult long, label string, d int, rid long, v binary"), "dedup-classes")
+    sizes = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.first("d").alias("d"))
     share = F.pmod(F.xxhash64("v", F.lit("forest")), F.lit(1 << 20))
-    some = classes if total <= SAMPLE else classes.where(share < (1 << 20) * SAMPLE // total)
-    drawn = some.orderBy("v").select("v").limit(2 * SAMPLE).toArrow().column("v").to_pylist() if depth else []
     unit = lambda m: m / np.sqrt((m * m).sum(axis=1, keepdims=True))
-    sample = unit(vectors.unpacked(drawn, kind, length).astype(np.float64)) if drawn else np.zeros((0, max(length, 1)))
-    spill = float(np.sqrt(max(0.0, 2 - 2 * threshold)) / np.sqrt(max(length, 1)))
-    forest = Forest(sample, depth, trees, spill)
+    forests = {}
+    for length, most, total in sizes.groupBy("d").agg(F.max("n"), F.sum("n")).orderBy("d").collect():     # a row per length
+        depth = max(0, int(np.ceil(np.log2(most / leaf))))
+        some = classes.where(F.col("d") == length)
+        some = some if total <= SAMPLE else some.where(share < (1 << 20) * SAMPLE // total)
+        drawn = some.orderBy("v").select("v").limit(2 * SAMPLE).toArrow().column("v").to_pylist() if depth else []
+        sample = unit(vectors.unpacked(drawn, kind, length).astype(np.float64)) if drawn else np.zeros((0, length))
+        spill = float(np.sqrt(max(0.0, 2 - 2 * threshold)) / np.sqrt(length))
+        forests[length] = Forest(sample, depth, trees, spill)
 
     def leaves(batches):
         for b in batches:
-            x = unit(vectors.unpacked(b.column("v").to_pylist(), kind, length).astype(np.float64))
             own = np.maximum(0, np.ceil(np.log2(b.column("n").to_numpy() / leaf))).astype(np.int64)
+            found = [None] * b.num_rows
+            for length, at, x in vectors.by_length(b.column("v").to_pylist(), kind):
+                for i, keys in zip(at, forests[length].leaves(unit(x.astype(np.float64)), own[at])):
+                    found[i] = keys.tolist()
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("rid", "label", "mult", "v")), pa.array([k.tolist() for k in forest.leaves(x, own)], pa.list_(pa.int64()))],
+                [*(b.column(c) for c in ("rid", "label", "mult", "v")), pa.array(found, pa.list_(pa.int64()))],
                 names=["rid", "label", "mult", "v", "leaves"])
 
-    placed = written(classes.join(sizes, "label").select("rid", "label", "mult", "v", "n").mapInArrow(
+    placed = written(classes.join(sizes.drop("d"), "label").select("rid", "label", "mult", "v", "n").mapInArrow(
         leaves, "rid long, label string, mult long, v binary, leaves array<long>"), "dedup-leaves")
     members = placed.withColumn("leaf", F.explode("leaves"))
     held = members.groupBy("label", "leaf").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
@@ -211,7 +213,8 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98, id_col: str = "vec
                      (F.col("mine") > F.col("other")).cast("int").alias("side"), "rid", "mult", "v", "leaves"))
 
     def cell(keys, t):
-        x = unit(vectors.unpacked(t.column("v").to_pylist(), kind, length).astype(np.float64))
+        (_, _, x), = vectors.by_length(t.column("v").to_pylist(), kind)      # a label's vectors are of one length
+        x = unit(x.astype(np.float64))
         got = compare_cell(keys[1].as_py(), x, t.column("rid").to_numpy(), t.column("mult").to_numpy().astype(np.float64),
                            t.column("side").to_numpy(), keys[2].as_py() == keys[3].as_py(),
                            [np.array(k, np.int64) for k in t.column("leaves").to_pylist()], threshold)

@@ -22,23 +22,21 @@ def kind_of(df: DataFrame, column: str) -> str:
     return "<f4" if isinstance(df.schema[column].dataType.elementType, T.FloatType) else "<f8"
 
 
-def usual_length(df: DataFrame, column: str) -> int:
-    """The most frequent vector length (the smaller one in a tie)."""
-    got = df.groupBy(F.size(column).alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    return got["d"] if got else 0
-
-
-def matrix(column: pa.Array, kind: str, length: int) -> np.ndarray:
-    """A list column as a matrix of its own type."""
-    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), kind).reshape(len(column), length)
-
-
-def packed(rows: np.ndarray, kind: str) -> pa.Array:
-    """Each row's bytes."""
-    rows = np.ascontiguousarray(rows, kind)
-    width = rows.shape[1] * rows.itemsize
-    return pa.Array.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
+def packed(column: pa.Array, kind: str) -> pa.Array:
+    """The bytes of each vector of a list column, of any lengths."""
+    flat = np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False), kind)
+    sizes = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype("<i8") * flat.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat.tobytes())]).cast(pa.binary())
 
 
 def unpacked(values: list[bytes], kind: str, length: int) -> np.ndarray:
     return np.frombuffer(b"".join(values), kind).reshape(len(values), length)
+
+
+def by_length(values: list[bytes], kind: str):
+    """(length, rows, matrix) for each length of packed vectors."""
+    sizes = np.array([len(v) for v in values], np.int64) // np.dtype(kind).itemsize
+    for d in np.unique(sizes):
+        rows = np.flatnonzero(sizes == d)
+        yield int(d), rows, unpacked([values[i] for i in rows], kind, int(d))
