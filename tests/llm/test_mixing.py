@@ -38,6 +38,24 @@ def test_shards_add_up(shards):
     assert all(here.sum() == 8 for _, here in each[:-1])
 
 
+def test_large_totals_follow_the_same_law():
+    left, take = np.array([2_000_000_000, 1_500_000_000, 3, 500_000_000]), 2_500_000_000
+    got = np.array([mixing._draw(mixing._rng(i), left, take) for i in range(1500)])
+    assert (got.sum(1) == take).all() and (got >= 0).all() and (got <= left).all()
+    n = left.sum()
+    for own, mean, var in zip(left, got.mean(0), got.var(0)):
+        want = take * (own / n) * (1 - own / n) * ((n - take) / (n - 1))
+        assert abs(mean - take * (own / n)) < 5 * (want / 1500) ** 0.5 and 0.8 < var / want < 1.25
+    # Against numpy's draws, where it has any.
+    rng = mixing._rng(1)
+    for good, bad, many in ((30, 50, 25), (50, 30, 70), (3, 900, 400), (700, 900, 1000)):
+        own = np.array([mixing._hypergeometric(rng, good, bad, many) for _ in range(20_000)])
+        ref = rng.hypergeometric(good, bad, many, 20_000)
+        assert abs(own.mean() - ref.mean()) < 0.05 * ref.std() and 0.93 < own.var() / ref.var() < 1.07
+        steps = np.arange(ref.min(), ref.max() + 1)
+        assert np.abs((own[:, None] <= steps).mean(0) - (ref[:, None] <= steps).mean(0)).max() < 0.025
+
+
 def mixed(spark, docs, **kw):
     rows, spans = mixing.mix(docs, **kw)
     return mixing.taken_per_row(rows, spans).collect(), spans.collect(), rows.collect()

@@ -23,6 +23,8 @@ their own; no words at all give no spans.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -74,16 +76,54 @@ def _rng(*seed: int) -> np.random.Generator:
     return np.random.Generator(np.random.Philox(np.random.SeedSequence([s & 0xFFFFFFFFFFFFFFFF for s in seed])))
 
 
+def _log_factorials(a: int, b: int) -> float:
+    """log(a! / b!), without the cancellation of large terms."""
+    if min(a, b) < 1_000:
+        return math.lgamma(a + 1) - math.lgamma(b + 1)
+    return (a + 0.5) * math.log1p((a - b) / b) + (a - b) * (math.log(b) - 1) + (1 / a - 1 / b) / 12
+
+
+def _hypergeometric(rng: np.random.Generator, good: int, bad: int, take: int) -> int:
+    """How many of ``take`` slots out of ``good + bad`` are good, for totals of
+    any size: Stadlober's ratio of uniforms, some two tries a draw."""
+    total = good + bad
+    if not good or not take:
+        return 0
+    if not bad or take == total:
+        return min(good, take)
+    few, many, m = min(good, bad), max(good, bad), min(take, total - take)
+    share = few / total
+    centre = m * share + 0.5
+    width = math.sqrt(m * share * (1 - share) * (total - m) / (total - 1) + 0.5)
+    spread = 1.7155277699214135 * width + 0.8989161620588988
+    mode = (m + 1) * (few + 1) // (total + 2)
+    end = min(min(m, few) + 1, math.floor(centre + 16 * width))
+    while True:
+        x, y = 1 - rng.random(), rng.random()
+        w = centre + spread * (y - 0.5) / x
+        if not 0 <= w < end:
+            continue
+        z = int(w)
+        if z < m - many:
+            continue
+        t = -(_log_factorials(z, mode) + _log_factorials(few - z, few - mode) + _log_factorials(m - z, m - mode)
+              + _log_factorials(many - m + z, many - m + mode))
+        if 2 * math.log(x) <= t:
+            break
+    z = m - z if good > bad else z
+    return good - z if m < take else z
+
+
 def _draw(rng: np.random.Generator, left: np.ndarray, take: int) -> np.ndarray:
     """How ``take`` slots fall on sources with ``left`` slots to come."""
     total = int(left.sum())
     if total < 1_000_000_000:
         return rng.multivariate_hypergeometric(left, take)
-    got = np.minimum((left.astype(object) * take // total).astype(np.int64) if total > 1 << 31 else left * take // total, left)
-    rest = take - int(got.sum())       # too large to draw one by one: shares, and a draw for the remainder
-    while rest:
-        more = np.minimum(rng.multinomial(rest, (left - got) / (left - got).sum()), left - got)
-        got, rest = got + more, rest - int(more.sum())
+    got = np.zeros_like(left)          # numpy ends there; the same law source by source
+    for i, own in enumerate(left.tolist()):
+        total -= own
+        got[i] = _hypergeometric(rng, own, total, take)
+        take -= int(got[i])
     return got
 
 
