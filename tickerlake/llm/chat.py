@@ -5,8 +5,8 @@ as ``<<SYS>> system <</SYS>>``; any other role is a tag of its own. A control
 string inside a text is escaped: every backslash is doubled and a backslash
 is put before each ``[``, ``<`` that would open one, so texts come back exactly.
 
-A window is a span of whole turns whose tokens fit the budget, found from
-prefix sums of turn tokens. It repeats the leading system turn and up to
+A window is a span of whole turns whose tokens fit the budget, found by a walk
+over a conversation's turns. It repeats the leading system turn and up to
 ``history_tokens`` of whole turns before the span; repeated turns carry no
 loss. New assistant turns carry loss, so every target counts once over all
 windows. A turn longer than the budget gets a window of its own, whole.
