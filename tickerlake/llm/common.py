@@ -154,8 +154,9 @@ def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size:
 
     Rows are range-partitioned by (group, order), so a hot group spreads over
     many tasks. Each task sums its own rows in one pass; the bases of the
-    partitions are prefix sums over one row per (partition, group), a table
-    of at most partitions + groups rows. ``order`` must be total but for
+    partitions are prefix sums over one row per (partition, group); only the
+    groups that a partition goes on with have a base, so at most one row a
+    partition is broadcast. ``order`` must be total but for
     rows that are equal throughout. Sizes are non-null.
     """
     spark = df.sparkSession
@@ -200,12 +201,12 @@ def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size:
     totals = rows.groupBy(F.col("part").alias("_part"), *keys).agg(F.sum(size).alias("_sum"))
     w = W.partitionBy(*[f"_g{i}" for i in range(len(group))] or [F.lit(0)])
     bases = totals.withColumn("_base", F.coalesce(F.sum("_sum").over(
-        w.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
+        w.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_sum").where("_base <> 0")
     on = F.col("part") == F.col("_part")
     for i, g in enumerate(group):
         on = on & F.col(g).eqNullSafe(F.col(f"_g{i}"))
     return rows.join(F.broadcast(bases), on, "left").select(
-        *names, "rid", (F.col("local") + F.col("_base")).alias("start"))
+        *names, "rid", (F.col("local") + F.coalesce("_base", F.lit(0))).alias("start"))
 
 
 # --- connected components ------------------------------------------------------

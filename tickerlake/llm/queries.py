@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerlake.llm import ann, chat, jaccard_join, labelled, mixing, packing, quality, token_files, toxicity, url_filter, vector_dedup
+from tickerlake.llm import (ann, chat, conversation_repair, hard_negatives, html_extract, jaccard_join, labelled, mixing, packing, quality,
+                            token_files, toxicity, url_filter, vector_dedup)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,5 +75,44 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_source_mix, op3_learned_partitions, op4_vector_dedup, op5_toxicity, op6_best_fit_packing, op7_quality_gam, op8_chat_format, op9_token_files, op10_ngram_jaccard)}
-ORACLES: dict[str, str] = {}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_url_filter, op2_source_mix, op3_learned_partitions, op4_vector_dedup, op5_toxicity, op6_best_fit_packing, op7_quality_gam,
+    op8_chat_format, op9_token_files, op10_ngram_jaccard, op11_conversation_repair, op12_html_extract, op13_hard_negatives)}
+
+# Brute force over all pairs of an anchor and a row.
+OP13_SQL = """
+WITH told AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label,
+           CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+    FROM told a JOIN told b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT anchor_id, own, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND s.label <> p.own
+ AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 5
+"""
+
+ORACLES: dict[str, str] = {"op13_hard_negatives": OP13_SQL}
