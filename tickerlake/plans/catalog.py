@@ -579,12 +579,12 @@ def streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
 
 @query("stream_ingest")
 def q_stream_ingest(spark, sf_dir):
-    return tables.read_table(spark, streamed(spark, sf_dir)[0])
+    return tables.read_table(spark, streamed(spark, sf_dir)[0]).drop(tables.LOAD)
 
 
 @query("stream_quarantine")
 def q_stream_quarantine(spark, sf_dir):
-    return tables.read_table(spark, streamed(spark, sf_dir)[1])
+    return tables.read_table(spark, streamed(spark, sf_dir)[1]).drop(tables.LOAD)
 
 
 @query("bronze_mixed")
@@ -592,7 +592,7 @@ def q_bronze_mixed(spark, sf_dir):
     """Stream and batch loads into one table."""
     bronze, _ = streamed(spark, sf_dir)
     tables.append_bronze(event_bars(spark, sf_dir), bronze)
-    return tables.read_table(spark, bronze)
+    return tables.read_table(spark, bronze).drop(tables.LOAD)
 
 
 UPSERT_CUTOFF = dt.datetime(2024, 1, 1, 8, 0, 0)
@@ -688,3 +688,77 @@ def q_daily_refresh_staging(spark, sf_dir):
     for i, batch in enumerate(event_batches(spark, sf_dir)):
         out = run_daily(spark, batch, target, incremental=i > 0)
     return tables.read_table(spark, out.tables["stg_stock_prices"]).select(*S.STAGED_COLUMNS)
+
+
+class Lost(Exception):
+    """A run that stopped half-way, for the queries that recover one."""
+
+
+def lost_after(step: str):
+    def stop(done: str) -> None:
+        if done == step:
+            raise Lost(step)
+    return stop
+
+
+@query("daily_refresh_recovered")
+def q_daily_refresh_recovered(spark, sf_dir):
+    """A full run, an incremental one lost after it has staged its batch,
+    and the next one, which repairs what that left."""
+    target = scratch(spark, "daily")
+    first, second, third = event_batches(spark, sf_dir)
+    run_daily(spark, first, target)
+    try:
+        run_daily(spark, second, target, incremental=True, on_step=lost_after("staged"))
+    except Lost:
+        pass
+    return mart_values(spark, run_daily(spark, third, target, incremental=True).tables)
+
+
+def corrected(bars: DataFrame, day: dt.date) -> DataFrame:
+    """The bars of one day sent again, later, with the close at the open."""
+    return bars.filter(F.col("date") == F.lit(day)).withColumns(
+        {"close": F.col("open"), "ingestion_timestamp": F.lit(CORRECTED).cast("timestamp_ntz"), "pipeline_run_id": F.lit("fix")})
+
+
+LATE_DAY = dt.date(2024, 1, 5)
+
+
+@query("refresh_late_bar")
+def q_refresh_late_bar(spark, sf_dir):
+    """A full run, then the bars of one past day corrected."""
+    target, bars = scratch(spark, "daily"), event_bars(spark, sf_dir)
+    run_daily(spark, bars, target)
+    return mart_values(spark, run_daily(spark, corrected(bars, LATE_DAY), target, incremental=True).tables)
+
+
+@query("dq_suite_incremental")
+def q_dq_suite_incremental(spark, sf_dir):
+    """Q8 from stored counters, after a full run and two incremental ones."""
+    target = scratch(spark, "daily")
+    for i, batch in enumerate(event_batches(spark, sf_dir)):
+        out = run_daily(spark, batch, target, incremental=i > 0)
+    return out.suite
+
+
+@query("layer_summary_incremental")
+def q_layer_summary_incremental(spark, sf_dir):
+    """P4 from stored counters, after a full run and one of corrections."""
+    target, bars = scratch(spark, "daily"), event_bars(spark, sf_dir)
+    run_daily(spark, bars, target)
+    return run_daily(spark, corrected(bars, LATE_DAY), target, incremental=True).summary
+
+
+@query("reconcile_content")
+def q_reconcile_content(spark, sf_dir):
+    """Q9 by content: bars loaded with a tenth of their days damaged: a day
+    lost, doubled, with altered closes, or with two columns swapped."""
+    bars = raw_bars(spark, sf_dir).select(*S.RAW_COLUMNS, "tie1", "tie2")
+    day = F.dayofyear("date") % 40
+    kept = bars.filter(F.coalesce(day != 1, F.lit(True)))
+    copies = F.when(day == 2, 2).otherwise(1)
+    loaded = (kept.withColumns({"close": F.when(day == 3, F.col("close") + 1).otherwise(F.col("close")),
+                                "open": F.when(day == 4, F.col("high")).otherwise(F.col("open")),
+                                "high": F.when(day == 4, F.col("open")).otherwise(F.col("high"))})
+              .withColumn("_n", F.explode(F.array_repeat(F.lit(0), copies))).drop("_n"))
+    return quality.reconcile_content(bars, loaded, bars.columns)

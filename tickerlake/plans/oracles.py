@@ -504,3 +504,30 @@ ORACLES["daily_refresh_incremental"] = with_ctes(EVENT_BARS, EVENTS_TWICE, CAST_
 ORACLES["daily_refresh_staging"] = with_ctes(EVENT_BARS, EVENTS_TWICE, CAST_BARS, STAGED) + f"SELECT {STAGED_COLS} FROM staged"
 ORACLES["layer_tables"] = (with_ctes(EVENT_BARS, EVENTS_RAW, CAST_BARS, STAGED, SERIES)
                            + ORACLES["daily_returns"].removeprefix(SERIES_BASE))
+
+ORACLES["daily_refresh_recovered"] = ORACLES["daily_refresh_incremental"]
+# event_bars with the bars of one day sent again, later, with their close at their open.
+EVENTS_LATE = """raw_bars AS (SELECT *, 0 AS tie1, 0 AS tie2 FROM event_bars UNION ALL
+SELECT symbol, date, open, high, low, open, volume, TIMESTAMP '2030-01-01 00:00:00', source_system, 'fix', 0, 0
+FROM event_bars WHERE date = DATE '2024-01-05')"""
+ORACLES["refresh_late_bar"] = with_ctes(EVENT_BARS, EVENTS_LATE, CAST_BARS, STAGED, SERIES) + MART_VALUES
+ORACLES["dq_suite_incremental"] = (with_ctes(EVENT_BARS, EVENTS_TWICE, CAST_BARS, STAGED, SERIES, MART_CTES)
+                                   + ORACLES["dq_suite"].removeprefix(MARTS_BASE))
+ORACLES["layer_summary_incremental"] = (with_ctes(EVENT_BARS, EVENTS_LATE, CAST_BARS, STAGED, SERIES, MART_CTES)
+                                        + ORACLES["layer_summary"].removeprefix(MARTS_BASE))
+DAMAGED_LOAD = """SELECT symbol, date, CASE WHEN d = 4 THEN high ELSE open END AS open, CASE WHEN d = 4 THEN open ELSE high END AS high, low,
+  CASE WHEN d = 3 THEN close + 1 ELSE close END AS close, volume, ingestion_timestamp, source_system, pipeline_run_id, tie1, tie2
+FROM (SELECT *, dayofyear(date) % 40 AS d FROM raw_bars) WHERE d <> 1"""
+COMPARED = "symbol, date, open, high, low, close, volume, ingestion_timestamp, source_system, pipeline_run_id, tie1, tie2"
+ORACLES["reconcile_content"] = BASE.rstrip() + f""", extracted AS (SELECT {COMPARED} FROM raw_bars),
+loaded AS ({DAMAGED_LOAD} UNION ALL SELECT {COMPARED} FROM raw_bars WHERE dayofyear(date) % 40 = 2),
+missing AS (SELECT pipeline_run_id, date, count(*) AS n FROM (SELECT * FROM extracted EXCEPT ALL SELECT {COMPARED} FROM loaded) GROUP BY 1, 2),
+extra AS (SELECT pipeline_run_id, date, count(*) AS n FROM (SELECT {COMPARED} FROM loaded EXCEPT ALL SELECT * FROM extracted) GROUP BY 1, 2),
+sides AS (SELECT pipeline_run_id, date, sum(e) AS e, sum(l) AS l FROM (SELECT pipeline_run_id, date, 1 AS e, 0 AS l FROM extracted
+  UNION ALL SELECT pipeline_run_id, date, 0, 1 FROM loaded) GROUP BY 1, 2)
+SELECT s.pipeline_run_id, s.date, CAST(e AS BIGINT) AS extracted_rows, CAST(l AS BIGINT) AS loaded_rows,
+  coalesce(m.n, 0) AS missing_rows, coalesce(x.n, 0) AS extra_rows,
+  CASE WHEN coalesce(m.n, 0) = 0 AND coalesce(x.n, 0) = 0 THEN 'match' WHEN l = 0 THEN 'failed' WHEN l = e THEN 'altered'
+    WHEN coalesce(x.n, 0) = 0 THEN 'partial' WHEN coalesce(m.n, 0) = 0 THEN 'surplus' ELSE 'differs' END AS status
+FROM sides s LEFT JOIN missing m ON s.pipeline_run_id IS NOT DISTINCT FROM m.pipeline_run_id AND s.date IS NOT DISTINCT FROM m.date
+LEFT JOIN extra x ON s.pipeline_run_id IS NOT DISTINCT FROM x.pipeline_run_id AND s.date IS NOT DISTINCT FROM x.date"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -98,6 +99,13 @@ def remove(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def together(*tasks) -> list:
+    """Run callables that start independent Spark jobs side by side, so that one's
+    last tasks overlap the other's first; raises the first failure after all have ended."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
+
 class Cut:
     """``with Cut(df) as rows``: ``df`` written once, read back as ``rows``, and
     the files deleted at the end of the block."""

@@ -6,6 +6,9 @@ catalog name ``LAYER.TABLE``. Layer names are used verbatim, without prefix.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +17,9 @@ from pyspark.sql import functions as F
 from tickerlake import schema as S
 from tickerlake.session import exists
 
+LOAD = "load_id"            # partition column of a table kept by load
+_BY_LOAD = "_by_load"       # its marker, a file that readers skip
+
 
 def is_path(target: str) -> bool:
     return "/" in target
@@ -60,14 +66,50 @@ def append_bronze(df: DataFrame, target: str, validate: bool = True) -> int:
 
     With ``validate`` the loader's gate (required columns, NULL keys and
     close, low <= high) runs first and raises on failure. Rows are counted
-    by an Observation during the write, not by a second pass.
+    by an Observation during the write, not by a second pass. In a table kept
+    by load the batch is a load of its own.
     """
     if validate:
         from tickerlake.operators.quality import enforce, load_checks
         enforce(load_checks(df))
+    if is_path(target) and is_by_load(df.sparkSession, target):
+        return load_into(df, target, f"append-{uuid.uuid4().hex[:16]}")
     return _write(df, target, "append")
 
 
+def _load_folder(target: str, load_id: str) -> str:
+    if not re.fullmatch(r"[A-Za-z][A-Za-z0-9._-]*", load_id):
+        raise ValueError(f"a load id starts with a letter and holds letters, digits, '.', '_' and '-' only: {load_id!r}")
+    return f"{target.rstrip('/')}/{LOAD}={load_id}"
+
+
+def is_by_load(spark: SparkSession, target: str) -> bool:
+    return exists(spark, f"{target.rstrip('/')}/{_BY_LOAD}")
+
+
+def has_load(spark: SparkSession, target: str, load_id: str) -> bool:
+    """Whether the load was written to its end (the job's commit marks it)."""
+    return exists(spark, _load_folder(target, load_id) + "/_SUCCESS")
+
+
+def load_into(df: DataFrame, target: str, load_id: str) -> int:
+    """S4 for a table kept by load: the folder ``load_id=<id>`` of ``target``
+    takes ``df``. Written once more, a load replaces itself and nothing else,
+    and no other load is listed or read, so the cost does not grow with the
+    table. Returns the rows written. A table of plain files is refused."""
+    spark, folder = df.sparkSession, _load_folder(target, load_id)
+    if not is_by_load(spark, target):
+        if exists(spark, target):
+            raise ValueError(f"{target} is not kept by load; move its files into a folder {LOAD}=<id>, and add an empty file {_BY_LOAD}")
+        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{_BY_LOAD}")
+        marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(marker, True).close()
+    return _write(df.drop(LOAD), folder, "overwrite")
+
+
+def read_load(spark: SparkSession, target: str, load_id: str) -> DataFrame:
+    return spark.read.parquet(_load_folder(target, load_id))
+
+
 def replace_bronze(df: DataFrame, target: str, validate: bool = True) -> int:
     """Replace the contents (overwrite); returns rows loaded."""
     if validate:
@@ -116,6 +158,22 @@ def check_layout(spark: SparkSession, target: str, column: str) -> None:
         raise ValueError(f"{target} is not partitioned by {column}: it holds {odd[:3]}")
 
 
+def stored_dates(spark: SparkSession, target: str) -> list[dt.date]:
+    """The dates that a table partitioned by ``date`` holds, by its folders'
+    names: one per trading day, whatever the rows."""
+    check_layout(spark, target, "date")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return sorted(dt.date.fromisoformat(n.removeprefix("date=")) for n in names if n.startswith("date="))
+
+
+def on_dates(df: DataFrame, dates: Sequence[dt.date], column: str = "date") -> DataFrame:
+    """Rows of ``df`` on ``dates``: a filter by values, which prunes partitions
+    while the files are planned."""
+    return df.filter(F.col(column).isin([F.lit(d) for d in dates]) if dates else F.lit(False))
+
+
 def replace_partitions(df: DataFrame, target: str, column: str, sort: Sequence[str]) -> None:
     """Replace the partitions of ``target`` that ``df`` has rows of."""
     (storage_order(df, [column, *[c for c in sort if c != column]])

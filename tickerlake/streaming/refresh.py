@@ -4,8 +4,8 @@
 with ``trigger(availableNow=True)``: the checkpoint records which files were
 read, so each file is loaded exactly once across runs, and a lost executor
 replays from the checkpoint. Each micro-batch is split into good and bad
-lines; the files it adds to bronze carry its number, so a replayed batch
-replaces its own files and nothing else, and bronze stays one plain table.
+lines; what it adds to bronze is a load of its number (a folder of the table), so a
+replayed batch replaces its own load, and no micro-batch lists or reads another.
 
 ``upsert_latest`` keeps the staging rule (latest valid row wins per symbol and
 date); because that rule picks a maximum under a total order, folding batches
@@ -18,7 +18,10 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from bisect import bisect_left
 from collections.abc import Sequence
+from contextlib import contextmanager
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -26,12 +29,13 @@ from pyspark.sql import types as T
 
 from tickerlake import schema as S
 from tickerlake.operators import marts, staging
-from tickerlake.session import Cut, checkpoint_root
+from tickerlake.session import Cut, checkpoint_root, together
 from tickerlake.sources.csv import tag_lines
-from tickerlake.sources.tables import check_layout, read_table, replace_partitions, table_exists
+from tickerlake.sources.tables import check_layout, load_into, on_dates, read_table, replace_partitions, stored_dates, table_exists
 
 FILES_PER_BATCH = 1000    # landed files in a micro-batch; the rest wait for the next one
 LOOKBACK_ROWS = S.SLOW_MA_ROWS   # earlier bars a mart row needs: 29 of the frame, and one for its LAG
+SPANS = 64                # ranges of dates that a refresh reads, at most
 LOOKBACK_DAYS = 120       # read at first; symbols with too few bars in them are read whole
 
 
@@ -57,31 +61,12 @@ def gate_reasons() -> Column:
     return F.filter(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules]), lambda x: x.isNotNull())
 
 
-def _add_files(spark: SparkSession, rows: DataFrame, target: str, tag: str) -> int:
-    """Add ``rows`` to the plain table ``target`` in files named by ``tag``,
-    replacing files of that name. Returns the rows written."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    own = f"{target.rstrip('/')}/_adding-{tag}"
-    rows.write.mode("overwrite").parquet(own)
-    fs = path(target).getFileSystem(conf)
-    for f in fs.listStatus(path(target)):
-        if f.getPath().getName().startswith(f"{tag}-"):
-            fs.delete(f.getPath(), False)
-    n = spark.read.schema(rows.schema).parquet(own).count()
-    for f in fs.listStatus(path(own)):
-        name = f.getPath().getName()
-        if name.startswith("part-"):
-            fs.rename(f.getPath(), path(f"{target.rstrip('/')}/{tag}-{name}"))
-    fs.delete(path(own), True)
-    return n
-
-
 def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint: str | None = None,
                      archive: str | None = None, schema: T.StructType = S.RAW_BAR_SCHEMA,
                      quarantine: str | None = None, gate: bool = True, on_bad: str = "quarantine",
                      files_per_batch: int = FILES_PER_BATCH) -> int:
-    """Append every not-yet-seen landed file to the bronze Parquet table.
+    """Append every not-yet-seen landed file to the bronze Parquet table,
+    which is kept by load (``tables.load_into``), a load per micro-batch.
 
     A line with the wrong number of fields, a value that does not parse, or
     (with ``gate``) a row that the load gate refuses does not enter bronze: it
@@ -96,15 +81,14 @@ def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint:
     added: dict[int, int] = {}
 
     def load(lines: DataFrame, epoch: int) -> None:
-        own = lines.sparkSession
         reasons = F.concat("reasons", F.when(F.size("reasons") == 0, gate_reasons()).otherwise(F.array().cast("array<string>"))) if gate else F.col("reasons")
         with Cut(lines.withColumn("reasons", reasons), "landed") as tagged:
             bad = tagged.filter(F.size("reasons") > 0).select("raw_line", "reasons")
             if on_bad == "fail" and not bad.isEmpty():
                 raise ValueError(f"landed lines refused, the first: {bad.first().asDict()}")
             good = tagged.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
-            added[epoch] = _add_files(own, good, bronze, f"{run}-{epoch}")
-            _add_files(own, bad, quarantine, f"{run}-{epoch}")
+            added[epoch] = load_into(good, bronze, f"{run}-{epoch}")
+            load_into(bad, quarantine, f"{run}-{epoch}")
 
     q = (landing_stream(spark, landing, schema, archive=archive, files_per_batch=files_per_batch)
          .writeStream.foreachBatch(load)
@@ -180,7 +164,7 @@ def stream_upsert(spark: SparkSession, landing: str, target: str, checkpoint: st
                 raise ValueError(f"landed lines refused, the first: {bad.first().asDict()}")
             good = tagged.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
             upsert_into(own, target, good, order_fn() if order_fn else None, keep)
-            _add_files(own, bad, quarantine, f"{run}-{epoch}")
+            load_into(bad, quarantine, f"{run}-{epoch}")
 
     q = (stream.writeStream.foreachBatch(fold)
          .option("checkpointLocation", checkpoint)
@@ -243,19 +227,110 @@ def changed_features(staged: DataFrame, changes: DataFrame, lookback_days: int =
     return features.join(changes, "symbol").filter(F.col("date") >= F.col("since")).drop("since")
 
 
-def refresh_mart_tables(spark: SparkSession, staging_table: str, mart_tables: dict[str, str], changes: DataFrame) -> None:
-    """X5 for stored marts partitioned by ``date``: recompute what the changes
-    reach, and rewrite only the dates on which that is, once."""
-    features = changed_features(read_table(spark, staging_table), changes)
-    if features is None:
+# --- what a change reaches ----------------------------------------------------
+
+def changed_cells(batch: DataFrame, reach: int = LOOKBACK_ROWS) -> DataFrame:
+    """(symbol, date, reach): the bars that ``batch`` can change. A bar changes
+    itself and the marts of its symbol's next ``reach`` bars: it lies in the frames
+    of 29 of them, and the 30th looks back on the average before."""
+    return staging.valid(batch).select("symbol", "date").distinct().withColumn("reach", F.lit(reach))
+
+
+def _spans(changed: Sequence[dt.date], stored: Sequence[dt.date], around: int, most: int = SPANS) -> list[tuple[int, int]]:
+    """Ranges (first, last place in ``stored``) of ``around`` dates before and
+    after each changed one; ranges that meet are one, and the nearest ones are
+    joined until there are ``most``."""
+    spans: list[list[int]] = []
+    for d in changed:
+        at = bisect_left(stored, d)
+        low, high = max(0, at - around), min(len(stored) - 1, at + around)
+        if spans and low <= spans[-1][1] + 1:
+            spans[-1][1] = max(high, spans[-1][1])
+        else:
+            spans.append([low, high])
+    while len(spans) > most:
+        k = min(range(1, len(spans)), key=lambda i: spans[i][0] - spans[i - 1][1])
+        spans[k - 1][1] = spans.pop(k)[1]
+    return [(a, b) for a, b in spans]
+
+
+def _span_features(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """``series_features`` of the reached bars among ``rows`` (staged columns,
+    span, opens, ends: whether the span begins or ends with the table), with
+    ``whole``: the span held all bars that its reached ones look back on, and
+    all that its changes reach. Each span of a symbol is a series of its own."""
+    marked = rows.join(cells.groupBy("symbol", "date").agg(F.max("reach").alias("_reach")), ["symbol", "date"], "left")
+    keyed = marked.withColumns({"_symbol": F.col("symbol"), "symbol": F.concat(F.col("span").cast("string"), F.lit("\u0000"), F.col("symbol"))})
+    series, every = Window.partitionBy("symbol").orderBy("date"), Window.partitionBy("symbol")
+    ranked = keyed.withColumn("_at", F.row_number().over(series))
+    until = F.max(F.col("_at") + F.col("_reach")).over(series.rowsBetween(Window.unboundedPreceding, 0))
+    reached = marts.series_features(ranked.withColumn("_until", until)).withColumn("_hit", F.coalesce(F.col("_at") <= F.col("_until"), F.lit(False)))
+    first, last = F.min(F.when(F.col("_hit"), F.col("_at"))).over(every), F.max("_until").over(every)
+    whole = (F.col("opens") | (first > LOOKBACK_ROWS)) & (F.col("ends") | (last <= F.count(F.lit(1)).over(every)))
+    return (reached.withColumn("whole", whole).filter("_hit").withColumn("symbol", F.col("_symbol"))
+            .drop("_symbol", "_at", "_until", "_reach", "_hit", "span", "opens", "ends"))
+
+
+@contextmanager
+def reached_features(staged: DataFrame, cells: DataFrame, stored: Sequence[dt.date], around: int = 2 * LOOKBACK_ROWS):
+    """``series_features`` of exactly the bars that ``cells`` (symbol, date,
+    reach) reach, as a table for the block; None if nothing changed.
+
+    Read are the partitions up to ``around`` stored dates before and after the
+    changed dates; a symbol that has too few bars there is read whole, in a
+    second pass over such symbols alone. The changed dates come to the driver:
+    at most one per trading day.
+    """
+    changed = sorted(r["date"] for r in cells.select("date").distinct().collect() if stored and stored[0] <= r["date"] <= stored[-1])
+    if not changed:
+        yield None
         return
-    with Cut(features, "features") as rows:
-        dates = rows.select("date").distinct()
-        for name, fresh in marts.marts_from_features(rows).items():
+    rows = staged.select(*S.STAGED_COLUMNS)
+    spans = _spans(changed, stored, around)
+    span = F.lit(None).cast("int")
+    for k, (low, _) in enumerate(spans):
+        span = F.when(F.col("date") >= F.lit(stored[low]), k) if not k else F.when(F.col("date") >= F.lit(stored[low]), k).otherwise(span)
+    inside = F.lit(False)
+    for low, high in spans:
+        inside = inside | F.col("date").between(F.lit(stored[low]), F.lit(stored[high]))
+    near = rows.filter(inside)
+    edge = lambda names: F.col("span").isin(names) if names else F.lit(False)
+    near = (near.withColumn("span", span)
+            .withColumns({"opens": edge([k for k, s in enumerate(spans) if s[0] == 0]), "ends": edge([k for k, s in enumerate(spans) if s[1] == len(stored) - 1])})
+            .join(cells.select("symbol").distinct(), "symbol", "left_semi"))
+    with Cut(_span_features(near, cells), "features") as first:
+        short = first.filter(~F.col("whole")).select("symbol").distinct()
+        if short.isEmpty():
+            yield first.drop("whole")
+            return
+        all_dates = rows.join(short, "symbol", "left_semi").withColumns({"span": F.lit(0), "opens": F.lit(True), "ends": F.lit(True)})
+        with Cut(_span_features(all_dates, cells), "features") as second:
+            yield first.join(short, "symbol", "left_anti").unionByName(second).drop("whole")
+
+
+def refresh_mart_tables(spark: SparkSession, staging_table: str, mart_tables: dict[str, str], cells: DataFrame) -> list[dt.date]:
+    """X5 for stored marts partitioned by ``date``: recompute the bars that
+    ``cells`` reach, and rewrite only their dates, once. Returns those dates."""
+    stored = stored_dates(spark, staging_table)
+    with reached_features(read_table(spark, staging_table), cells, stored) as rows:
+        if rows is None:
+            return []
+        dates = sorted(r["date"] for r in rows.select("date").distinct().collect())     # a trading day each
+        again = rows.select("symbol", "date")
+
+        def rewrite(name: str, fresh: DataFrame) -> None:
             target = mart_tables[name]
             check_layout(spark, target, "date")
-            stored = read_table(spark, target).select(*fresh.columns).join(dates, "date", "left_semi").select(*fresh.columns)
-            kept = (stored.join(changes, "symbol", "left")
-                    .filter(F.col("since").isNull() | (F.col("date") < F.col("since"))).select(*fresh.columns))
+            kept = (on_dates(read_table(spark, target), dates).select(*fresh.columns)
+                    .join(again, ["symbol", "date"], "left_anti").select(*fresh.columns))
             with Cut(kept.unionByName(fresh), name) as new:
                 replace_partitions(new, target, "date", ("symbol",))
+
+        together(*[partial(rewrite, name, fresh) for name, fresh in marts.marts_from_features(rows).items()])
+        return dates
+
+
+def reached_dates(spark: SparkSession, staging_table: str, cells: DataFrame) -> list[dt.date]:
+    """The dates of the bars that ``cells`` reach."""
+    with reached_features(read_table(spark, staging_table), cells, stored_dates(spark, staging_table)) as rows:
+        return [] if rows is None else sorted(r["date"] for r in rows.select("date").distinct().collect())
