@@ -34,6 +34,20 @@ def test_encoder_equals_library():
     assert [np.frombuffer(x, "<u2").tolist() for x in enc.encode(NASTY)] == [x[:-1] for x in reference(NASTY)]
 
 
+def test_encoder_equals_library_on_random_unicode():
+    """Capitals, marks, Hangul, Indic and other letters, punctuation, in all mixtures."""
+    rng = np.random.default_rng(12)
+    pools = [range(0x41, 0x5B), range(0x61, 0x7B), range(0xC0, 0x250), range(0x300, 0x345), range(0x900, 0x980), range(0xAC00, 0xAC80),
+             range(0x1100, 0x1200), range(0x370, 0x530), range(0x1E00, 0x1F00), range(0x21, 0x41), range(0x2000, 0x2070), range(0x1F600, 0x1F640), [32]]
+    texts = []
+    for _ in range(20_000):
+        some = rng.choice(len(pools), 3)
+        texts.append("".join(chr(int(rng.choice(pools[some[k]]))) for k in rng.integers(0, 3, rng.integers(1, 9))))
+    texts += ["J\u030c H\u0331 T\u0308 W\u030a Y\u030a", "\u0130;", "A\u030a.", "I\u0307,x"]
+    enc = token_files.WordEncoder(tokenizer_path(), False)
+    assert [np.frombuffer(x, "<u2").tolist() for x in enc.encode(texts)] == [x[:-1] for x in reference(texts)]
+
+
 def test_encoder_when_memory_is_emptied(monkeypatch):
     monkeypatch.setattr(token_files, "CACHE_WORDS", 3)
     enc = token_files.WordEncoder(tokenizer_path(), False)

@@ -32,7 +32,7 @@ from tickerlake.llm.common import partitions, process_cache, scratch, slices, wr
 
 NULL_ID = -(1 << 63)
 CACHE_WORDS = 600_000     # remembered words per worker process, then it starts anew
-_SIMPLE = re.compile(rb"([a-z\x80-\xff]+)([.,!?;:]*)\Z")
+_SIMPLE = re.compile(rb"([a-z]+)([.,!?;:]*)\Z")
 
 
 def open_fs(uri: str):
@@ -49,9 +49,10 @@ class WordEncoder:
 
     The tokenizer drops white space, so a text's ids are those of its
     blank-separated words in order; each word is encoded by the library once
-    and remembered. ASCII capitals are lowered first, as the tokenizer would,
-    unless the text holds a special token's opening. A word of letters with
-    trailing punctuation is two words.
+    and remembered. A word of ASCII alone is lowered first, as the tokenizer
+    would, and one of letters with trailing punctuation is two words. A word with any
+    other character, or with a special token's opening, goes to the library as it
+    stands: normalisation composes a capital and a mark before it lowers them.
     """
 
     def __init__(self, path: str, wide: bool):
@@ -72,20 +73,26 @@ class WordEncoder:
     def learn(self, new: list[bytes]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        plain, rest = {}, []
+        parts: dict[bytes, tuple[bytes, ...]] = {}
+        cores, rest = {}, []
         for word in new:
-            m = _SIMPLE.match(word)
-            core = m[1].decode() if m else ""
-            if m and core.isalpha():
-                plain[m[1]] = core
-                if m[2]:
-                    rest.append(m[2])
-            else:
+            if not word.isascii() or b"<|" in word:
+                parts[word] = (word,)
                 rest.append(word)
-        cores = [w for w in plain if w not in self.words]
+                continue
+            low = word.lower()
+            m = _SIMPLE.match(low)
+            if m:
+                cores[m[1]] = None
+                parts[word] = (m[1], m[2]) if m[2] else (m[1],)
+                rest += [m[2]] if m[2] else []
+            else:
+                parts[word] = (low,)
+                rest.append(low)
+        cores = [w for w in cores if w not in self.words]
         # All cores in one text, each ended by its own word-end token.
         if cores:
-            ids = np.asarray(self.tok.encode("\n".join(plain[w] for w in cores), add_special_tokens=False).ids, self.kind)
+            ids = np.asarray(self.tok.encode(b"\n".join(cores).decode(), add_special_tokens=False).ids, self.kind)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(cores):
                 at = 0
@@ -95,19 +102,14 @@ class WordEncoder:
             else:
                 rest += cores
         rest = [w for w in dict.fromkeys(rest) if w not in self.words]
-        texts = [w.decode() for w in rest]
-        for word, e in zip(rest, self.tok.encode_batch(texts, add_special_tokens=False)):
+        for word, e in zip(rest, self.tok.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
             self.words[word] = self.pack(e.ids)
-        for word in new:
+        for word, own in parts.items():
             if word not in self.words:
-                m = _SIMPLE.match(word)
-                self.words[word] = self.words[m[1]] + self.words[m[2]]
+                self.words[word] = b"".join([self.words[p] for p in own])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for text in texts:
-            raw = (text or "").encode()
-            split.append((raw if b"<|" in raw else raw.lower()).split())
+        split = [(text or "").encode().split() for text in texts]
         known = self.words
         missing = list({w for ws in split for w in ws if w not in known})
         if missing:
