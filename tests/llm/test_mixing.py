@@ -112,3 +112,21 @@ def test_query(spark):
         s = sums.setdefault(rows[r.doc_id].source, [0, r.target])
         s[0] += r.taken
     assert all(abs(a - b) <= 1 for a, b in sums.values())
+
+
+def test_shared_draws_equal_each_shards_own():
+    quotas = np.array([1000, 37, 0, 501, 4])
+    for first, last in ((0, 193), (5, 6), (17, 90), (192, 400)):
+        got = list(mixing.counts_between(first, last, quotas, 8, 5))
+        assert [s for s, _, _ in got] == list(range(first, min(last, 193)))
+        for s, before, here in got:
+            want = mixing.shard_counts(s, quotas, 8, 5)
+            assert (before == want[0]).all() and (here == want[1]).all()
+
+
+def test_slots_and_documents_meet_without_a_broadcast(spark):
+    _, spans = mixing.mix(docs_of(spark, [(i, "some words of a text " * 50, f"s{i % 2}") for i in range(40)]))
+    plan = spans._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    slots = plan[plan.index("SortMergeJoin"):]
+    assert "BroadcastHashJoin" not in slots[:slots.index("MapInArrow")]

@@ -55,7 +55,8 @@ HOT_SETS = 16             # sets an n-gram is shared by, at least, to be one of
 BLOCK = 512               # sets of a bucket compared at once, per side
 WIDE, SMALL = 1 << 14, 512  # bits of a wide parity; sets up to this size have none
 BROADCAST_IDS = 1_000_000  # ids broadcast at most; beyond, a shuffle join
-SLICE = 1 << 20           # bytes of text made into n-grams at once
+SLICE = 1 << 19           # bytes of text made into n-grams at once
+SEEN = 100_000            # sets that a task remembers; then it starts anew, and some come twice
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 
 
@@ -173,10 +174,12 @@ def shared_grams(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     if len(grams):
                         own = fingerprint(grams)
                         if own not in seen:
+                            if len(seen) >= SEEN:
+                                seen.clear()
                             seen.add(own)
                             held.append(grams[:2 * prefix_length(len(grams), percent, SUBSET)])
                             size += len(held[-1])
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield counted()
                     held, size = [], 0
         if held:
@@ -217,6 +220,8 @@ def profile(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int, wo
                     fresh = len(grams) > 0 and node[-1] not in seen
                     bits.append(parity(grams) if len(grams) else None)
                     if fresh:
+                        if len(seen) >= SEEN:
+                            seen.clear()
                         seen.add(node[-1])
                     sigs.append(_signed(signatures(grams, hot, rank, percent, boundary)) if fresh else None)
                 yield pa.RecordBatch.from_pydict({

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import extended, ordered_prefix_sums, partitions, slices, utf8, word_spans
+from tickerlake.llm.common import extended, ordered_prefix_sums, partitions, slices, small_batches, utf8, word_spans, written
 
 BLOCK_WORDS = 256
 SHARD_BLOCKS = 64
@@ -39,18 +39,21 @@ WEIGHTS = (5, 2, 1)        # of the sources in order, repeating
 
 
 def with_word_count(docs: DataFrame, text: str = "text", name: str = "size") -> DataFrame:
-    """Adds the number of words ``[^\\x20\\x09-\\x0D]+`` of each whole text."""
-    names, schema = docs.columns, extended(docs.schema, **{name: "long"})
+    """The columns of ``docs`` but the text, and the number of words
+    ``[^\\x20\\x09-\\x0D]+`` of each whole text; no text comes back from the workers."""
+    names = [c for c in docs.columns if c != text]
+    schema = extended(docs.drop(text).schema, **{name: "long"})
 
     def run(batches):
         for batch in batches:
             for piece in slices(batch, text):
-                data, offsets = utf8(piece.column(names.index(text)))
+                data, offsets = utf8(piece.column(text))
                 _, _, rows = word_spans(data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [*piece.columns, pa.array(np.bincount(rows, minlength=piece.num_rows).astype(np.int64))], names=[*names, name])
+                    [*(piece.column(c) for c in names), pa.array(np.bincount(rows, minlength=piece.num_rows).astype(np.int64))],
+                    names=[*names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.select(*names, text).mapInArrow(run, schema)
 
 
 def targets(sizes: list[int], weights: list[float], most: float = MOST) -> list[float]:
@@ -141,6 +144,22 @@ def shard_counts(shard: int, quotas: np.ndarray, shard_blocks: int, seed: int) -
     return before, left
 
 
+def counts_between(first: int, last: int, quotas: np.ndarray, shard_blocks: int, seed: int):
+    """``shard_counts`` of the shards first <= shard < last, in order; the
+    draws that they have in common are made once."""
+    todo = [(0, -(-int(quotas.sum()) // shard_blocks), quotas.copy(), np.zeros_like(quotas))]
+    while todo:
+        lo, hi, left, before = todo.pop()
+        if hi <= first or lo >= last:
+            continue
+        if hi - lo == 1:
+            yield lo, before, left
+            continue
+        mid = (lo + hi) // 2
+        half = _draw(_rng(seed, lo, hi), left, (mid - lo) * shard_blocks)
+        todo += [(mid, hi, left - half, before + half), (lo, mid, half, before)]
+
+
 def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
     """A pseudorandom permutation of 0..size-1 at ``index``: four Feistel
     rounds over the next even power of two, walked until inside."""
@@ -210,9 +229,9 @@ class Plan:
             if x < n:
                 return x
 
-    def slots_of(self, shard: int, shard_blocks: int):
-        """(source, slot, pass, block, words) of a shard's slots."""
-        before, here = shard_counts(shard, np.array(self.quota, np.int64), shard_blocks, self.seed)
+    def slots_of(self, before: np.ndarray, here: np.ndarray):
+        """(source, slot, pass, block, words) of a shard's slots: ``here`` of each
+        source, after the ``before`` of earlier shards."""
         for s in np.flatnonzero(here):
             j = np.arange(before[s], before[s] + here[s])
             n, block, size = self.blocks[s], self.block, self.sizes[s]
@@ -240,8 +259,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
     keep = [id_col, source]
     inner = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)],
                         F.col(f"`{source}`").alias("_source"), F.col(f"`{text}`").alias("_text"))
-    sized = with_word_count(inner, "_text", "_size").withColumn("_order", F.xxhash64("_text", F.lit(seed), *[
-        F.col(f"c{i}") for i in range(len(keep))])).drop("_text")
+    told = inner.withColumn("_order", F.xxhash64("_text", F.lit(seed), *[F.col(f"c{i}") for i in range(len(keep))]))
+    with small_batches(spark):                 # texts are read once; sizes and keys are what is dealt by ranges
+        sized = written(with_word_count(told, "_text", "_size"), "mix-sizes")
     others = [f"c{i}" for i in range(len(keep))]
     rows = ordered_prefix_sums(sized, ["_source"], ["_order", *others], "_size", "mix-rows")
     # One row per source: the table that a mix is stated in.
@@ -259,8 +279,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
 
     def run(batches):
         for batch in batches:
-            for shard in batch.column("id").to_pylist():
-                for s, j, turn, block, words in plan.slots_of(shard, shard_blocks):
+            ids = batch.column("id").to_pylist()          # a run of shards
+            for shard, before, here in counts_between(ids[0], ids[-1] + 1, np.array(plan.quota, np.int64), shard_blocks, seed) if ids else ():
+                for s, j, turn, block, words in plan.slots_of(before, here):
                     yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (
                         np.full(len(j), shard), s, j, turn, block, words)],
                         names=["shard", "source_no", "slot", "turn", "block", "words"])
@@ -274,7 +295,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: s
         "rid", "source_no", "start", "_size",
         F.explode(F.sequence(F.floor(first / block_words), F.floor((first + F.col("_size") - 1) / block_words))).alias("block"))
     at = F.col("block") * block_words
-    met = slots.join(spread, ["source_no", "block"])
+    # Both sides grow with the corpus: never a broadcast, whatever Spark makes of the range's size.
+    met = slots.hint("merge").join(spread, ["source_no", "block"])
     begin, end = F.greatest(at, first), F.least(at + F.col("words"), first + F.col("_size"))
     spans = met.where(begin < end).select("shard", "source_no", "slot", "turn", "rid",
                                           (begin - first).alias("first"), (end - first).alias("last"))

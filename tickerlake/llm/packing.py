@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import written
+from tickerlake.llm.common import small_batches, written
 from tickerlake.llm.mixing import with_word_count
 
 CAPACITY = 2048           # words of a bin
@@ -153,5 +153,7 @@ def pack_documents(docs: DataFrame, source: str = "source", cluster=None, capaci
     """Pieces of ``docs`` (rid, doc_id, text, ...) in bins; rid is unique.
     ``cluster``: a column of duplicate clusters; by default equal texts."""
     same = F.when(F.length("text") > 0, F.xxhash64("text")) if cluster is None else cluster
-    rows = with_word_count(docs.select("rid", "doc_id", F.col(f"`{source}`").cast("string").alias("source"), same.alias("cluster"), "text"))
-    return pack(written(rows.drop("text"), "pack-sizes"), capacity, group_pieces, one_per_source)
+    told = docs.select("rid", "doc_id", F.col(f"`{source}`").cast("string").alias("source"), same.alias("cluster"), "text")
+    with small_batches(docs.sparkSession):
+        sizes = written(with_word_count(told), "pack-sizes")
+    return pack(sizes, capacity, group_pieces, one_per_source)
