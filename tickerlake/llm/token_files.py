@@ -32,7 +32,11 @@ from tickerlake.llm.common import partitions, process_cache, scratch, slices, wr
 
 NULL_ID = -(1 << 63)
 CACHE_WORDS = 600_000     # remembered words per worker process, then it starts anew
-_SIMPLE = re.compile(rb"([a-z]+)([.,!?;:]*)\Z")
+# Letters that normalisation leaves alone and whose lower case is one letter
+# whatever stands beside them (so not U+0130), then punctuation.
+_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:]*)")
+# What keeps a text from being lowered as a whole before it is cut into words.
+_UNSAFE = re.compile("[\u0130\u0250-\u200f\u2028-\u20ab\u20ad-\U0010ffff]|<\\|")
 
 
 def open_fs(uri: str):
@@ -49,10 +53,11 @@ class WordEncoder:
 
     The tokenizer drops white space, so a text's ids are those of its
     blank-separated words in order; each word is encoded by the library once
-    and remembered. A word of ASCII alone is lowered first, as the tokenizer
-    would, and one of letters with trailing punctuation is two words. A word with any
-    other character, or with a special token's opening, goes to the library as it
-    stands: normalisation composes a capital and a mark before it lowers them.
+    and remembered. Texts of Latin letters without marks are lowered first, as the
+    tokenizer would; a word of such letters with trailing punctuation is two
+    words. Texts with any other character keep their capitals, as normalisation
+    composes a capital and a mark before it lowers them; such words go to the library
+    as they stand.
     """
 
     def __init__(self, path: str, wide: bool):
@@ -76,19 +81,18 @@ class WordEncoder:
         parts: dict[bytes, tuple[bytes, ...]] = {}
         cores, rest = {}, []
         for word in new:
-            if not word.isascii() or b"<|" in word:
-                parts[word] = (word,)
-                rest.append(word)
-                continue
-            low = word.lower()
-            m = _SIMPLE.match(low)
+            m = _SIMPLE.fullmatch(word.decode())
             if m:
-                cores[m[1]] = None
-                parts[word] = (m[1], m[2]) if m[2] else (m[1],)
-                rest += [m[2]] if m[2] else []
+                core, tail = m[1].lower().encode(), m[2].encode()
+                cores[core] = None
+                if tail:
+                    parts[word] = core, tail
+                    rest.append(tail)
+                elif core != word:
+                    parts[word] = (core,)
             else:
-                parts[word] = (low,)
-                rest.append(low)
+                parts[word] = (word,)
+                rest.append(word)
         cores = [w for w in cores if w not in self.words]
         # All cores in one text, each ended by its own word-end token.
         if cores:
@@ -109,7 +113,10 @@ class WordEncoder:
                 self.words[word] = b"".join([self.words[p] for p in own])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(text or "").encode().split() for text in texts]
+        split = []
+        for text in texts:
+            text = text or ""
+            split.append((text if _UNSAFE.search(text) else text.lower()).encode().split())
         known = self.words
         missing = list({w for ws in split for w in ws if w not in known})
         if missing:
