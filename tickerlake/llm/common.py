@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from tickerlake.session import ensure_checkpoint_dir, scratch_path
+from tickerlake.session import ensure_checkpoint_dir, remove, scratch_path
 
 SLICE_BYTES = 4 << 20  # text handled at once inside a task
 
@@ -39,14 +39,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_passing: list[list[str]] = []       # paths written inside each open ``passing`` block
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: the lineage is
-    cut, and everything after it sees the same rows, whatever is lost."""
+    cut, and everything after it sees the same rows, whatever is lost. Inside
+    ``passing`` it goes at the end of the block, unless it is to ``keep``."""
     path = scratch(df.sparkSession, name)
+    if _passing and not keep:
+        _passing[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing(spark: SparkSession):
+    """What is ``written`` inside the block serves only the block: its files are
+    deleted at the end. A result is written with ``keep``."""
+    _passing.append([])
+    try:
+        yield
+    finally:
+        for path in _passing.pop():
+            remove(spark, path)
+
+
 @contextmanager
 def small_batches(spark: SparkSession, size: str = "8m"):
     """Arrow batches of about ``size`` for what runs inside the block: tasks

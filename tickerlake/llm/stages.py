@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerlake.llm import jaccard_join, mixing, packing, quality, toxicity
-from tickerlake.llm.common import cut_words, fresh, slices, written
+from tickerlake.llm.common import cut_words, fresh, passing, slices, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOXIC_FROM = 0.5
@@ -52,8 +52,9 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     similarity of 0.8 or more) the document with the smallest number."""
     key = fresh(docs, "_key")
     rows = keyed(docs, key)
-    groups = jaccard_join.similar_documents(rows, key, "text", words=5, percent=80)
-    gone = written(groups.where(F.col(key) != F.col("component_id")).select(key), "copies")
+    with passing(spark):
+        groups = jaccard_join.similar_documents(rows, key, "text", words=5, percent=80)
+        gone = written(groups.where(F.col(key) != F.col("component_id")).select(key), "copies", keep=True)
     few = gone.count() <= jaccard_join.BROADCAST_IDS
     return rows.join(F.broadcast(gone) if few else gone, key, "left_anti").drop(key)
 
