@@ -16,11 +16,11 @@ import uuid
 
 from tickerlake import schema as S
 from tickerlake.functions.timeutil import ntz
-from tickerlake.operators import ingest, marts, privacy, quality, reports, staging
+from tickerlake.operators import ingest, marts, privacy, quality, reports, sketches, staging
 from tickerlake.plans.boundary import to_plain_types
 from tickerlake.plans.daily_run import run_daily
 from tickerlake.session import ensure_checkpoint_dir, scratch_path
-from tickerlake.sources import csv, tables
+from tickerlake.sources import csv, retention, tables
 from tickerlake.streaming import refresh
 from tickerlake.sources.testbeds import event_bars, flag_bars, raw_bars, raw_bars_order, table
 
@@ -762,3 +762,32 @@ def q_reconcile_content(spark, sf_dir):
                                 "high": F.when(day == 4, F.col("open")).otherwise(F.col("high"))})
               .withColumn("_n", F.explode(F.array_repeat(F.lit(0), copies))).drop("_n"))
     return quality.reconcile_content(bars, loaded, bars.columns)
+
+
+@query("profile_sketched")
+def q_profile_sketched(spark, sf_dir):
+    """S9 from sketches of each date, and whether they keep their stated bounds
+    against the exact figures."""
+    staged = staged_bars(spark, sf_dir)
+    got = sketches.profile_of_sketches(sketches.partition_sketches(staged))
+    est = got.first()
+    price = F.col("close_price").cast("double")
+    near = lambda q: F.abs(F.avg((price <= F.lit(est[f"quantile_{q}"])).cast("double")) - F.lit(q / 100))
+    # A rank by "not above" also counts the rows that share the estimate's value.
+    same = lambda q: F.avg((price == F.lit(est[f"quantile_{q}"])).cast("double"))
+    return staged.agg(F.lit(est["row_count"]).alias("row_count"), F.lit(est["first_date"]).alias("first_date"), F.lit(est["last_date"]).alias("last_date"),
+                      (F.abs(F.lit(est["distinct_estimate"]) - F.count_distinct("symbol")) <= sketches.DISTINCT_ERROR * F.count_distinct("symbol"))
+                      .alias("symbols_within"),
+                      *[(near(q) <= sketches.RANK_ERROR + same(q)).alias(f"quantile_{q}_within") for q in (25, 50, 75)])
+
+
+@query("retention_stored")
+def q_retention_stored(spark, sf_dir):
+    """X3 on a stored table: events by date, archived twice at a cutoff at noon."""
+    target, archive = scratch(spark, "events"), scratch(spark, "archive")
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", F.col("ts").cast("date").alias("date"))
+    tables.publish_table(ev, target, sort=("date", "event_id"), partition_by="date")
+    for _ in range(2):
+        retention.archive_dates(spark, target, archive, RETENTION_AS_OF + dt.timedelta(hours=12), S.RETENTION_DAYS, "ts")
+    read = lambda path, old: tables.read_table(spark, path).select("event_id", "ts", F.lit(old).alias("archived"))
+    return read(target, False).unionByName(read(archive, True))

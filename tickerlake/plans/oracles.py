@@ -531,3 +531,8 @@ SELECT s.pipeline_run_id, s.date, CAST(e AS BIGINT) AS extracted_rows, CAST(l AS
     WHEN coalesce(x.n, 0) = 0 THEN 'partial' WHEN coalesce(m.n, 0) = 0 THEN 'surplus' ELSE 'differs' END AS status
 FROM sides s LEFT JOIN missing m ON s.pipeline_run_id IS NOT DISTINCT FROM m.pipeline_run_id AND s.date IS NOT DISTINCT FROM m.date
 LEFT JOIN extra x ON s.pipeline_run_id IS NOT DISTINCT FROM x.pipeline_run_id AND s.date IS NOT DISTINCT FROM x.date"""
+
+ORACLES["profile_sketched"] = STAGED_BASE + """SELECT count(*) AS row_count, min(date) AS first_date, max(date) AS last_date,
+  true AS symbols_within, true AS quantile_25_within, true AS quantile_50_within, true AS quantile_75_within FROM staged"""
+ORACLES["retention_stored"] = """SELECT event_id, ts,
+  coalesce(ts < TIMESTAMP '2024-01-31 12:00:00' - INTERVAL 7 DAY, false) AS archived FROM events"""

@@ -165,7 +165,8 @@ def stored_dates(spark: SparkSession, target: str) -> list[dt.date]:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = [f.getPath().getName() for f in fs.listStatus(path)]
-    return sorted(dt.date.fromisoformat(n.removeprefix("date=")) for n in names if n.startswith("date="))
+    return sorted(dt.date.fromisoformat(n.removeprefix("date=")) for n in names
+                  if n.startswith("date=") and n != "date=__HIVE_DEFAULT_PARTITION__")
 
 
 def on_dates(df: DataFrame, dates: Sequence[dt.date], column: str = "date") -> DataFrame:
