@@ -20,7 +20,8 @@ def plan(df) -> str:
 # writers are planned in the tests below.
 WRITERS = {"read_csv_roundtrip", "quarantine_malformed", "quarantine_good", "csv_export_roundtrip", "bronze_append", "bronze_replace",
            "publish_mart", "stream_ingest", "stream_quarantine", "bronze_mixed", "layer_tables", "table_profile", "daily_refresh",
-           "daily_refresh_layers", "daily_refresh_incremental", "daily_refresh_staging"}
+           "daily_refresh_layers", "daily_refresh_incremental", "daily_refresh_staging", "daily_refresh_recovered", "refresh_late_bar",
+           "dq_suite_incremental", "layer_summary_incremental", "retention_stored"}
 # JSON text of any shape is scanned in Arrow batches.
 ARROW = {"redact_map", "redact_nested"}
 
@@ -31,7 +32,7 @@ def test_no_python_udf_and_no_unpartitioned_window(spark, name):
     assert "PythonUDF" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p
     assert "SinglePartition" not in p or name in {"dq_required_columns", "dq_null_counts", "dq_ohlc",
                                                   "dq_batch_gate", "dq_not_null", "dq_expression",
-                                                  "dq_suite", "table_profile", "layer_summary",
+                                                  "dq_suite", "table_profile", "profile_sketched", "layer_summary",
                                                   "business_days", "top_gainers", "sample_rows"}
 
 
