@@ -3,6 +3,8 @@ distributed prefix sums and connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import tempfile
 import types
@@ -78,6 +80,17 @@ def small_batches(spark: SparkSession, size: str = "8m"):
         spark.conf.set(name, before)
 
 
+def give_back() -> None:
+    """Hand memory that this worker process no longer uses back to the system:
+    workers live on from stage to stage, and allocators keep what was freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # not this C library
+        pass
+
+
 def process_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker process."""
     holder = sys.modules.setdefault("_tickerlake_process", types.ModuleType("_tickerlake_process"))

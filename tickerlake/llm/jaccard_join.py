@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import connected_components, lower_ascii, mix64, process_cache, slices, small_batches, utf8, word_spans, written
+from tickerlake.llm.common import connected_components, give_back, lower_ascii, mix64, process_cache, slices, small_batches, utf8, word_spans, written
 
 WORDS = 5
 PERCENT = 80
@@ -161,6 +161,7 @@ def shared_grams(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(gram, sets): n-grams at the start of sets in hash order, those that
     several sets of a task share, with the number of sets."""
     def run(batches):
+        give_back()
         seen, held, size = set(), [], 0
 
         def counted():
@@ -210,6 +211,7 @@ def profile(docs: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int, wo
     """(doc_id, n, node, parity, sigs) of each document. ``sigs`` of a set
     that the task has met before are left out: equal sets share them."""
     def run(batches):
+        give_back()
         seen = set()
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
@@ -241,6 +243,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, pe
     texts = docs.join(side, docs["doc_id"].eqNullSafe(ids["doc_id"])).select("wanted", "text")
 
     def sets(batches):
+        give_back()
         for batch in batches:
             for piece in slices(batch, "text", SLICE):
                 grams = list(shingle_rows(piece.column("text"), words))
@@ -270,6 +273,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, reps: DataFrame, words: int, pe
             .join(held.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b"))
 
     def compare(batches):
+        give_back()
         for batch in batches:
             good = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
@@ -332,6 +336,7 @@ def _meetings(cells: DataFrame, percent: int, every: bool) -> DataFrame:
 
     def run(batches):
         """Rows come sorted by cell; a cell is at most two blocks."""
+        give_back()
         held = None
         for batch in _then_none(batches):
             t = held if batch is None else pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
@@ -400,7 +405,7 @@ def links_between(docs: DataFrame, rows: DataFrame, words: int, percent: int) ->
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                       percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, "4m"):
         return _similar_documents(docs, id_col, text_col, words, percent)
 
 
