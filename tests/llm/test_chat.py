@@ -1,7 +1,9 @@
 import hashlib
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tickerlake.llm import chat
 from tickerlake.llm.queries import op8_chat_format
@@ -74,3 +76,61 @@ def test_query(spark):
     for r in rows:
         turns.setdefault(r.conv_id, []).append((r.role, r.text or ""))
     assert {k: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for k, r in got.items()} == {k: digest(v) for k, v in turns.items()}
+
+# --- against a plain window cutter ---
+
+def plain_windows(turns, budget, history, size):
+    """(new turns, repeated turns) of one conversation by a walk over its (role, text) turns."""
+    tokens = [chat.turn_tokens(r, t) for r, t in turns]
+    starts = [sum(tokens[:i]) for i in range(len(turns))]
+    lead = [0] if turns[0][0] == "system" else []
+    out, i = [], 0
+    while i < len(turns):
+        first = lead if i else []
+        room = budget - sum(tokens[k] for k in first)
+        repeated = []
+        for k in range(i - 1, -1 + len(first), -1):
+            if sum(tokens[j] for j in repeated) + tokens[k] > history or sum(tokens[j] for j in repeated) + tokens[k] + tokens[i] > room:
+                break
+            repeated.insert(0, k)
+        new = [i]
+        while new[-1] + 1 < len(turns):
+            k = new[-1] + 1
+            if starts[k] // size != starts[i] // size or sum(tokens[j] for j in repeated + new) + tokens[k] > room:
+                break
+            new.append(k)
+        out.append(([turns[k] for k in first + repeated], [turns[k] for k in new]))
+        i = new[-1] + 1
+    return out
+
+
+def windows_of(rows):
+    out = []
+    for w in sorted(rows, key=lambda w: w.first_token):
+        told = [(r, t) for r, t, _, _ in chat.parse_window(w.text)]
+        out.append((told[:w.repeated_turns], told[w.repeated_turns:]))
+    return out
+
+
+def test_windows_equal_a_plain_cutter(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", 2)                 # many blocks, also between short turns
+    rng, rows, want = random.Random(5), [], {}
+    for conv in range(30):
+        turns = [(rng.choice(["user", "assistant", "system"]), "w " * rng.choice([0, 1, 3, 8, 20, 60, 400])) for _ in range(rng.randint(1, 60))]
+        rows += [(conv, i, r, t) for i, (r, t) in enumerate(turns)]
+        want[conv] = plain_windows(turns, 50, 25, 100)
+    windows = check(spark, rows, budget=50, history_tokens=25)
+    assert {c: windows_of([w for w in windows if w.conv_id == c]) for c in want} == want
+    assert max(w.block for w in windows) > 20
+
+
+def test_a_hot_conversation_spreads_over_tasks(spark):
+    rows = spark.range(40_000).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                      F.when(F.col("id") == 0, "system").when(F.col("id") % 2 == 1, "user").otherwise("assistant").alias("role"),
+                                      F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
+    parts = chat.blocks_of(rows, chat.BUDGET, chat.HISTORY).repartition(8, "conv_id", "block").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= 3 and max(r["count"] for r in parts) < 30_000
+    windows = chat.chat_windows(rows)
+    assert windows.where("over_budget or not startswith(text, '<<SYS>>')").count() == 0
+    [got] = chat.read_back(windows).collect()
+    assert (got.n_turns, got.loss_chars) == (40_000, rows.where("role = 'assistant'").agg(F.sum(F.length("text"))).first()[0])

@@ -5,14 +5,19 @@ as ``<<SYS>> system <</SYS>>``; any other role is a tag of its own. A control
 string inside a text is escaped: every backslash is doubled and a backslash
 is put before each ``[``, ``<`` that would open one, so texts come back exactly.
 
-A window is a span of whole turns whose tokens fit the budget, found by a walk
-over a conversation's turns. It repeats the leading system turn and up to
-``history_tokens`` of whole turns before the span; repeated turns carry no
-loss. New assistant turns carry loss, so every target counts once over all
-windows. A turn longer than the budget gets a window of its own, whole.
-
-Conversations are hash-dealt by id, sorted by turn inside the task and read as
-a stream: memory holds one window and its history, never a conversation.
+Every turn gets the prefix sum of its conversation's tokens by a range-partitioned
+pass, so no task needs a whole conversation. A conversation is divided by these
+sums into blocks of some ``BLOCK`` budgets, and each block is cut into windows
+by looking its spans up in the sums: a window is a span of whole turns whose tokens fit
+the budget, repeats the leading system turn and up to ``history_tokens`` of
+whole turns before the span; repeated turns carry no loss. New assistant turns
+carry loss, so every target counts once over all windows. A turn longer than
+the budget gets a window of its own, whole. A block begins with a window of its own.
+
+Blocks are dealt by (conversation, block), with the few turns before them that
+may be history and a copy of the system turn: a conversation that holds most of all turns
+spreads over many tasks, and memory holds one block. Only the digests of
+``read_back`` are sequential, as a hash is; they stream.
 
 Defined cases: null text or role is empty; rows of a conversation come by
 (turn, role, text), nulls first; a null conv_id is a conversation like any
@@ -24,18 +29,23 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickerlake.llm.common import ordered_prefix_sums
+
 BUDGET = 512              # tokens (blank-separated words) of a window
 HISTORY = 128             # of which repeated history may take so many
-WINDOW = ("conv_id long, window int, first_turn long, new_turns int, repeated_turns int, tokens long, "
+BLOCK = 64                # budgets of a block
+WINDOW = ("conv_id long, block long, window int, first_token long, new_turns int, repeated_turns int, tokens long, "
           "over_budget boolean, text string, loss array<struct<start:long,end:long>>")
 
 OPEN = {"system": "<<SYS>>", "user": "[INST]", "assistant": "[ANS]"}
 CLOSE = {"system": "<</SYS>>", "user": "[/INST]", "assistant": "</s>"}
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+WORD = r"[^\x20\x09-\x0D]+"
+_WORD = re.compile(WORD)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 _SPECIAL = re.compile(r"[\\\[<]")
 _TURN = re.compile(r"(<<SYS>>|\[INST\]|\[ANS\]|\[ROLE (?P<role>(?:[^\\\]\[<]|\\.)*)\])(?P<text>[^\\\[<]*(?:\\.[^\\\[<]*)*)"
@@ -79,103 +89,116 @@ def turn_tokens(role: str, text: str) -> int:
     return len(_WORD.findall(text)) + 2          # two marks
 
 
-class _Windows:
-    """Cuts one conversation, given turn by turn, into windows."""
-
-    def __init__(self, conv, budget: int, history: int):
-        self.conv, self.budget, self.history = conv, budget, history
-        self.system, self.past, self.new = None, [], []
-        self.turn, self.count = 0, 0
-
-    def _tokens(self, turns) -> int:
-        return sum(t[2] for t in turns)
-
-    def _context(self) -> list:
-        """The system turn and the latest whole turns that fit the history."""
-        kept, room = [], self.history
-        for t in reversed(self.past):
-            if t[2] > room:
-                break
-            room -= t[2]
-            kept.append(t)
-        return ([self.system] if self.system else []) + kept[::-1]
-
-    def add(self, role: str, text: str):
-        t = (role, text, turn_tokens(role, text))
-        if self.new and self._tokens(self.context + self.new) + t[2] > self.budget:
-            yield self.cut()
-        if not self.new:
-            self.context = self._context()
-            while self.context and self._tokens(self.context) + t[2] > self.budget:
-                drop = 1 if self.context[0] is self.system and len(self.context) > 1 else 0
-                if self.context[drop] is self.system:
-                    break                        # the system turn stays in any case
-                self.context.pop(drop)
-        self.new.append(t)
-
-    def cut(self):
-        text, loss, at = [], [], 0
-        turns = self.context + self.new
-        for i, (role, body, _) in enumerate(turns):
-            s, a, b = format_turn(role, body)
-            if i >= len(self.context) and role == "assistant":
-                loss.append({"start": at + a, "end": at + b})
-            text.append(s)
-            at += len(s)
-        tokens = self._tokens(turns)
-        row = (self.conv, self.count, self.turn, len(self.new), len(self.context), tokens, tokens > self.budget,
-               "".join(text), loss)
-        fresh = self.new
-        if self.count == 0 and fresh[0][0] == "system":
-            self.system, fresh = fresh[0], fresh[1:]
-        self.past = (self.past + fresh)
-        keep, room = 0, self.history
-        while keep < len(self.past) and self.past[-1 - keep][2] <= room:
-            room -= self.past[-1 - keep][2]
-            keep += 1
-        self.past = self.past[len(self.past) - keep:]
-        self.turn, self.count, self.new = self.turn + len(self.new), self.count + 1, []
-        return row
+def spans_of(sums: np.ndarray, past: int, leads: bool, system: int, budget: int, history: int) -> list[tuple[int, int, int]]:
+    """The windows of a block as (first repeated turn, first new turn, end).
+
+    ``sums``: the prefix sum before each turn and the one after the last; the
+    first ``past`` turns are history only. ``leads``: turn 0 is the system
+    turn itself; else ``system`` tokens of it go before every window."""
+    out, i, last = [], past, len(sums) - 1
+    while i < last:
+        lead = int(sums[1] - sums[0]) if leads and i else system
+        room = budget - lead
+        oldest = max(sums[i] - history, sums[i + 1] - room)       # the history and turn i both fit
+        h = max(min(int(np.searchsorted(sums, oldest)), i), 1 if leads and i else 0)
+        end = max(i + 1, int(np.searchsorted(sums, sums[h] + room, side="right")) - 1)
+        out.append((h, i, end))
+        i = end
+    return out
+
+
+def format_window(lead: list, repeated: list, new: list) -> tuple[str, list[dict]]:
+    """The text of a window and its loss spans: the assistant texts in ``new``."""
+    text, loss, at = [], [], 0
+    fresh = len(lead) + len(repeated)
+    for k, (role, body) in enumerate(lead + repeated + new):
+        s, a, b = format_turn(role, body)
+        if k >= fresh and role == "assistant":
+            loss.append({"start": at + a, "end": at + b})
+        text.append(s)
+        at += len(s)
+    return "".join(text), loss
+
+
+def blocks_of(conversations: DataFrame, budget: int, history: int) -> DataFrame:
+    """(conv_id, block, kind, start, tokens, role, text): the turns of each
+    block (kind 2), the turns before it that its history may take (kind 1), and the
+    conversation's system turn (kind 0), which block 0 has among its own."""
+    size = BLOCK * max(budget, history, 1)
+    rows = conversations.select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").isNotNull().alias("_t"), "turn",
+        F.col("role").isNotNull().alias("_r"), "role", F.col("text").isNotNull().alias("_x"), "text",
+        (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) + 2).cast("long").alias("tokens"))
+    # The range is cut by the first characters of a text only: whole ones would be sampled to the driver.
+    rows = rows.withColumn("_begin", F.substring("text", 1, 64))
+    order = ["_t", "turn", "_r", "role", "_x", "_begin", "text"]
+    turns = ordered_prefix_sums(rows, ["conv_id"], order, "tokens", "chat-turns", spread_by=order[:-1])
+    turns = turns.select("conv_id", F.floor(F.col("start") / F.lit(size)).cast("long").alias("block"), F.lit(2).alias("kind"),
+                         "start", "tokens", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    after = turns.where(F.col("start") >= (F.col("block") + 1) * size - history)
+    after = after.withColumn("block", F.col("block") + 1).withColumn("kind", F.lit(1))
+    ends = turns.groupBy(F.col("conv_id").alias("_conv")).agg(F.max("block").alias("_last")).where("_last > 0")
+    leads = turns.where((F.col("start") == 0) & (F.col("role") == "system"))
+    leads = (leads.join(ends, F.col("conv_id").eqNullSafe(F.col("_conv")))
+             .withColumn("block", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_last")))).withColumn("kind", F.lit(0)).drop("_conv", "_last"))
+    return turns.union(after.select(*turns.columns)).union(leads.select(*turns.columns))
 
 
 def chat_windows(conversations: DataFrame, budget: int = BUDGET, history_tokens: int = HISTORY) -> DataFrame:
-    """One row per window; in a partition, a conversation's windows in order."""
+    """One row per window: (conv_id, first_token) orders and names them."""
     names = [x.split()[0] for x in WINDOW.split(", ")]
-    kinds = pa.schema([("conv_id", pa.int64()), ("window", pa.int32()), ("first_turn", pa.int64()), ("new_turns", pa.int32()),
-                       ("repeated_turns", pa.int32()), ("tokens", pa.int64()), ("over_budget", pa.bool_()),
+    kinds = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("window", pa.int32()), ("first_token", pa.int64()),
+                       ("new_turns", pa.int32()), ("repeated_turns", pa.int32()), ("tokens", pa.int64()), ("over_budget", pa.bool_()),
                        ("text", pa.string()),
                        ("loss", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
-    def table(rows):
-        return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema=kinds)
+    def windows(key, lead, turns, past):
+        """Turns are (start, tokens, role, text); ``lead``: the system turn, if it is not among them."""
+        sums = np.array([t[0] for t in turns] + [turns[-1][0] + turns[-1][1]], np.int64)
+        leads = turns[0][0] == 0 and turns[0][2] == "system"
+        for n, (h, i, end) in enumerate(spans_of(sums, past, leads, lead[1] if lead else 0, budget, history_tokens)):
+            first = [lead] if lead else [turns[0]] if leads and i else []
+            text, loss = format_window(*([t[2:] for t in part] for part in (first, turns[h:i], turns[i:end])))
+            tokens = int(sums[end] - sums[h]) + sum(t[1] for t in first)
+            yield (*key, n, int(sums[i]), end - i, len(first) + i - h, tokens, tokens > budget, text, loss)
 
     def run(batches):
-        now, out, size = None, [], 0
+        key, lead, turns, past = None, None, [], 0
+        out, size = [], 0
+
+        def table():
+            return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in out], schema=kinds)
+
         for batch in batches:
-            for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text"))):
-                if now is None or conv != now.conv:
-                    if now is not None:
-                        out.append(now.cut())
-                    now = _Windows(conv, budget, history_tokens)
-                out += now.add(role or "", text or "")
-                size += len(text or "")
-                if size > 4 << 20:
-                    yield table(out)
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "block", "kind", "start", "tokens", "role", "text"))
+            for conv, block, kind, *turn in zip(*columns):
+                if key != (conv, block):
+                    if len(turns) > past:
+                        out += windows(key, lead, turns, past)
+                    key, lead, turns, past = (conv, block), None, [], 0
+                if kind == 0:
+                    lead = tuple(turn)
+                else:
+                    turns.append(tuple(turn))
+                    past += kind == 1
+                size += len(turn[-1])
+                if size > 4 << 20 and out:
+                    yield table()
                     out, size = [], 0
-        if now is not None:
-            out.append(now.cut())
+        if len(turns) > past:
+            out += windows(key, lead, turns, past)
         if out:
-            yield table(out)
+            yield table()
 
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
-    return (rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-            .select("conv_id", "role", "text").mapInArrow(run, WINDOW))
+    rows = blocks_of(conversations, budget, history_tokens)
+    return (rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "kind", "start")
+            .mapInArrow(run, WINDOW))
 
 
 def read_back(windows: DataFrame) -> DataFrame:
     """Per conversation, from the formatted windows alone: the turns and the
-    text under the loss mask, as digests. ``windows`` as ``chat_windows``
-    gives them: clustered by conversation and in order, so it streams."""
+    text under the loss mask, as digests. A digest is sequential: a
+    conversation's windows stream through one task, in order."""
     schema = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
               "formatted_chars long, n_windows long")
 
@@ -187,7 +210,7 @@ def read_back(windows: DataFrame) -> DataFrame:
 
         for batch in batches:
             for w in batch.to_pylist():
-                if state is None or w["window"] == 0:
+                if state is None or w["conv_id"] != conv:
                     if state is not None:
                         done()
                     conv, state = w["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
@@ -212,4 +235,4 @@ def read_back(windows: DataFrame) -> DataFrame:
 
     cols = [x.split()[0] for x in schema.split(", ")]
     kinds = pa.schema([(c, pa.string() if "sha" in c else pa.int64()) for c in cols])
-    return windows.mapInArrow(run, schema)
+    return windows.repartition("conv_id").sortWithinPartitions("conv_id", "first_token").mapInArrow(run, schema)

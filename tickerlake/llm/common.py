@@ -179,7 +179,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 # --- prefix sums -------------------------------------------------------------
 
 def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size: str,
-                        name: str = "prefix") -> DataFrame:
+                        name: str = "prefix", spread_by: list[str] | None = None) -> DataFrame:
     """Adds ``start``: the sum of ``size`` over the rows before this one in its
     group, in the given order; and ``rid``, a row number unique over the table.
 
@@ -188,7 +188,8 @@ def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size:
     partitions are prefix sums over one row per (partition, group); only the
     groups that a partition goes on with have a base, so at most one row a
     partition is broadcast. ``order`` must be total but for
-    rows that are equal throughout. Sizes are non-null.
+    rows that are equal throughout. Sizes are non-null. ``spread_by``: the first
+    columns of ``order``, where the range need not be cut by all of them.
     """
     spark = df.sparkSession
     cols = [F.col(c).asc_nulls_last() for c in group + order]
@@ -224,7 +225,8 @@ def ordered_prefix_sums(df: DataFrame, group: list[str], order: list[str], size:
                 [*batch.columns, pa.array(rid), pa.array(np.full(n, part, np.int32)), pa.array(local)],
                 names=[*names, "rid", "part", "local"])
 
-    spread = df.repartitionByRange(max(partitions(spark), 1), *cols).sortWithinPartitions(*cols)
+    ranges = cols if spread_by is None else cols[:len(group) + len(spread_by)]
+    spread = df.repartitionByRange(max(partitions(spark), 1), *ranges).sortWithinPartitions(*cols)
     rows = written(spread.mapInArrow(run, schema), name)
     # One row per (partition, group): a group that fills several partitions is
     # alone in all but its first and last.
