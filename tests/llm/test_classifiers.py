@@ -76,18 +76,45 @@ def test_label_model_finds_accuracies():
 
 
 def test_label_model_sees_all_texts(spark, monkeypatch):
-    """Voters that fire in few unlabelled texts count, whatever the classifier's sample; and sums in Spark are those of the driver."""
+    """Voters that fire in few unlabelled texts count; and sums in Spark are those of the driver."""
     docs, labels = corpus(spark, 300)
     docs += [(1000 + i, f"plain {i} words" + (" vermin filth" if i % 30 == 0 else ""), "s") for i in range(300)]
     df = docs_of(spark, docs)
-    monkeypatch.setattr(toxicity, "UNLABELLED_ROWS", 20)
     model = toxicity.fit(df, labels)
     got, at = model["label_model"], model["terms"].index(" vermin ")
     texts = got["prior"] * got["theta"][1][2][at] + (1 - got["prior"]) * got["theta"][0][2][at]
     assert texts * 600 == pytest.approx(10, abs=1.5)
     monkeypatch.setattr(toxicity, "DRIVER_PATTERNS", 0)
-    again = toxicity.fit(df, labels)["label_model"]
-    assert all(np.array_equal(got[k], again[k]) for k in ("theta", "weight", "prior"))
+    again = toxicity.fit(df.repartition(3), labels)
+    assert all(np.array_equal(got[k], again["label_model"][k]) for k in ("theta", "weight", "prior"))
+    assert all(np.array_equal(model[k], again[k]) for k in ("w", "d")) and model["b"] == again["b"]
+
+
+def test_linear_classifier_learns_from_all_texts(spark):
+    """Patterns with counts give the weights of a plain regression over every single text."""
+    r = np.random.default_rng(3)
+    codes, voters = toxicity.codes_of(5, 3), 3
+    model = {"theta": r.uniform(0.1, 0.6, (2, 3, voters + 6)), "weight": np.ones(voters + 6), "prior": 0.2}
+    seen = [(int(r.integers(-1, 2)), sorted(r.choice(11, r.integers(0, 6), replace=False).tolist()), int(r.integers(1, 40))) for _ in range(60)]
+    patterns = spark.createDataFrame(seen, "y int, found array<int>, texts long")
+    w = toxicity.linear_fit(patterns, model, codes)
+    x = np.array([[float(j in f) for j in range(11)] + [1.0] for _, f, n in seen for _ in range(n)])
+    ratio = np.log(model["theta"][1] / model["theta"][0])
+    t = []
+    for y, f, n in seen:
+        cast = {codes[j] // 2: codes[j] % 2 for j in f if codes[j] >= 0}
+        z = math.log(0.2 / 0.8) + sum(ratio[1 + cast[v] if v in cast else 0][v] for v in range(voters + 6)) + {1: 4.0, 0: -4.0, -1: 0.0}[y]
+        t += [1 / (1 + math.exp(-z))] * n
+    slope = x.T @ (1 / (1 + np.exp(-x @ w)) - np.array(t)) / len(t) + 1e-4 * np.append(w[:-1], 0)
+    assert np.abs(slope).max() < 1e-5
+
+
+def test_many_copies_under_one_id_change_nothing_but_counts(spark):
+    docs, labels = corpus(spark, 200)
+    df = docs_of(spark, docs + [(5000, "one plain text", "s")] * 3000)
+    model = toxicity.fit(df, labels)
+    patterns = toxicity.feature_patterns(df, labelled.labelled_sample(df, labels, "toxic"), model["terms"], model["voters"])
+    assert patterns.count() < 250 and patterns.agg(F.sum("texts")).first()[0] == 3200
 
 
 def test_tables_learn_an_interaction():
@@ -118,3 +145,24 @@ def test_held_out_accuracy(spark):
         held = [r for r in rows if r.held_out and r.doc_id in labels]
         assert len(held) > 40
         assert np.mean([r.predicted == labels[r.doc_id][column] for r in held]) >= least
+
+
+def test_copies_are_no_evidence(spark):
+    """Words of a toxic text that is copied many times, with small changes, are not mined; the stem of many texts is."""
+    docs, labels = corpus(spark, 400)
+    r = rng()
+    base = sentence(r, 120).split()
+    for i in range(300):
+        words = list(base)
+        words[i % 120] = f"other{i}"
+        words[60] = "quibblefax"
+        docs.append((2000 + i, " ".join(words) + " idiot" * (i % 2), "s"))
+    more = spark.createDataFrame([(2000 + i, 1, 1) for i in range(300)], LABELS)
+    df = docs_of(spark, docs)
+    sample = labelled.labelled_sample(df, labels.union(more), "toxic")
+    kept = toxicity.without_copies(sample)
+    assert kept.where("doc_id >= 2000").count() <= 10 < 200 < sample.where("doc_id >= 2000").count()
+    assert kept.where("doc_id < 2000").count() >= 0.95 * sample.where("doc_id < 2000").count()
+    mined = toxicity.mine_terms(kept, [f" {w} " for w in toxicity.LEXICON], 100)
+    assert not any("quib" in t for t in mined)
+    assert toxicity.band_keys("") == toxicity.band_keys(None) != toxicity.band_keys("a")

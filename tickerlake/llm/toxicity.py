@@ -9,10 +9,18 @@ repeat each other given the class; correlated voters share their weight. Its
 posterior labels train a linear classifier over a wider vocabulary, which
 scores every whole text in one pass with an Aho-Corasick automaton.
 
-The label model is fitted on the votes of all texts, as distinct patterns of
-votes with their counts, with up to ``labelled.SAMPLE_ROWS`` labels outside the
-held-out fold. The linear classifier learns from those labelled texts and
-``UNLABELLED_ROWS`` others; scoring covers every row in place, without a shuffle. Labels, lang, source and doc_id never reach a score.
+Both are fitted on all texts. One pass finds the features of every text
+(terms and patterns, all binary) and adds up the texts of each distinct set of
+features; the label model sums over the sets' votes, and the linear classifier
+takes Newton steps whose loss, gradient and curvature are sums over the
+sets, in integers, so any partitioning gives the same model. Labels outside the held-out
+fold enter from up to ``labelled.SAMPLE_ROWS`` documents. Scoring covers every row in
+place, without a shuffle. Labels, lang, source and doc_id never reach a score.
+
+The model's size is bounded by parameters, whatever the corpus: at most
+``VOTERS`` mined voters beside the public list, and ``VOCABULARY`` terms in all,
+those that tell most by the likelihood ratio; a mined term occurs in ``MIN_DOCS``
+labelled texts or more, near copies counted once.
 
 Defined cases: a null text is empty and gets the classifier's base score;
 repeated rows are scored alike; with no labels the public list alone votes;
@@ -23,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,22 +39,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlake.llm import labelled
-from tickerlake.llm.common import extended, written
+from tickerlake.llm.common import extended, mix64, written
 
-UNLABELLED_ROWS = 5_000   # sampled texts that the linear classifier learns from besides the labelled ones
-DRIVER_PATTERNS = 50_000  # distinct patterns of votes that the driver sums itself, at most
+DRIVER_PATTERNS = 50_000  # distinct patterns that the driver sums itself, at most
+DRIVER_ITEMS = 2_000_000  # and features in them
 VOTERS = 300              # lexicon voters, at most
 VOCABULARY = 1_500        # terms of the linear classifier, at most
 STEMS = (4, 5, 6)         # lengths of word stems
 MINING_ROUNDS = 4
 MIN_DOCS = 3              # texts a mined term occurs in, at least
+BANDS = 8                 # keys of a text that tell its near copies
 
 # Common English insults.
 LEXICON = ["idiot", "idiots", "moron", "morons", "stupid", "loser", "losers", "scum", "trash", "pathetic",
            "worthless", "disgusting", "clown", "dumb", "dumbass", "imbecile", "retard", "bastard", "bitch",
            "asshole", "fuck", "fucking", "shit", "bullshit", "crap", "whore", "slut", "pig", "filth", "vermin"]
 
-_ONE = 1 << 30            # fixed point of the label model's sums
+_ONE = 1 << 30            # fixed point of the models' sums
+_CURVE = 1 << 20          # and of second derivatives: products stay exact in doubles up to 2**35 texts
 _KEEP = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _UPPER = bytes(range(65, 91))
 _LETTER = bytes([*range(65, 91), *range(97, 123)])
@@ -129,6 +140,34 @@ def mine_terms(sample: DataFrame, known: list[str], at_most: int) -> list[str]:
     return kept[:at_most]
 
 
+def band_keys(text: str | None) -> list[int]:
+    """``BANDS`` keys of a text, two minima each of hashes of its five-word
+    runs: near copies share some key, other texts hardly ever."""
+    words = np.array([zlib.crc32(w.encode()) for w in (text or "").lower().split()], np.uint64)
+    n = max(len(words) - 4, min(len(words), 1))
+    runs = np.zeros(n, np.uint64)
+    for k in range(min(5, len(words))):
+        runs = mix64(runs ^ words[k:k + n])
+    low = [mix64(runs + np.uint64(seed)).min() if n else np.uint64(0) for seed in range(1, 2 * BANDS + 1)]
+    return mix64(np.array(low[::2], np.uint64) ^ mix64(np.array(low[1::2], np.uint64))).view(np.int64).tolist()
+
+
+def without_copies(sample: DataFrame) -> DataFrame:
+    """``sample`` (doc_id, y, text) with one of near copies that have the same
+    label: a word that is in one much copied text is no sign of its class."""
+    def run(batches):
+        for batch in batches:
+            keys = [band_keys(t.as_py()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "y", "keys"])
+
+    schema = sample.select("doc_id", "y", F.array(F.lit(0).cast("long")).alias("keys")).schema
+    keys = written(sample.select("doc_id", "y", "text").mapInArrow(run, schema)
+                   .select("doc_id", (F.col("y") > 0).alias("y"), F.posexplode("keys").alias("band", "key")), "bands")
+    first = keys.groupBy("y", "band", "key").agg(F.min("doc_id").alias("_first"))
+    copies = keys.join(first, ["y", "band", "key"]).where("doc_id <> _first").select("doc_id").distinct()
+    return written(sample.join(copies, "doc_id", "left_anti"), "distinct-sample")
+
+
 def features(texts: list[str | None], automaton, size: int, lexicon: int):
     """Per text: the indexes of terms found, and the pattern values."""
     for text in texts:
@@ -148,12 +187,6 @@ def automaton_of(terms: list[str]):
     return machine
 
 
-def votes_of(found: list[int], pats: list[float], voters: int) -> list[int]:
-    """The votes of a text: ``2 * voter + vote``."""
-    return ([2 * j + 1 for j in found if j < voters]
-            + [2 * (voters + j) + says for j, says in enumerate(PATTERN_SAYS) if pats[j] > 0])
-
-
 def _logit(model: dict, rows: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
     """Log odds of ``n`` texts from their votes (``rows``: whose)."""
     ratio = np.log(model["theta"][1] / model["theta"][0]) * model["weight"]
@@ -248,15 +281,26 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(lists)), sizes), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def few(patterns: DataFrame, lists: str) -> bool:
+    """Whether the driver sums the patterns itself."""
+    n = patterns.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size(lists)).alias("items")).first()
+    return n["rows"] <= DRIVER_PATTERNS and (n["items"] or 0) <= DRIVER_ITEMS
+
+
+def _local(patterns: DataFrame, lists: str) -> tuple[np.ndarray, ...]:
+    t = patterns.toArrow().combine_chunks()
+    if not t.num_rows:
+        return (np.zeros(0, np.int64),) * 4
+    return *_flat(t.column(lists).combine_chunks()), *(t.column(c).to_numpy().astype(np.int64) for c in ("y", "texts"))
+
+
 def fit_patterns(patterns: DataFrame, m: int) -> dict:
     """The label model of texts given as (y, votes, texts): each distinct
     pattern of votes with the number of its texts. Few are summed on the
     driver, many in Spark; the sums are the same numbers."""
     known = {r["y"] for r in patterns.select("y").distinct().collect()}
-    if patterns.count() <= DRIVER_PATTERNS:
-        t = patterns.toArrow().combine_chunks()
-        rows, codes = _flat(t.column("votes").combine_chunks())
-        gold, count = (t.column(c).to_numpy().astype(np.int64) for c in ("y", "texts"))
+    if few(patterns, "votes"):
+        rows, codes, gold, count = _local(patterns, "votes")
         return fit_votes(lambda now, known: tally(rows, codes, gold, count, m, now, known), together(rows, codes, count, m), known >= {0, 1}, m)
 
     def over(kernel, schema):
@@ -290,86 +334,159 @@ def fit_patterns(patterns: DataFrame, m: int) -> dict:
     return fit_votes(sums, products, known >= {0, 1}, m)
 
 
-def linear_fit(rows: np.ndarray, cols: np.ndarray, dense: np.ndarray, size: int, target: np.ndarray,
-               steps: int = 400, l2: float = 1e-4, rate: float = 0.1):
-    """Logistic regression on soft labels: binary features in (row, column)
-    form and dense ones; full-batch Adam, so the same weights each time."""
-    n = len(target)
-    w, d, b = np.zeros(size), np.zeros(dense.shape[1]), np.array([0.0])
-    mom = [np.zeros_like(x) for x in (w, d, b)]
-    var = [np.zeros_like(x) for x in (w, d, b)]
-    for step in range(1, steps + 1):
-        z = b[0] + dense @ d + (np.bincount(rows, w[cols], n) if len(rows) else 0)
-        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target) / n
-        grads = [np.bincount(cols, err[rows], size) + l2 * w if size else w, dense.T @ err + l2 * d, np.array([err.sum()])]
-        for i, (x, g) in enumerate(zip((w, d, b), grads)):
-            mom[i] = 0.9 * mom[i] + 0.1 * g
-            var[i] = 0.999 * var[i] + 0.001 * g * g
-            x -= rate * mom[i] / (1 - 0.9 ** step) / (np.sqrt(var[i] / (1 - 0.999 ** step)) + 1e-8)
-    return w, d, float(b[0])
-
-
-def vote_patterns(docs: DataFrame, sample: DataFrame, terms: list[str]) -> DataFrame:
-    """(y, votes, texts) over all of ``docs``: a labelled text of ``sample``
-    with its label, any other with y = -1."""
-    voters = len(terms)
-
-    def cast(batches):
+def codes_of(size: int, voters: int) -> np.ndarray:
+    """The vote of each feature: terms, then patterns; -1: a term that does not vote."""
+    terms = [2 * j + 1 if j < voters else -1 for j in range(size)]
+    return np.array(terms + [2 * (voters + j) + says for j, says in enumerate(PATTERN_SAYS)], np.int64)
+
+
+def targets(label_model: dict, codes: np.ndarray, rows: np.ndarray, cols: np.ndarray, gold: np.ndarray) -> np.ndarray:
+    """The posterior labels of patterns of features."""
+    voting = codes[cols] >= 0
+    return posterior(label_model, rows[voting], codes[cols[voting]], gold)
+
+
+def newton_sums(rows: np.ndarray, cols: np.ndarray, target: np.ndarray, count: np.ndarray, w: np.ndarray):
+    """Loss, gradient and, where not zero, second derivatives (i, j, value) of
+    the logistic loss at ``w`` (the last weight is the base), as integer sums over the texts."""
+    n, size = len(target), len(w)
+    z = np.clip(w[-1] + (np.bincount(rows, w[cols], n) if len(rows) else np.zeros(n)), -30, 30)
+    p = 1 / (1 + np.exp(-z))
+    loss = int((count * np.rint((np.logaddexp(0, z) - target * z) * _CURVE).astype(np.int64)).sum())
+    err = count * np.rint((p - target) * _ONE).astype(np.int64)
+    grad = np.zeros(size, np.int64)
+    np.add.at(grad, cols, err[rows])
+    grad[-1] = err.sum()
+    bend = (count * np.rint(p * (1 - p) * _CURVE).astype(np.int64)).astype(float)
+    i, j, v = [], [], []
+    order = np.argsort(rows, kind="stable")
+    rows, cols = rows[order], cols[order]
+    for at in range(0, n, 2_048):
+        a, b = np.searchsorted(rows, [at, at + 2_048])
+        used, place = np.unique(cols[a:b], return_inverse=True)
+        x = np.zeros((min(2_048, n - at), len(used) + 1))
+        x[rows[a:b] - at, place] = 1
+        x[:, -1] = 1
+        h = x.T @ (x * bend[at:at + 2_048, None])
+        k, m = np.nonzero(h)
+        used = np.append(used, size - 1)
+        i.append(used[k])
+        j.append(used[m])
+        v.append(h[k, m].astype(np.int64))
+    none = [np.zeros(0, np.int64)]
+    return loss, grad, np.concatenate(i or none), np.concatenate(j or none), np.concatenate(v or none)
+
+
+def newton(sums, size: int, texts: int, l2: float = 1e-4, steps: int = 30) -> np.ndarray:
+    """Logistic regression from ``sums(w)``: (loss, gradient, curvature) as
+    integers over ``texts``; steps that make the loss larger are halved."""
+    w, step, best, slope, bend = np.zeros(size), np.zeros(size), math.inf, None, None
+    decay = np.full(size, l2)
+    decay[-1] = 1e-9
+    for _ in range(steps):
+        loss, grad, curve = sums(w - step)
+        at = loss / _CURVE / texts + float((decay * (w - step) ** 2).sum()) / 2
+        if at <= best + 1e-9:
+            small = float(np.abs(step).max()) < 1e-3 and best < math.inf
+            w, best = w - step, min(at, best)
+            if small:
+                break
+            slope = grad / _ONE / texts + decay * w
+            bend = curve / _CURVE / texts + np.diag(decay)
+            step = np.linalg.solve(bend, slope)
+        else:
+            step = step / 2
+    return w
+
+
+def linear_fit(patterns: DataFrame, label_model: dict, codes: np.ndarray) -> np.ndarray:
+    """The weight of each feature, and the base: logistic regression on the
+    posterior labels of all texts, given as (y, found, texts)."""
+    size = len(codes) + 1
+    texts = patterns.agg(F.sum("texts")).first()[0]
+
+    def matrix(i, j, v):
+        out = np.zeros((size, size))
+        np.add.at(out, (i, j), v)
+        return out
+
+    if few(patterns, "found"):
+        rows, cols, gold, count = _local(patterns, "found")
+        target = targets(label_model, codes, rows, cols, gold)
+
+        def local(w):
+            loss, grad, i, j, v = newton_sums(rows, cols, target, count, w)
+            return loss, grad, matrix(i, j, v)
+
+        return newton(local, size, texts)
+
+    def spread(w):
+        """Sums by (i, j): loss at (-1, -1), gradient at (i, -1); at most a
+        square of the model's size comes back."""
+        def run(batches):
+            for b in batches:
+                if b.num_rows:
+                    rows, cols = _flat(b.column("found"))
+                    gold, count = (b.column(c).to_numpy().astype(np.int64) for c in ("y", "texts"))
+                    loss, grad, i, j, v = newton_sums(rows, cols, targets(label_model, codes, rows, cols, gold), count, w)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.concatenate([[-1], np.arange(size), i])), pa.array(np.concatenate([[-1], np.full(size, -1), j])),
+                        pa.array(np.concatenate([[loss], grad, v]))], names=["i", "j", "v"])
+
+        got = patterns.mapInArrow(run, "i long, j long, v long").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
+        i, j, v = (got.column(c).to_numpy() for c in ("i", "j", "v"))
+        grad, one = np.zeros(size, np.int64), (j < 0) & (i >= 0)
+        grad[i[one]] = v[one]
+        return int(v[i < 0].sum()), grad, matrix(i[j >= 0], j[j >= 0], v[j >= 0])
+
+    return newton(spread, size, texts)
+
+
+def feature_patterns(docs: DataFrame, sample: DataFrame, terms: list[str], voters: int) -> DataFrame:
+    """(y, found, texts) over all of ``docs``: the distinct sets of features
+    (terms, then patterns) with their texts; a labelled text of ``sample`` with its label,
+    any other with y = -1."""
+    size = len(terms)
+
+    def find(batches):
         machine = automaton_of(terms)
         for batch in batches:
             texts = (t.as_py() for t in batch.column("text"))
-            votes = [votes_of(f, p, voters) for f, p in features(texts, machine, voters, voters)]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(votes, pa.list_(pa.int32()))], names=["y", "votes"])
+            found = [f + [size + j for j, x in enumerate(p) if x] for f, p in features(texts, machine, size, voters)]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(found, pa.list_(pa.int32()))], names=["y", "found"])
 
     known = sample.select("doc_id", F.xxhash64("text").alias("_text"))       # bounded, so it may be broadcast
     others = (docs.select("doc_id", "text", F.xxhash64("text").alias("_text"))
               .join(F.broadcast(known), ["doc_id", "_text"], "left_anti").select(F.lit(-1).alias("y"), "text"))
     both = sample.select((F.col("y") > 0).cast("int").alias("y"), "text").union(others)
-    return written(both.mapInArrow(cast, "y int, votes array<int>").groupBy("y", "votes").agg(F.count(F.lit(1)).alias("texts")), "votes")
+    return written(both.mapInArrow(find, "y int, found array<int>").groupBy("y", "found").agg(F.count(F.lit(1)).alias("texts")), "features")
+
+
+def vote_patterns(patterns: DataFrame, codes: np.ndarray) -> DataFrame:
+    """(y, votes, texts): the patterns of features by the votes in them."""
+    code = F.array(*[F.lit(int(c)) for c in codes])
+    votes = F.filter(F.transform("found", lambda j: F.element_at(code, j + 1)), lambda c: c >= 0)
+    return written(patterns.groupBy("y", votes.alias("votes")).agg(F.sum("texts").alias("texts")), "votes")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model as plain arrays, some hundred kB at most."""
     sample = written(labelled.labelled_sample(docs, labels, "toxic"), "toxic-sample")
     public = [f" {w} " for w in LEXICON]
-    terms = list(public)
+    terms, distinct = list(public), without_copies(sample)
     for _ in range(MINING_ROUNDS):       # then what marks the toxic texts not yet explained
-        mined = mine_terms(sample, terms, VOCABULARY)
+        mined = mine_terms(distinct, terms, VOCABULARY)
         terms = list(dict.fromkeys(terms + mined))[:VOCABULARY]
         if not mined:
             break
-    voters = min(len(terms), len(public) + VOTERS)
-    others = labelled._thin(docs.select("doc_id", "text"), "doc_id", UNLABELLED_ROWS).select(
-        F.lit(-1).alias("y"), "text")
-    size = len(terms)
-
-    def extract(batches):
-        machine = automaton_of(terms)
-        for batch in batches:
-            found, pats = [], []
-            for f, p in features(batch.column("text").to_pylist(), machine, size, voters):
-                found.append(f)
-                pats.append(p)
-            yield pa.RecordBatch.from_pydict({"y": batch.column("y").cast(pa.int32()), "found": pa.array(found, pa.list_(pa.int32())),
-                                              "pats": pa.array(pats, pa.list_(pa.float64()))})
-
-    both = sample.select((F.col("y") > 0).cast("int").alias("y"), "text").union(others)
-    got = both.mapInArrow(extract, "y int, found array<int>, pats array<double>").toArrow()
-    # In one order whatever the tasks: the same sums, so the same weights.
-    seen = sorted(zip(*(got.column(c).to_pylist() for c in ("y", "found", "pats"))))
-    n = len(seen)
-    gold = np.array([y for y, _, _ in seen], int)
-    found = [f for _, f, _ in seen]
-    dense = np.array([p for _, _, p in seen], float).reshape(n, len(PATTERNS))
-    rows = np.repeat(np.arange(n), [len(f) for f in found]) if n else np.zeros(0, int)
-    cols = np.array([i for f in found for i in f], int)
-    if not n:
+    voters, size = min(len(terms), len(public) + VOTERS), len(terms)
+    patterns = feature_patterns(docs, sample, terms, voters)
+    if patterns.limit(1).count() == 0:
         return {"terms": terms, "voters": voters, "w": np.zeros(size), "d": np.zeros(len(PATTERNS)), "b": -3.0}
-    model = fit_patterns(vote_patterns(docs, sample, terms[:voters]), voters + len(PATTERNS))
-    codes = [votes_of(f, p, voters) for f, p in zip(found, dense)]
-    target = posterior(model, np.repeat(np.arange(n), [len(c) for c in codes]), np.array([c for own in codes for c in own], int), gold)
-    w, d, b = linear_fit(rows, cols, dense, size, target)
-    return {"terms": terms, "voters": voters, "w": w, "d": d, "b": b, "label_model": model}
+    codes = codes_of(size, voters)
+    model = fit_patterns(vote_patterns(patterns, codes), voters + len(PATTERNS))
+    w = linear_fit(patterns, model, codes)
+    return {"terms": terms, "voters": voters, "w": w[:size], "d": w[size:-1], "b": float(w[-1]), "label_model": model}
 
 
 def score(docs: DataFrame, model: dict, name: str = "_score") -> DataFrame:
