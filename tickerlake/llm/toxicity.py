@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerlake.llm import labelled
-from tickerlake.llm.common import extended, mix64, written
+from tickerlake.llm.common import extended, give_back, mix64, small_batches, written
 
 DRIVER_PATTERNS = 50_000  # distinct patterns that the driver sums itself, at most
 DRIVER_ITEMS = 2_000_000  # and features in them
@@ -48,6 +48,7 @@ VOCABULARY = 1_500        # terms of the linear classifier, at most
 STEMS = (4, 5, 6)         # lengths of word stems
 MINING_ROUNDS = 4
 MIN_DOCS = 3              # texts a mined term occurs in, at least
+HELD_TERMS = 200_000      # counts that a mining task holds before it passes them on
 BANDS = 8                 # keys of a text that tell its near copies
 
 # Common English insults.
@@ -101,21 +102,28 @@ def mine_terms(sample: DataFrame, known: list[str], at_most: int) -> list[str]:
     with the same toxic texts, the longest stays."""
     def count(batches):
         machine = automaton_of(known)
-        seen: dict[str, list[int]] = {}
-        total = [0, 0]
+        seen: dict[str, list[int]] = {"": [0, 0]}
+
+        def counted():
+            keys = list(seen)
+            for at in range(0, len(keys), 50_000):
+                part = keys[at:at + 50_000]
+                yield pa.RecordBatch.from_pydict({"term": part, "clean": [seen[k][0] for k in part], "toxic": [seen[k][1] for k in part]})
+            seen.clear()
+            seen[""] = [0, 0]
+
         for batch in batches:
-            for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist()):
-                text, y = plain(text or ""), 1 if y else 0
+            for y, text in zip(batch.column("y").to_pylist(), batch.column("text")):
+                text, y = plain(text.as_py() or ""), 1 if y else 0
                 if known and next(machine.iter(text), None) is not None:
                     continue
-                total[y] += 1
+                seen[""][y] += 1
                 for t in terms_of(set(text.split())):
                     seen.setdefault(t, [0, 0])[y] += 1
-        seen[""] = total
-        keys = list(seen)
-        for at in range(0, len(keys), 50_000):
-            part = keys[at:at + 50_000]
-            yield pa.RecordBatch.from_pydict({"term": part, "clean": [seen[k][0] for k in part], "toxic": [seen[k][1] for k in part]})
+                if len(seen) > HELD_TERMS:          # counts add up after the shuffle
+                    yield from counted()
+        yield from counted()
+        give_back()
 
     counts = written(sample.select("y", "text").mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(
         F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
@@ -347,8 +355,8 @@ def targets(label_model: dict, codes: np.ndarray, rows: np.ndarray, cols: np.nda
 
 
 def newton_sums(rows: np.ndarray, cols: np.ndarray, target: np.ndarray, count: np.ndarray, w: np.ndarray):
-    """Loss, gradient and, where not zero, second derivatives (i, j, value) of
-    the logistic loss at ``w`` (the last weight is the base), as integer sums over the texts."""
+    """Loss, gradient and second derivatives of the logistic loss at ``w``
+    (the last weight is the base), as integer sums over the texts."""
     n, size = len(target), len(w)
     z = np.clip(w[-1] + (np.bincount(rows, w[cols], n) if len(rows) else np.zeros(n)), -30, 30)
     p = 1 / (1 + np.exp(-z))
@@ -358,23 +366,18 @@ def newton_sums(rows: np.ndarray, cols: np.ndarray, target: np.ndarray, count: n
     np.add.at(grad, cols, err[rows])
     grad[-1] = err.sum()
     bend = (count * np.rint(p * (1 - p) * _CURVE).astype(np.int64)).astype(float)
-    i, j, v = [], [], []
+    curve = np.zeros((size, size), np.int64)
     order = np.argsort(rows, kind="stable")
     rows, cols = rows[order], cols[order]
-    for at in range(0, n, 2_048):
-        a, b = np.searchsorted(rows, [at, at + 2_048])
+    for at in range(0, n, 512):
+        a, b = np.searchsorted(rows, [at, at + 512])
         used, place = np.unique(cols[a:b], return_inverse=True)
-        x = np.zeros((min(2_048, n - at), len(used) + 1))
+        x = np.zeros((min(512, n - at), len(used) + 1))
         x[rows[a:b] - at, place] = 1
         x[:, -1] = 1
-        h = x.T @ (x * bend[at:at + 2_048, None])
-        k, m = np.nonzero(h)
         used = np.append(used, size - 1)
-        i.append(used[k])
-        j.append(used[m])
-        v.append(h[k, m].astype(np.int64))
-    none = [np.zeros(0, np.int64)]
-    return loss, grad, np.concatenate(i or none), np.concatenate(j or none), np.concatenate(v or none)
+        curve[np.ix_(used, used)] += (x.T @ (x * bend[at:at + 512, None])).astype(np.int64)
+    return loss, grad, curve
 
 
 def newton(sums, size: int, texts: int, l2: float = 1e-4, steps: int = 30) -> np.ndarray:
@@ -405,39 +408,36 @@ def linear_fit(patterns: DataFrame, label_model: dict, codes: np.ndarray) -> np.
     size = len(codes) + 1
     texts = patterns.agg(F.sum("texts")).first()[0]
 
-    def matrix(i, j, v):
-        out = np.zeros((size, size))
-        np.add.at(out, (i, j), v)
-        return out
-
     if few(patterns, "found"):
         rows, cols, gold, count = _local(patterns, "found")
         target = targets(label_model, codes, rows, cols, gold)
 
-        def local(w):
-            loss, grad, i, j, v = newton_sums(rows, cols, target, count, w)
-            return loss, grad, matrix(i, j, v)
-
-        return newton(local, size, texts)
+        return newton(lambda w: newton_sums(rows, cols, target, count, w), size, texts)
 
     def spread(w):
         """Sums by (i, j): loss at (-1, -1), gradient at (i, -1); at most a
         square of the model's size comes back."""
         def run(batches):
+            total = [0, np.zeros(size, np.int64), np.zeros((size, size), np.int64)]     # of the whole task
             for b in batches:
                 if b.num_rows:
                     rows, cols = _flat(b.column("found"))
                     gold, count = (b.column(c).to_numpy().astype(np.int64) for c in ("y", "texts"))
-                    loss, grad, i, j, v = newton_sums(rows, cols, targets(label_model, codes, rows, cols, gold), count, w)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(np.concatenate([[-1], np.arange(size), i])), pa.array(np.concatenate([[-1], np.full(size, -1), j])),
-                        pa.array(np.concatenate([[loss], grad, v]))], names=["i", "j", "v"])
+                    for k, part in enumerate(newton_sums(rows, cols, targets(label_model, codes, rows, cols, gold), count, w)):
+                        total[k] += part
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(np.arange(size), -1)), pa.array(np.full(size + 1, -1)),
+                                              pa.array(np.append(total[1], total[0]))], names=["i", "j", "v"])
+            for k in range(0, size, 64):
+                i, j = np.nonzero(total[2][k:k + 64])
+                yield pa.RecordBatch.from_arrays([pa.array(i + k), pa.array(j), pa.array(total[2][i + k, j])], names=["i", "j", "v"])
 
         got = patterns.mapInArrow(run, "i long, j long, v long").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
         i, j, v = (got.column(c).to_numpy() for c in ("i", "j", "v"))
         grad, one = np.zeros(size, np.int64), (j < 0) & (i >= 0)
         grad[i[one]] = v[one]
-        return int(v[i < 0].sum()), grad, matrix(i[j >= 0], j[j >= 0], v[j >= 0])
+        curve = np.zeros((size, size), np.int64)
+        curve[i[j >= 0], j[j >= 0]] = v[j >= 0]
+        return int(v[i < 0].sum()), grad, curve
 
     return newton(spread, size, texts)
 
@@ -471,6 +471,11 @@ def vote_patterns(patterns: DataFrame, codes: np.ndarray) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model as plain arrays, some hundred kB at most."""
+    with small_batches(docs.sparkSession):
+        return _fit(docs, labels)
+
+
+def _fit(docs: DataFrame, labels: DataFrame) -> dict:
     sample = written(labelled.labelled_sample(docs, labels, "toxic"), "toxic-sample")
     public = [f" {w} " for w in LEXICON]
     terms, distinct = list(public), without_copies(sample)
