@@ -18,7 +18,7 @@ def plan(df) -> str:
 
 # These write tables while they are built; the frames that they hand to the
 # writers are planned in the tests below.
-WRITERS = {"read_csv_roundtrip", "quarantine_malformed", "quarantine_good", "csv_export_roundtrip", "bronze_append", "bronze_replace",
+WRITERS = {"read_csv_roundtrip", "read_csv_multiline", "quarantine_malformed", "quarantine_good", "csv_export_roundtrip", "bronze_append", "bronze_replace",
            "publish_mart", "stream_ingest", "stream_quarantine", "bronze_mixed", "layer_tables", "table_profile", "daily_refresh",
            "daily_refresh_layers", "daily_refresh_incremental", "daily_refresh_staging", "daily_refresh_recovered", "refresh_late_bar",
            "dq_suite_incremental", "layer_summary_incremental", "retention_stored"}

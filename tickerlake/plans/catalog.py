@@ -424,6 +424,16 @@ def q_read_csv_roundtrip(spark, sf_dir):
     return csv.read_bars_csv(spark, path)
 
 
+@query("read_csv_multiline")
+def q_read_csv_multiline(spark, sf_dir):
+    """S1 over records with a line break, a comma and quotes in a field."""
+    path = scratch(spark, "csv-breaks")
+    broken = F.concat("source_system", F.lit(',\n"'), "pipeline_run_id", F.lit('"'))
+    raw = ingest.conform(raw_bars(spark, sf_dir)).withColumn("source_system", F.when(F.col("volume") % 3000 == 0, broken).otherwise(F.col("source_system")))
+    raw.write.options(**csv.WRITE_OPTIONS).csv(path)
+    return csv.read_bars_csv(spark, path)
+
+
 @query("quarantine_malformed")
 def q_quarantine_malformed(spark, sf_dir):
     return csv.quarantine_malformed(spark, damaged_landing(spark, sf_dir))[1]

@@ -389,6 +389,9 @@ UNION ALL SELECT 'MARTS', 'volume_analysis', count(*) FROM volume_analysis"""
 # --- sources and sinks -----------------------------------------------------
 
 ORACLES["read_csv_roundtrip"] = BASE + f"SELECT {RAW_COLS} FROM raw_bars"
+ORACLES["read_csv_multiline"] = BASE + f"""SELECT * REPLACE (CASE WHEN volume % 3000 = 0
+  THEN source_system || ',' || chr(10) || '"' || pipeline_run_id || '"' ELSE source_system END AS source_system)
+FROM (SELECT {RAW_COLS} FROM raw_bars)"""
 # Lines as they landed: torn ones, and those whose volume is no number and whose source is empty.
 DAMAGED = """SELECT symbol || ',' || strftime(date, '%Y-%m-%d') AS raw_line, 'malformed' AS reasons
 FROM raw_bars WHERE close IS NULL

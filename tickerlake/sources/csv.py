@@ -1,10 +1,11 @@
 """CSV landing files (S1-S3): read with NULL spellings, quarantine torn lines, export.
 
-Landed files are read as lines of text and each line is parsed by ``from_csv``
+Landed files are read as lines of text, lines that a quoted line break tears are
+joined to records (``records``), and each record is parsed by ``from_csv``
 with an all-STRING schema, so a bad value never fails the whole job and the
-line itself is at hand: NULL spellings become NULL, then ``try_cast`` types
-each column. Lines with the wrong number of fields, and values that do not
-cast, are reported with the original line. A batch and a stream of files go
+record itself is at hand: NULL spellings become NULL, then ``try_cast`` types
+each column. Records with the wrong number of fields, and values that do not
+cast, are reported with the original text. A batch and a stream of files go
 through the same expressions.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickerlake import schema as S
+from tickerlake.sources import records as R
 
 CORRUPT = "_corrupt_record"
 
@@ -42,25 +44,46 @@ def read_bars_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_B
     """Header CSV into ``schema``; ``nulls`` read as NULL.
 
     A value that does not parse becomes NULL here (see ``quarantine_malformed``
-    to report it instead). ``mode="FAILFAST"`` raises on a malformed line.
+    to report it instead). ``mode="FAILFAST"`` raises on a malformed record,
+    ``"DROPMALFORMED"`` leaves it out. By default, files without a quoted line
+    break are read by Spark's own reader; the others, and in these two modes all, are read
+    record by record. Each file's first line is left out.
     """
-    raw = (spark.read.schema(_text_schema(schema)).options(header=True, mode=mode, **DIALECT).csv(path))
-    return raw.select(*[_nullify(F.col(f.name), nulls).try_cast(f.dataType).alias(f.name)
-                        for f in schema.fields])
+    told = mode != "PERMISSIVE"
+    lines = R.read_lines(spark, path)
+    breaks = R.files_with_breaks(lines)
+    own = R.numbered(lines)
+    body = R.broken_records(own if told else own.join(breaks, "file", "left_semi")).filter(~F.col("head") & (F.trim("value") != ""))
+    rows = body.select(_parsed(F.col("value"), schema).alias("p")).select("p.*")
+    torn = F.col(CORRUPT).isNotNull()
+    if mode == "DROPMALFORMED":
+        rows = rows.filter(~torn)
+    elif told:
+        rows = rows.filter(F.when(torn, F.raise_error(F.concat(F.lit("malformed record: "), F.col(CORRUPT))).cast("boolean")).otherwise(True))
+    else:
+        text = _text_schema(schema)
+        plain = (spark.read.schema(text).options(header=True, **DIALECT).csv(path).select(*text.names, F.col("_metadata.file_path").alias("_file"))
+                 .join(breaks.withColumnRenamed("file", "_file"), "_file", "left_anti").select(*text.names))
+        rows = plain.unionByName(rows.select(*text.names))
+    return rows.select(*[_nullify(F.col(f.name), nulls).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _parsed(text: Column, schema: T.StructType, corrupt: bool = True, mode: str = "PERMISSIVE") -> Column:
+    """A record's fields as strings."""
+    kinds = _text_schema(schema, corrupt).simpleString()[len("struct<"):-1].replace(":", " ")
+    return F.from_csv(text, kinds, {**DIALECT, "mode": mode, "columnNameOfCorruptRecord": CORRUPT})
 
 
 def tag_lines(lines: DataFrame, schema: T.StructType = S.RAW_BAR_SCHEMA,
               nulls: Sequence[str] = S.CSV_NULL_STRINGS, mode: str = "PERMISSIVE") -> DataFrame:
-    """Lines of header CSV files (column ``value``, batch or stream) as typed
+    """Records of header CSV files (column ``value``, batch or stream) as typed
     columns with ``raw_line`` and ``reasons``, an array that is empty for a
     good line. Blank lines and headers (the first names of the schema, or all)
     are left out."""
     squeezed = F.lower(F.regexp_replace("value", "[\"\\s]", ""))
     header = F.lit(",".join(f.name.lower() for f in schema.fields) + ",")
     body = lines.filter((squeezed != "") & ~header.startswith(F.concat(squeezed, F.lit(","))))
-    parsed = F.from_csv(F.col("value"), _text_schema(schema, corrupt=True).simpleString()[len("struct<"):-1].replace(":", " "),
-                        {**DIALECT, "mode": mode, "columnNameOfCorruptRecord": CORRUPT})
-    p = body.select(F.col("value").alias("raw_line"), parsed.alias("p"))
+    p = body.select(F.col("value").alias("raw_line"), _parsed(F.col("value"), schema, mode=mode).alias("p"))
     torn = F.col(f"p.{CORRUPT}").isNotNull()
     texts = {f.name: _nullify(F.col(f"p.{f.name}"), nulls) for f in schema.fields}
     typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
@@ -77,10 +100,10 @@ def quarantine_malformed(spark: SparkSession, path: str, schema: T.StructType =
 
     ``bad`` holds every line with the wrong number of fields (``malformed``)
     or a non-NULL value that does not cast to its type (``unparseable:<col>``),
-    as ``(raw_line, reasons)`` with the line as it landed.
+    as ``(raw_line, reasons)`` with the line, or the lines of the record, as landed.
     ``mode="FAILFAST"`` raises instead.
     """
-    tagged = tag_lines(spark.read.text(path), schema, nulls, mode)
+    tagged = tag_lines(R.records(R.read_lines(spark, path)), schema, nulls, mode)
     good = tagged.filter(F.size("reasons") == 0).drop("raw_line", "reasons")
     bad = tagged.filter(F.size("reasons") > 0).select("raw_line", "reasons")
     return good, bad

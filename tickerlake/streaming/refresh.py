@@ -31,6 +31,7 @@ from tickerlake import schema as S
 from tickerlake.operators import marts, staging
 from tickerlake.session import Cut, checkpoint_root, together
 from tickerlake.sources.csv import tag_lines
+from tickerlake.sources.records import read_lines, records
 from tickerlake.sources.tables import check_layout, load_into, on_dates, read_table, replace_partitions, stored_dates, table_exists
 
 FILES_PER_BATCH = 1000    # landed files in a micro-batch; the rest wait for the next one
@@ -45,14 +46,11 @@ def stream_checkpoint(spark: SparkSession, target: str, kind: str) -> str:
     return f"{checkpoint_root(spark)}/tickerlake/streams/{kind}-{key}"
 
 
-def landing_stream(spark: SparkSession, landing: str, schema: T.StructType = S.RAW_BAR_SCHEMA,
-                   nulls: Sequence[str] = S.CSV_NULL_STRINGS, archive: str | None = None,
+def landing_stream(spark: SparkSession, landing: str, archive: str | None = None,
                    files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
-    """Lines of landed header CSV files, tagged as ``csv.tag_lines`` does."""
-    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return tag_lines(reader.text(landing), schema, nulls)
+    """Lines of landed files with their places; a file is whole in a micro-batch."""
+    options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
+    return read_lines(spark, landing, streaming=True, maxFilesPerTrigger=files_per_batch, **options)
 
 
 def gate_reasons() -> Column:
@@ -82,7 +80,7 @@ def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint:
 
     def load(lines: DataFrame, epoch: int) -> None:
         reasons = F.concat("reasons", F.when(F.size("reasons") == 0, gate_reasons()).otherwise(F.array().cast("array<string>"))) if gate else F.col("reasons")
-        with Cut(lines.withColumn("reasons", reasons), "landed") as tagged:
+        with Cut(tag_lines(records(lines), schema).withColumn("reasons", reasons), "landed") as tagged:
             bad = tagged.filter(F.size("reasons") > 0).select("raw_line", "reasons")
             if on_bad == "fail" and not bad.isEmpty():
                 raise ValueError(f"landed lines refused, the first: {bad.first().asDict()}")
@@ -90,7 +88,7 @@ def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint:
             added[epoch] = load_into(good, bronze, f"{run}-{epoch}")
             load_into(bad, quarantine, f"{run}-{epoch}")
 
-    q = (landing_stream(spark, landing, schema, archive=archive, files_per_batch=files_per_batch)
+    q = (landing_stream(spark, landing, archive, files_per_batch)
          .writeStream.foreachBatch(load)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -154,11 +152,11 @@ def stream_upsert(spark: SparkSession, landing: str, target: str, checkpoint: st
     checkpoint = checkpoint or stream_checkpoint(spark, target, "upsert")
     quarantine = quarantine or target.rstrip("/") + "_quarantine"
     run = "stream-" + hashlib.sha1(checkpoint.encode()).hexdigest()[:10]
-    stream = landing_stream(spark, landing, schema, files_per_batch=files_per_batch)
+    stream = landing_stream(spark, landing, files_per_batch=files_per_batch)
 
     def fold(lines: DataFrame, epoch: int) -> None:
         own = lines.sparkSession
-        with Cut(lines, "landed") as tagged:
+        with Cut(tag_lines(records(lines), schema), "landed") as tagged:
             bad = tagged.filter(F.size("reasons") > 0).select("raw_line", "reasons")
             if on_bad == "fail" and not bad.isEmpty():
                 raise ValueError(f"landed lines refused, the first: {bad.first().asDict()}")
