@@ -51,7 +51,7 @@ def read_bars_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_B
     """
     told = mode != "PERMISSIVE"
     lines = R.read_lines(spark, path)
-    breaks = R.files_with_breaks(lines)
+    breaks = F.broadcast(R.files_with_breaks(lines))
     own = R.numbered(lines)
     body = R.broken_records(own if told else own.join(breaks, "file", "left_semi")).filter(~F.col("head") & (F.trim("value") != ""))
     rows = body.select(_parsed(F.col("value"), schema).alias("p")).select("p.*")
@@ -63,7 +63,7 @@ def read_bars_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_B
     else:
         text = _text_schema(schema)
         plain = (spark.read.schema(text).options(header=True, **DIALECT).csv(path).select(*text.names, F.col("_metadata.file_path").alias("_file"))
-                 .join(breaks.withColumnRenamed("file", "_file"), "_file", "left_anti").select(*text.names))
+                 .join(F.broadcast(breaks.withColumnRenamed("file", "_file")), "_file", "left_anti").select(*text.names))
         rows = plain.unionByName(rows.select(*text.names))
     return rows.select(*[_nullify(F.col(f.name), nulls).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
