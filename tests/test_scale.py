@@ -1,11 +1,11 @@
 """What keeps a query's work in step with its tables: no line is shuffled to
-join records."""
+join records, and a landed line is parsed once."""
 
 import re
 
 import pytest
 
-from tickerlake.sources import records
+from tickerlake.sources import csv, records
 
 
 def plan(df) -> str:
@@ -43,3 +43,8 @@ def test_no_line_is_shuffled_to_join_records(spark, tmp_path):
     assert not re.search(r"hashpartitioning\(file#\d+, block#", p)      # was: every line, by split
     assert not re.search(r"hashpartitioning\(file#\d+, rblock#", p)     # was: every line, by record
     assert "SortMergeJoin" not in p
+
+
+def test_a_landed_line_is_parsed_once(spark, tmp_path):
+    for df in csv.quarantine_malformed(spark, crossing(tmp_path / "in")):
+        assert plan(df).count("from_csv") == 1

@@ -54,7 +54,7 @@ def read_bars_csv(spark: SparkSession, path: str, schema: T.StructType = S.RAW_B
     breaks = F.broadcast(R.files_with_breaks(lines))
     own = R.numbered(lines)
     body = R.broken_records(own if told else own.join(breaks, "file", "left_semi")).filter(~F.col("head") & (F.trim("value") != ""))
-    rows = body.select(_parsed(F.col("value"), schema).alias("p")).select("p.*")
+    rows = body.select(F.explode(F.array(_parsed(F.col("value"), schema))).alias("p")).select("p.*")
     torn = F.col(CORRUPT).isNotNull()
     if mode == "DROPMALFORMED":
         rows = rows.filter(~torn)
@@ -83,7 +83,8 @@ def tag_lines(lines: DataFrame, schema: T.StructType = S.RAW_BAR_SCHEMA,
     squeezed = F.lower(F.regexp_replace("value", "[\"\\s]", ""))
     header = F.lit(",".join(f.name.lower() for f in schema.fields) + ",")
     body = lines.filter((squeezed != "") & ~header.startswith(F.concat(squeezed, F.lit(","))))
-    p = body.select(F.col("value").alias("raw_line"), _parsed(F.col("value"), schema, mode=mode).alias("p"))
+    # Filters on the fields stay above a generator; below it they would parse the line once per use.
+    p = body.select(F.col("value").alias("raw_line"), F.explode(F.array(_parsed(F.col("value"), schema, mode=mode))).alias("p"))
     torn = F.col(f"p.{CORRUPT}").isNotNull()
     texts = {f.name: _nullify(F.col(f"p.{f.name}"), nulls) for f in schema.fields}
     typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
