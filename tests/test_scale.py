@@ -1,12 +1,16 @@
 """What keeps a query's work in step with its tables: no line is shuffled to
-join records, and a landed line is parsed once."""
+join records, a landed line is parsed once, and staging's predicates compile."""
 
 import re
 
 import pytest
 
+from tickerlake.plans import catalog
+from tickerlake.session import METHOD_LIMIT, SESSION_DEFAULTS, tuned
 from tickerlake.sources import csv, records
 
+from conftest import SF_SMALL
+
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
@@ -48,3 +52,15 @@ def test_no_line_is_shuffled_to_join_records(spark, tmp_path):
 def test_a_landed_line_is_parsed_once(spark, tmp_path):
     for df in csv.quarantine_malformed(spark, crossing(tmp_path / "in")):
         assert plan(df).count("from_csv") == 1
+
+
+def test_queries_tune_a_plain_session(spark):
+    spark.conf.unset(METHOD_LIMIT)
+    try:
+        assert spark.conf.get(METHOD_LIMIT, None) is None
+        catalog.QUERIES["moving_averages"](spark, SF_SMALL)
+        assert spark.conf.get(METHOD_LIMIT) == SESSION_DEFAULTS[METHOD_LIMIT]
+        spark.conf.set(METHOD_LIMIT, "4000")
+        assert tuned(spark).conf.get(METHOD_LIMIT) == "4000"                # what was set stays
+    finally:
+        spark.conf.set(METHOD_LIMIT, SESSION_DEFAULTS[METHOD_LIMIT])

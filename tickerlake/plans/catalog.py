@@ -19,7 +19,7 @@ from tickerlake.functions.timeutil import ntz
 from tickerlake.operators import ingest, marts, privacy, quality, reports, sketches, staging
 from tickerlake.plans.boundary import to_plain_types
 from tickerlake.plans.daily_run import run_daily
-from tickerlake.session import ensure_checkpoint_dir, scratch_path
+from tickerlake.session import ensure_checkpoint_dir, scratch_path, tuned
 from tickerlake.sources import csv, retention, tables
 from tickerlake.streaming import refresh
 from tickerlake.sources.testbeds import event_bars, flag_bars, raw_bars, raw_bars_order, table
@@ -33,7 +33,7 @@ KEYS = ("symbol", "date", "tie1", "tie2")
 def query(name: str):
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return to_plain_types(fn(spark, sf_dir))
+            return to_plain_types(fn(tuned(spark), sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

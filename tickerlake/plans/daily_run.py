@@ -29,7 +29,7 @@ from tickerlake import schema as S
 from tickerlake.operators import marts, quality, staging
 from tickerlake.operators.partition_metrics import MetricsTable, counters
 from tickerlake.plans.ledger import Ledger
-from tickerlake.session import Cut, together
+from tickerlake.session import Cut, together, tuned
 from tickerlake.sources import tables
 from tickerlake.streaming import refresh
 
@@ -160,6 +160,7 @@ def run_daily(spark: SparkSession, batch: DataFrame, workdir: str,
 
     The batch is read once: every step reads the copy the run starts with.
     """
+    spark = tuned(spark)
     paths, cols = table_paths(workdir), [*S.RAW_COLUMNS, *keep]
     bronze, book = paths["stock_prices_raw"], Ledger(spark, workdir)
     with Cut(batch.select(*cols), "batch") as landed:

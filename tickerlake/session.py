@@ -43,6 +43,18 @@ def get_session(master: str | None = None, app: str = "tickerlake",
     return spark
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """``spark`` with the method limit of ``SESSION_DEFAULTS``, for sessions that
+    others built: at Spark's own, the staging filters over computed columns
+    run interpreted. A limit that the session was given stays."""
+    if spark.conf.get(METHOD_LIMIT, None) is None:
+        spark.conf.set(METHOD_LIMIT, SESSION_DEFAULTS[METHOD_LIMIT])
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
