@@ -22,7 +22,7 @@ from contextlib import nullcontext
 from dataclasses import dataclass, field
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake import schema as S
@@ -115,14 +115,14 @@ def _fold_batch(spark: SparkSession, batch: DataFrame, paths: dict[str, str], or
     return staged, marts_on
 
 
-def _load(spark: SparkSession, landed: DataFrame, target: str, load_id: str, cols: Sequence[str], extracted: int) -> tuple[int, str]:
-    """The batch as the load ``load_id`` of bronze, and its status.
+def _load(spark: SparkSession, landed: DataFrame, target: str, load_id: str, cols: Sequence[str], extracted: int, here: Row) -> tuple[int, str]:
+    """The batch, whose digest is ``here``, as the load ``load_id`` of bronze, and its status.
     A load that is there to its end is kept; it must hold this batch. The rows
     read back must be those of the batch, by content."""
     kept = tables.has_load(spark, target, load_id)
     loaded = None if kept else tables.load_into(landed, target, load_id)
     stored = tables.read_load(spark, target, load_id)
-    here, there = (quality.content_digest(df, cols).first() for df in (landed, stored))
+    there = quality.content_digest(stored, cols).first()
     loaded = there["rows"] if loaded is None else loaded
     status = quality.load_status(extracted, loaded)
     if here != there and (kept or status == "match"):
@@ -164,13 +164,13 @@ def run_daily(spark: SparkSession, batch: DataFrame, workdir: str,
     paths, cols = table_paths(workdir), [*S.RAW_COLUMNS, *keep]
     bronze, book = paths["stock_prices_raw"], Ledger(spark, workdir)
     with Cut(batch.select(*cols), "batch") as landed:
-        gate = quality.gate_report(landed).collect()                             # Q1-Q4, one pass
+        gate, content = together(quality.gate_report(landed).collect,            # Q1-Q4, one pass
+                                 quality.content_digest(landed, cols).first)     # for the run id and Q9
         failed = [r.check_name for r in gate if not r.passed]
         if failed:
             raise ValueError(f"the gate refused the batch: {failed}")
         extracted = next(r.observed for r in gate if r.check_name == "has_data")
         if run_id is None:
-            content = quality.content_digest(landed, cols).first()
             run_id = "run-" + "-".join(f"{abs(int(v)):x}{'n' if v < 0 else ''}" for v in content)
         lost = book.open_runs()
         stored = all(tables.table_exists(spark, paths[n]) for n in ("stg_stock_prices", *MART_NAMES))
@@ -182,7 +182,7 @@ def run_daily(spark: SparkSession, batch: DataFrame, workdir: str,
         with Cut(missed.distinct(), "lost") if lost else nullcontext() as before:
             book.open(run_id, mode, refresh.changed_cells(landed), extracted)
             on_step("opened")
-            loaded, status = _load(spark, landed, bronze, run_id, cols, extracted)       # S4, Q9
+            loaded, status = _load(spark, landed, bronze, run_id, cols, extracted, content)       # S4, Q9
             if status == "failed":
                 raise ValueError(f"nothing was loaded of {extracted} rows")
             on_step("loaded")

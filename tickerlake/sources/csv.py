@@ -83,11 +83,13 @@ def tag_lines(lines: DataFrame, schema: T.StructType = S.RAW_BAR_SCHEMA,
     squeezed = F.lower(F.regexp_replace("value", "[\"\\s]", ""))
     header = F.lit(",".join(f.name.lower() for f in schema.fields) + ",")
     body = lines.filter((squeezed != "") & ~header.startswith(F.concat(squeezed, F.lit(","))))
-    # Filters on the fields stay above a generator; below it they would parse the line once per use.
+    # Filters on the fields stay above a generator; below it they would parse the line, or a value, once per use.
     p = body.select(F.col("value").alias("raw_line"), F.explode(F.array(_parsed(F.col("value"), schema, mode=mode))).alias("p"))
     torn = F.col(f"p.{CORRUPT}").isNotNull()
     texts = {f.name: _nullify(F.col(f"p.{f.name}"), nulls) for f in schema.fields}
-    typed = {f.name: texts[f.name].try_cast(f.dataType) for f in schema.fields}
+    values = F.struct(*[texts[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    p = p.select("raw_line", "p", F.explode(F.array(values)).alias("t"))
+    typed = {n: F.col(f"t.{n}") for n in texts}
     problems = [F.when(torn, F.lit("malformed"))] + [
         F.when(~torn & texts[n].isNotNull() & typed[n].isNull(), F.lit(f"unparseable:{n}")) for n in texts]
     return p.select(*[typed[n].alias(n) for n in typed], "raw_line",
