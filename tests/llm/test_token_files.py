@@ -56,6 +56,37 @@ def test_encoder_when_memory_is_emptied(monkeypatch):
             assert np.frombuffer(enc.encode([t])[0], "<u2").tolist() == reference([t])[0][:-1]
 
 
+def test_words_with_tails_go_to_the_library_as_letters_and_tails():
+    """Of words that differ in capitals and punctuation only the letters and the tails are encoded, once each; the letters
+    in one text. (They were given to the library one by one where the tail was not one of .,!?;:.)"""
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    texts = [f"{w}{a}{b} {w}{a}" for w in ("Élan", "word", "WORD", "ñandú", "straße") for a in ("", *marks) for b in marks]
+    texts += ["don't's'", "x''s", "a'S", "x's.", "it's***", "7%%%", "a1***", "***", "a.b***", "e\u0301***", "Ж***", "x<|endoftext|>***", "<|***"]
+    enc = token_files.WordEncoder(tokenizer_path(), False)
+    given = []
+
+    class Counted:
+        def encode_batch_fast(self, words, **how):
+            given.extend(words)
+            return tok.encode_batch_fast(words, **how)
+
+    tok, enc.tok = enc.tok, Counted()
+    assert [np.frombuffer(x, "<u2").tolist() for x in enc.encode(texts)] == [x[:-1] for x in reference(texts)]
+    assert len(given) == len(set(given))
+    assert not [w for w in given if w[:4].lower() in ("élan", "word", "ñand", "stra")]
+
+
+def test_tokenizer_of_another_kind(tmp_path):
+    """One that keeps capitals and cuts at white space only is left to the library."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    tok = Tokenizer(models.WordLevel({"Word.": 0, "word": 1, "b": 2, "?": 3}, unk_token="?"))
+    tok.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    tok.save(path := str(tmp_path / "other.json"))
+    enc = token_files.WordEncoder(path, False)
+    assert [np.frombuffer(x, "<u2").tolist() for x in enc.encode(["Word. word  b", None, "word. B"])] == [[0, 1, 2], [], [3, 3]]
+
+
 @pytest.mark.parametrize("files", [1, 5])
 def test_files_round_trip(spark, files):
     rows = [(7 * i % 13 - 3, t) for i, t in enumerate(NASTY)] + [(None, "x y"), (2, "same"), (2, "same")]

@@ -33,12 +33,27 @@ from tickerlake.llm.common import partitions, process_cache, scratch, slices, wr
 NULL_ID = -(1 << 63)
 CACHE_WORDS = 600_000     # remembered words per worker process, then it starts anew
 # Letters that normalisation leaves alone and whose lower case is one letter
-# whatever stands beside them (so not U+0130), then punctuation.
-_SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,!?;:]*)")
+# whatever stands beside them (so not U+0130).
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+# Of words on lines of their own those with anything else, and empty ones.
+_OTHER = re.compile(f"^(?:[{_LETTERS}]*[^{_LETTERS}\n].*|$)", re.M)
+# Punctuation that is a word of its own behind letters: never part of a letter, digit or mark.
+_TAIL = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# The word pattern under which words of letters are whole and a tail is one word.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # What keeps a text from being lowered as a whole before it is cut into words.
 _UNSAFE = re.compile("[\u0130\u0250-\u200f\u2028-\u20ab\u20ad-\U0010ffff]|<\\|")
 
 
+def _lowers(text: str) -> bool:
+    """Whether ``text`` can be lowered as a whole; no character up to U+00FF hinders."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _UNSAFE.search(text)
+    return "<|" not in text
+
+
 def open_fs(uri: str):
     """(filesystem, path) of a local path or a URI that pyarrow knows."""
     if "://" in uri or uri.startswith("file:"):
@@ -55,7 +70,8 @@ class WordEncoder:
     blank-separated words in order; each word is encoded by the library once
     and remembered. Texts of Latin letters without marks are lowered first, as the
     tokenizer would; a word of such letters with trailing punctuation is two
-    words. Texts with any other character keep their capitals, as normalisation
+    words. Words of letters alone need no normalisation and no cutting, so they go to
+    the library's model by white space. Texts with any other character keep their capitals, as normalisation
     composes a capital and a mark before it lowers them; such words go to the library
     as they stand.
     """
@@ -65,6 +81,7 @@ class WordEncoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tok = Tokenizer.from_file(path)
+        self.lean = self._lean(Tokenizer.from_file(path))
         self.kind = np.dtype("<u4" if wide else "<u2")
         self.words: dict[bytes, bytes] = {}
         vocab = self.tok.get_vocab()
@@ -75,57 +92,74 @@ class WordEncoder:
     def pack(self, ids) -> bytes:
         return np.asarray(ids, self.kind).tobytes()
 
+    @staticmethod
+    def _lean(tok):
+        """``tok`` for lines of lower-case letters, which need no normalisation and
+        are cut at white space alone; None if it is of another kind."""
+        from tokenizers import normalizers, pre_tokenizers
+
+        told = json.loads(tok.to_str())
+        norm = (told["normalizer"] or {}).get("normalizers", [])
+        cuts = (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if not ([x["type"] for x in norm] == ["NFC", "Replace", "Lowercase"] and norm[1]["pattern"] == {"Regex": "\\s+"}
+                and [x["type"] for x in cuts] == ["Split", "ByteLevel"] and cuts[0]["pattern"] == {"Regex": _WORDS}
+                and (cuts[0]["behavior"], cuts[0]["invert"]) == ("Removed", True)
+                and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+                and told["model"].get("end_of_word_suffix") == "</w>"
+                and all(x["content"].startswith("<|") for x in told["added_tokens"])):
+            return None
+        tok.normalizer = normalizers.Sequence([])
+        tok.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        return tok
+
     def learn(self, new: list[bytes]) -> None:
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
-        parts: dict[bytes, tuple[bytes, ...]] = {}
-        cores, rest = {}, []
-        for word in new:
-            m = _SIMPLE.fullmatch(word.decode())
-            if m:
-                core, tail = m[1].lower().encode(), m[2].encode()
-                cores[core] = None
-                if tail:
-                    parts[word] = core, tail
-                    rest.append(tail)
-                elif core != word:
-                    parts[word] = (core,)
-            else:
-                parts[word] = (word,)
-                rest.append(word)
-        cores = [w for w in cores if w not in self.words]
+        known = self.words
+        cores = [w.rstrip(_TAIL) for w in new]
+        lines = b"\n".join(cores).decode()
+        odd = {w.encode() for w in _OTHER.findall(lines)}
+        rest = [w for w, c in zip(new, cores) if c in odd]
+        if rest:
+            plain = [(w, c) for w, c in zip(new, cores) if c not in odd]
+            new, cores = [w for w, _ in plain], [c for _, c in plain]
+            lines = b"\n".join(cores).decode()
+        cores = lines.lower().encode().split(b"\n") if cores else []
+        tails = [w[len(c):] for w, c in zip(new, cores)]
+        rest += {t for t in tails if t}
+        todo = [w for w in dict.fromkeys(cores) if w not in known]
         # All cores in one text, each ended by its own word-end token.
-        if cores:
-            ids = np.asarray(self.tok.encode(b"\n".join(cores).decode(), add_special_tokens=False).ids, self.kind)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) == len(cores):
-                at = 0
-                for word, cut in zip(cores, cuts.tolist()):
-                    self.words[word] = ids[at:cut].tobytes()
-                    at = cut
+        if todo:
+            got = self.lean.encode_batch_fast([b"\n".join(todo).decode()], add_special_tokens=False)[0]
+            ids = np.asarray(got.ids, self.kind)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
+            if len(cuts) == len(todo):
+                raw, cuts = ids.tobytes(), cuts.tolist()
+                known.update(zip(todo, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
             else:
-                rest += cores
-        rest = [w for w in dict.fromkeys(rest) if w not in self.words]
-        for word, e in zip(rest, self.tok.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
-            self.words[word] = self.pack(e.ids)
-        for word, own in parts.items():
-            if word not in self.words:
-                self.words[word] = b"".join([self.words[p] for p in own])
+                rest += todo
+        rest = [w for w in dict.fromkeys(rest) if w not in known]
+        for word, e in zip(rest, self.tok.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)):
+            known[word] = self.pack(e.ids)
+        known.update([(w, known[c] + known[t] if t else known[c]) for w, c, t in zip(new, cores, tails)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        if self.lean is None:  # a tokenizer that cuts words otherwise
+            return [self.pack(e.ids) for e in self.tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
         split = []
         for text in texts:
             text = text or ""
-            split.append((text if _UNSAFE.search(text) else text.lower()).encode().split())
-        known = self.words
-        missing = list({w for ws in split for w in ws if w not in known})
+            split.append((text.lower() if _lowers(text) else text).encode().split())
+        missing = set().union(*split).difference(self.words)
         if missing:
-            self.learn(missing)
+            self.learn(list(missing))
+        of = self.words.__getitem__
         try:
-            return [b"".join([known[w] for w in ws]) for ws in split]
+            return [b"".join(map(of, ws)) for ws in split]
         except KeyError:       # the memory was emptied on the way
-            self.learn(list({w for ws in split for w in ws}))
-            return [b"".join([known[w] for w in ws]) for ws in split]
+            self.learn(list(set().union(*split)))
+            return [b"".join(map(of, ws)) for ws in split]
 
 
 def write_token_files(docs: DataFrame, out: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
