@@ -56,6 +56,24 @@ def test_packing_holds_every_word(spark):
     assert len(seen) == len(set(seen))
 
 
+def test_texts_are_cut_in_small_batches(spark, monkeypatch):
+    """The cutting plans are run where Arrow batches are small (they were run by whoever wrote the result, in batches of 64 MB),
+    the setting comes back, and what served them alone is deleted."""
+    docs = docs_of(spark, [(i, " ".join(f"d{i}w{k}" for k in range(400)), f"s{i % 3}") for i in range(30)])
+    name, made, gone = "spark.sql.execution.arrow.maxBytesPerBatch", [], []
+    before = spark.conf.get(name)
+    real = stages.written
+    monkeypatch.setattr(stages, "written", lambda df, *a, **how: (made.append((a[0], spark.conf.get(name))), real(df, *a, **how))[1])
+    monkeypatch.setattr("tickerlake.llm.common.remove", lambda spark, path: gone.append(path))
+    for stage, kept in ((stages.mix_sources, "mixed"), (stages.pack_bins, "packed")):
+        gone.clear()
+        out = stage(spark, docs, SF_MID)
+        assert made[-1] == (kept, "2m") and spark.conf.get(name) == before
+        assert "MapInArrow" not in out._jdf.queryExecution().toString()
+        assert gone and not any(kept in path for path in gone)
+        assert out.count() >= 30
+
+
 def test_filters_carry_other_columns(spark):
     docs = docs_of(spark, [(1, "a nice text", "s"), (1, "a nice text", "s"), (None, None, None)]).withColumn("_score", F.lit(3)).withColumn("y", F.lit("x"))
     for stage in (stages.drop_toxic, stages.keep_quality):

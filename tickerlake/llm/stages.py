@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``
 (doc_id, text, lang, source, n_chars and any others, which the filtering stages
-carry along). Null texts are empty; no rows give no rows.
+carry along). Null texts are empty; no rows give no rows. Stages that cut texts write
+their rows themselves: the size of the Arrow batches that carry texts to and
+from the workers is settled where a plan is run.
 """
 
 from __future__ import annotations
@@ -13,11 +15,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickerlake.llm import jaccard_join, mixing, packing, quality, toxicity
-from tickerlake.llm.common import cut_words, fresh, passing, slices, written
+from tickerlake.llm.common import cut_words, fresh, give_back, passing, slices, small_batches, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 TOXIC_FROM = 0.5
 GOOD_FROM = 0.3
+CUT_BYTES = 1 << 20        # text cut at once inside a task: its words' places take many times as much
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +65,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as documents: for each pass over its source, the runs of words
     of a document that the mix takes. A whole document is one run."""
+    with passing(spark), small_batches(spark, "2m"):
+        return written(_mixed(docs), "mixed", keep=True)
+
+
+def _mixed(docs: DataFrame) -> DataFrame:
     rows = keyed(docs.select(*COLUMNS), "_key")
     sizes, spans = mixing.mix(rows.select("_key", "source", "text"), "_key")
     spans = spans.join(sizes.select("rid", "_key"), "rid")
@@ -74,12 +82,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", CUT_BYTES):
                 first, last = (piece.column(c).to_numpy() for c in ("_first", "_last"))
                 text = cut_words(piece.column("text"), first, last)
                 chars = pa.compute.utf8_length(text).cast(pa.int64())
                 new = {"text": text, "n_chars": chars}
                 yield pa.RecordBatch.from_arrays([new[c] if c in new else piece.column(c) for c in COLUMNS], names=COLUMNS)
+        give_back()
 
     return rows.join(runs, "_key").select(*COLUMNS, "_first", "_last").mapInArrow(cut, schema)
 
@@ -87,6 +96,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per packed piece: its bin (group_no, bin_no), document, words
     and text. Copies of a document never share a bin."""
+    with passing(spark), small_batches(spark, "2m"):
+        return written(_packed(docs), "packed", keep=True)
+
+
+def _packed(docs: DataFrame) -> DataFrame:
     rows = keyed(docs.select(*COLUMNS), "rid")
     pieces = packing.pack_documents(rows, cluster=F.col("doc_id"))
     placed = pieces.select("rid", "first", "words", "group_no", "bin_no")
@@ -95,10 +109,11 @@ def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", CUT_BYTES):
                 first, words = (piece.column(c).to_numpy() for c in ("first", "words"))
                 text = cut_words(piece.column("text"), first, first + words)
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in names[:-1]), text], names=names)
+        give_back()
 
     both = both.select(*names)
     return both.mapInArrow(cut, both.schema)
