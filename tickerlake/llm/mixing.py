@@ -30,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerlake.llm.common import extended, ordered_prefix_sums, partitions, slices, small_batches, utf8, word_spans, written
+from tickerlake.llm.common import extended, give_back, ordered_prefix_sums, partitions, slices, small_batches, utf8, word_spans, written
 
 BLOCK_WORDS = 256
 SHARD_BLOCKS = 64
+COUNT_BYTES = 1 << 20      # text counted at once inside a task: its words' places take many times as much
 MOST = 3                   # passes over a source, at most
 WEIGHTS = (5, 2, 1)        # of the sources in order, repeating
 
@@ -45,17 +46,23 @@ def with_word_count(docs: DataFrame, text: str = "text", name: str = "size") ->
     schema = extended(docs.drop(text).schema, **{name: "long"})
 
     def run(batches):
-        for batch in batches:
-            for piece in slices(batch, text):
-                data, offsets = utf8(piece.column(text))
-                _, _, rows = word_spans(data, offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [*(piece.column(c) for c in names), pa.array(np.bincount(rows, minlength=piece.num_rows).astype(np.int64))],
-                    names=[*names, name])
+        yield from counted(batches, names, text, name)
+        give_back()
 
     return docs.select(*names, text).mapInArrow(run, schema)
 
 
+def counted(batches, names: list[str], text: str, name: str):
+    """The columns ``names`` of Arrow batches, and the number of words of each text."""
+    for batch in batches:
+        for piece in slices(batch, text, COUNT_BYTES):
+            data, offsets = utf8(piece.column(text))
+            _, _, rows = word_spans(data, offsets)
+            yield pa.RecordBatch.from_arrays(
+                [*(piece.column(c) for c in names), pa.array(np.bincount(rows, minlength=piece.num_rows).astype(np.int64))],
+                names=[*names, name])
+
+
 def targets(sizes: list[int], weights: list[float], most: float = MOST) -> list[float]:
     """Shares of ``sum(sizes)`` by weight, none above ``most`` times its size;
     the excess is shared again by weight among the rest."""
